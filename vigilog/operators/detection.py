@@ -64,7 +64,7 @@ def validation_loose(attacks: DataFrame, off_hours: DataFrame, limit: int = BROA
     """
     listed = attacks.select(*MOMENT)
     small = fits_in_broadcast(listed, limit)
-    seen = _off_hours_rows(listed.select(*PAIR).distinct(), off_hours, small)
+    seen = _off_hours_rows(listed.select(*PAIR), off_hours, small)
     if small:
         joined = listed.withColumn("nb", F.lit(1)).join(F.broadcast(seen), PAIR, "left")
     else:
@@ -81,7 +81,7 @@ def detection_rate_loose(attacks: DataFrame, off_hours: DataFrame, limit: int =
     """Detection rate over the rows of `validation_loose`, counted per pair."""
     listed = attacks.select(*PAIR)
     per_pair = _rows_per(listed, PAIR, "nb")
-    seen = _off_hours_rows(listed.distinct(), off_hours, fits_in_broadcast(listed, limit))
+    seen = _off_hours_rows(listed, off_hours, fits_in_broadcast(listed, limit))
     joined = per_pair.join(seen, PAIR, "left")
     # The list may name no user or machine; such rows match nothing but still count.
     total = F.sum(F.col("nb") * F.coalesce("nb_anomalies", F.lit(1)))
@@ -119,17 +119,21 @@ def _attack_side(attacks: DataFrame, log: DataFrame) -> DataFrame:
 def _match_broadcast(attacks: DataFrame, silver: DataFrame) -> DataFrame:
     log = _log_side(silver)
     listed = _attack_side(attacks, log)
-    keys = [name for name in listed.columns]
+    keys = listed.columns
     return log.join(F.broadcast(listed), keys, "inner").select(*MOMENT, "heure_du_jour")
 
 
 def _match_counts(attacks: DataFrame, silver: DataFrame, small: bool) -> DataFrame:
-    """One row per matched (second, user, machine) with its number of joined rows."""
+    """Matched (second, user, machine) with ``nb``, the joined rows each line stands for.
+
+    From a broadcast list every joined row is a line of its own: whoever counts them
+    adds them up before its shuffle. Otherwise there is one line per key.
+    """
     if small:
-        return _rows_per(_match_broadcast(attacks, silver), [*MOMENT, "heure_du_jour"], "nb")
+        return _match_broadcast(attacks, silver).withColumn("nb", F.lit(1).cast("long"))
     log = _log_side(silver)
     listed = _attack_side(attacks, log)
-    keys = [name for name in listed.columns]
+    keys = listed.columns
     in_list = _rows_per(listed, keys, "nb_liste")
     in_log = _rows_per(log, [*keys, "heure_du_jour"], "nb_journal")
     return in_list.join(in_log, keys, "inner").select(
@@ -187,14 +191,15 @@ def _pair_profile(attacks: DataFrame, failure_rates: DataFrame, machines: DataFr
     The per-user tables are joined to distinct pairs and not to events, so an account
     with a third of all events weighs no more here than its number of machines.
     """
-    listed = attacks.select(*PAIR).distinct()
+    listed = attacks.select(*PAIR)
     rare = _by_attack_name(pairs).withColumnRenamed("nb_occurrences", "occurrences_paire")
     if small:
         rare = rare.join(F.broadcast(listed), PAIR, "leftsemi")
     rates = _by_attack_name(failure_rates).select("user_domain", "taux_echec_pct")
     diversity = _by_attack_name(machines).select("user_domain", "nb_machines_distinctes")
     return (
-        listed.join(rare, PAIR, "left")
+        listed.distinct()
+        .join(rare, PAIR, "left")
         .join(rates, "user_domain", "left")
         .join(diversity, "user_domain", "left")
         .select(*PAIR, "taux_echec_pct", "nb_machines_distinctes", "occurrences_paire")

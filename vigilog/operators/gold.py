@@ -1,10 +1,11 @@
 """Aggregate (Gold) tables over the cleaned log.
 
-Tables that need only user, destination and category accept either the cleaned log or
-its `pair_activity`, which holds one row per such triple with its counts. The Gold job
-computes that once and derives four tables from it; a single table is cheaper straight
-from the log. No table is sorted here: a directory of files keeps no order, so ordering
-is left to the serving queries.
+Three tables need distinct users or machines. They are defined over `pair_activity`, one
+row per (user, destination, category) with its counts: left as a plan it is the usual
+two-step distinct count, so a hot user or machine is split over tasks by the other half
+of the pair; written once, it serves all three, and the failure rates too, without
+another pass over the log. No table is sorted here: a directory of files keeps no order,
+so ordering is left to the serving queries.
 """
 
 from __future__ import annotations
@@ -22,17 +23,20 @@ CATEGORY = "categorie_destination"
 MIN_ATTEMPTS = 10
 
 
-def pair_activity(silver: DataFrame) -> DataFrame:
-    return silver.groupBy(USER, DESTINATION, CATEGORY).agg(
-        F.count(F.lit(1)).alias("poids"),
-        F.sum(c.failure(F.col("succes"))).alias("echecs"),
+def attempts(silver: DataFrame) -> DataFrame:
+    """Every log line as one attempt of its user."""
+    return silver.select(
+        USER,
+        F.lit(1).cast("long").alias("nb_tentatives"),
+        c.failure(F.col("succes")).alias("nb_echecs"),
     )
 
 
-def _weighted(df: DataFrame) -> DataFrame:
-    if "poids" in df.columns:
-        return df
-    return df.withColumns({"poids": F.lit(1).cast("long"), "echecs": c.failure(F.col("succes"))})
+def pair_activity(silver: DataFrame) -> DataFrame:
+    return silver.groupBy(USER, DESTINATION, CATEGORY).agg(
+        F.count(F.lit(1)).alias("nb_tentatives"),
+        F.sum(c.failure(F.col("succes"))).alias("nb_echecs"),
+    )
 
 
 def _known_user(df: DataFrame) -> DataFrame:
@@ -54,15 +58,13 @@ def connections_by_user_hour(silver: DataFrame) -> DataFrame:
     )
 
 
-def activity_by_machine(events: DataFrame) -> DataFrame:
-    """Exact distinct users: Spark de-duplicates (machine, user) before the machine."""
+def activity_by_machine(pairs: DataFrame) -> DataFrame:
     return (
-        _weighted(events)
-        .where(F.col(DESTINATION).isNotNull())
+        pairs.where(F.col(DESTINATION).isNotNull())
         .groupBy(DESTINATION, CATEGORY)
         .agg(
-            F.sum("poids").alias("nb_evenements"),
-            F.countDistinct(USER).alias("nb_utilisateurs_distincts"),
+            F.sum("nb_tentatives").alias("nb_evenements"),
+            F.count(USER).alias("nb_utilisateurs_distincts"),
         )
     )
 
@@ -77,23 +79,24 @@ def off_hours_activity(silver: DataFrame) -> DataFrame:
     )
 
 
-def failure_rate_by_user(events: DataFrame) -> DataFrame:
+def failure_rate_by_user(counted: DataFrame) -> DataFrame:
+    """From `attempts` or from `pair_activity`; users with few attempts are left out."""
     return (
-        _known_user(_weighted(events))
+        _known_user(counted)
         .groupBy(USER)
-        .agg(F.sum("poids").alias("total_tentatives"), F.sum("echecs").alias("nb_echecs"))
+        .agg(F.sum("nb_tentatives").alias("total_tentatives"), F.sum("nb_echecs").alias("nb_echecs"))
         .where(F.col("total_tentatives") >= MIN_ATTEMPTS)
         .withColumn("taux_echec_pct", c.percent(F.col("nb_echecs"), F.col("total_tentatives")))
     )
 
 
-def machines_by_user(events: DataFrame) -> DataFrame:
+def machines_by_user(pairs: DataFrame) -> DataFrame:
     return (
-        _to_machines(_weighted(events))
+        _to_machines(pairs)
         .groupBy(USER)
         .agg(
-            F.countDistinct(DESTINATION).alias("nb_machines_distinctes"),
-            F.sum("poids").alias("nb_connexions_totales"),
+            F.count(DESTINATION).alias("nb_machines_distinctes"),
+            F.sum("nb_tentatives").alias("nb_connexions_totales"),
         )
     )
 
@@ -105,19 +108,32 @@ def volume_by_day(silver: DataFrame) -> DataFrame:
     )
 
 
-def rare_pairs(events: DataFrame) -> DataFrame:
+def rare_pairs(pairs: DataFrame) -> DataFrame:
+    """Users seen exactly once on a machine."""
     return (
-        _to_machines(_weighted(events))
-        .groupBy(USER, DESTINATION)
-        .agg(F.sum("poids").alias("nb_occurrences"))
-        .where(F.col("nb_occurrences") == 1)
+        _to_machines(pairs)
+        .where(F.col("nb_tentatives") == 1)
+        .select(USER, DESTINATION, F.col("nb_tentatives").alias("nb_occurrences"))
     )
 
 
-def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+def tables(silver: DataFrame, pairs: DataFrame) -> dict[str, DataFrame]:
+    """All seven by name; ``pairs`` is `pair_activity` of the same log, best written."""
+    return {
+        "connexions_par_utilisateur_heure": connections_by_user_hour(silver),
+        "activite_par_machine": activity_by_machine(pairs),
+        "anomalies_horaires": off_hours_activity(silver),
+        "taux_echec_par_utilisateur": failure_rate_by_user(pairs),
+        "machines_distinctes_par_utilisateur": machines_by_user(pairs),
+        "volume_par_jour": volume_by_day(silver),
+        "paires_rares_utilisateur_machine": rare_pairs(pairs),
+    }
+
+
+def row_counts(named: dict[str, DataFrame]) -> DataFrame:
     """One row per table name with its number of rows."""
     counts = [
         df.agg(F.count(F.lit(1)).alias("nb_lignes")).select(F.lit(name).alias("nom"), "nb_lignes")
-        for name, df in tables.items()
+        for name, df in named.items()
     ]
     return reduce(DataFrame.unionByName, counts)

@@ -74,8 +74,14 @@ def _loose_rate(attacks: DataFrame, silver: DataFrame) -> DataFrame:
     return detection.detection_rate_loose(attacks, gold.off_hours_activity(silver))
 
 
-def _thresholds(silver: DataFrame) -> DataFrame:
-    return detection.thresholds(gold.failure_rate_by_user(silver), gold.machines_by_user(silver))
+def _pairs(silver: DataFrame) -> DataFrame:
+    """The shared pre-aggregate, written once: several tables are then read from it."""
+    return lake.materialise(gold.pair_activity(silver), lake.scratch_path(silver.sparkSession, "paires"))
+
+
+def _criteria_tables(silver: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    pairs = _pairs(silver)
+    return gold.failure_rate_by_user(pairs), gold.machines_by_user(pairs), gold.rare_pairs(pairs)
 
 
 def _flags(attacks: DataFrame, silver: DataFrame) -> DataFrame:
@@ -86,23 +92,29 @@ def _comparison(attacks: DataFrame, silver: DataFrame) -> DataFrame:
     return detection.compare_criteria(attacks, silver, *_criteria_tables(silver))
 
 
-def _criteria_tables(silver: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return gold.failure_rate_by_user(silver), gold.machines_by_user(silver), gold.rare_pairs(silver)
+def _thresholds(silver: DataFrame) -> DataFrame:
+    rates, machines, _ = _criteria_tables(silver)
+    return detection.thresholds(rates, machines)
+
+
+def _failure_rates(silver: DataFrame) -> DataFrame:
+    return gold.failure_rate_by_user(gold.attempts(silver))
 
 
+# A single table is cheapest straight from the log: nothing is written in between.
 GOLD = {
     "connexions_par_utilisateur_heure": gold.connections_by_user_hour,
-    "activite_par_machine": gold.activity_by_machine,
+    "activite_par_machine": lambda silver: gold.activity_by_machine(gold.pair_activity(silver)),
     "anomalies_horaires": gold.off_hours_activity,
-    "taux_echec_par_utilisateur": gold.failure_rate_by_user,
-    "machines_distinctes_par_utilisateur": gold.machines_by_user,
+    "taux_echec_par_utilisateur": _failure_rates,
+    "machines_distinctes_par_utilisateur": lambda silver: gold.machines_by_user(gold.pair_activity(silver)),
     "volume_par_jour": gold.volume_by_day,
-    "paires_rares_utilisateur_machine": gold.rare_pairs,
+    "paires_rares_utilisateur_machine": lambda silver: gold.rare_pairs(gold.pair_activity(silver)),
 }
 
 
 def _gold_counts(attacks: DataFrame, silver: DataFrame) -> DataFrame:
-    tables = {name: make(silver) for name, make in GOLD.items()}
+    tables = gold.tables(silver, _pairs(silver))
     return gold.row_counts({**tables, "validation_redteam": _loose(attacks, silver)})
 
 
@@ -141,10 +153,13 @@ def all_queries() -> dict[str, Query]:
     found["detection_flags"] = _on_attacks(_flags)
     found["comparaison_criteres_detection"] = _on_attacks(_comparison)
     found["gold_row_counts"] = _on_attacks(_gold_counts)
-    found["top_machines"] = _on_silver(lambda s: serving.top_machines(gold.activity_by_machine(s)))
-    found["evolution_temporelle"] = _on_silver(lambda s: serving.volume_over_time(gold.volume_by_day(s)))
-    found["top_utilisateurs"] = _on_silver(lambda s: serving.top_users(gold.failure_rate_by_user(s)))
-    found["activite_par_heure"] = _on_silver(lambda s: serving.activity_by_hour(gold.connections_by_user_hour(s)))
+    for name, table, serve in (
+        ("top_machines", "activite_par_machine", serving.top_machines),
+        ("evolution_temporelle", "volume_par_jour", serving.volume_over_time),
+        ("top_utilisateurs", "taux_echec_par_utilisateur", serving.top_users),
+        ("activite_par_heure", "connexions_par_utilisateur_heure", serving.activity_by_hour),
+        ("relation_utilisateur_machine", "paires_rares_utilisateur_machine", serving.user_machine_relations),
+    ):
+        found[name] = _on_silver(lambda silver, t=table, s=serve: s(GOLD[t](silver)))
     found["efficacite_criteres"] = _on_attacks(lambda a, s: serving.criteria_efficacy(_comparison(a, s)))
-    found["relation_utilisateur_machine"] = _on_silver(lambda s: serving.user_machine_relations(gold.rare_pairs(s)))
     return found

@@ -41,6 +41,10 @@ class Lake:
     def silver(self) -> str:
         return f"{self.base}/silver/{SILVER_TABLE}.parquet"
 
+    def pairs(self) -> str:
+        """Intermediate table of the Gold job: one row per (user, destination, category)."""
+        return f"{self.base}/travail/paires.parquet"
+
     def gold(self, table: str) -> str:
         return f"{self.base}/gold/{table}.parquet"
 
