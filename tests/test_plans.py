@@ -9,7 +9,7 @@ import pytest
 from __spark_entry__ import queries
 from vigilog.operators import cleaning, detection, gold
 from vigilog.plans.fixture import attack_list, auth_log
-from vigilog.sources.lake import read_silver, write_silver_by_day
+from vigilog.sources.lake import read_silver, write_by_day
 
 
 def plan(df, mode="formatted"):
@@ -25,7 +25,7 @@ def read_columns(text):
 @pytest.fixture(scope="module")
 def zones(spark, sf_dir, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("zones") / "silver")
-    write_silver_by_day(cleaning.to_silver(auth_log(spark, sf_dir)), path)
+    write_by_day(cleaning.to_silver(auth_log(spark, sf_dir)), path)
     csv = str(tmp_path_factory.mktemp("zones") / "redteam")
     attack_list(spark, sf_dir).write.parquet(csv)
     return read_silver(spark, path, with_day=True), spark.read.parquet(csv)

@@ -7,7 +7,9 @@ import gzip
 import pytest
 
 from vigilog.operators import cleaning
+from vigilog.plans import jobs
 from vigilog.sources import raw
+from vigilog.sources.lake import Lake, read_landed, read_silver
 from vigilog.sources.schemas import AUTH_RAW, AUTH_SILVER, REDTEAM_RAW
 
 AUTH_LINES = [
@@ -49,7 +51,7 @@ def test_sample_lines(spark, tmp_path):
 def test_landing_refuses_a_malformed_line(spark, tmp_path, bad):
     path = gz(tmp_path / "auth.txt.gz", [*AUTH_LINES, bad])
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
-        raw.land(raw.read_auth(spark, path), str(tmp_path / "landed"))
+        jobs.land(spark, Lake(str(tmp_path / "lake")), path)
 
 
 def test_empty_field_and_backslash(spark, tmp_path):
@@ -71,9 +73,17 @@ def test_preview_and_manifest(spark, tmp_path):
 
 
 def test_landing_splits_one_gzip_file(spark, tmp_path):
-    path = gz(tmp_path / "auth.txt.gz", AUTH_LINES * 1000)
+    lines = [f"{second},a@D,b@D,C1,C2,NTLM,Batch,LogOn,Success" for second in range(0, 864000, 100)]
+    path = gz(tmp_path / "auth.txt.gz", lines)
     source = raw.read_auth(spark, path)
     assert source.rdd.getNumPartitions() == 1
-    landed = raw.land(source, str(tmp_path / "landed"))
-    assert landed.count() == 3000
+    lake = Lake(str(tmp_path / "lake"))
+    jobs.land(spark, lake, path)
+    landed = read_landed(spark, lake.landed())
     assert landed.schema == AUTH_RAW
+    assert landed.exceptAll(source).count() == 0 and landed.count() == len(lines)
+    dated = read_landed(spark, lake.landed(), with_day=True)
+    assert {r.jour_part for r in dated.select("jour_part").distinct().collect()} == set(range(10))
+    assert dated.where("temps_secondes div 86400 <> jour_part").count() == 0
+    jobs.silver(spark, lake)
+    assert read_silver(spark, lake.silver()).count() == len(lines)

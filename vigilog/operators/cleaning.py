@@ -9,8 +9,11 @@ from vigilog.functions import columns as c
 from vigilog.operators.profiling import frequencies
 
 
-def to_silver(raw: DataFrame) -> DataFrame:
-    """One narrow projection: typed, with missing values as NULL."""
+def to_silver(raw: DataFrame, *carried: str) -> DataFrame:
+    """One narrow projection: typed, with missing values as NULL.
+
+    ``carried`` names columns to keep as they are, such as the day of the layout.
+    """
     return raw.select(
         "temps_secondes",
         c.hour_of_day(F.col("temps_secondes")).alias("heure_du_jour"),
@@ -23,6 +26,7 @@ def to_silver(raw: DataFrame) -> DataFrame:
         c.null_if_missing("logon_type"),
         c.null_if_missing("authentication_orientation"),
         c.is_success(F.col("success_failure")).alias("succes"),
+        *carried,
     )
 
 

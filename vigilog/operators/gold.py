@@ -117,15 +117,19 @@ def rare_pairs(pairs: DataFrame) -> DataFrame:
     )
 
 
-def tables(silver: DataFrame, pairs: DataFrame) -> dict[str, DataFrame]:
-    """All seven by name; ``pairs`` is `pair_activity` of the same log, best written."""
+def tables_from_log(silver: DataFrame) -> dict[str, DataFrame]:
     return {
         "connexions_par_utilisateur_heure": connections_by_user_hour(silver),
-        "activite_par_machine": activity_by_machine(pairs),
         "anomalies_horaires": off_hours_activity(silver),
+        "volume_par_jour": volume_by_day(silver),
+    }
+
+
+def tables_from_pairs(pairs: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "activite_par_machine": activity_by_machine(pairs),
         "taux_echec_par_utilisateur": failure_rate_by_user(pairs),
         "machines_distinctes_par_utilisateur": machines_by_user(pairs),
-        "volume_par_jour": volume_by_day(silver),
         "paires_rares_utilisateur_machine": rare_pairs(pairs),
     }
 

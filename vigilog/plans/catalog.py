@@ -54,12 +54,14 @@ def bronze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw.land(bronze_auth(spark, sf_dir), lake.scratch_path(spark, "landed"))
+    path = lake.scratch_path(spark, "landed")
+    lake.write_by_day(bronze_auth(spark, sf_dir), path)
+    return lake.read_landed(spark, path)
 
 
 def silver_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = lake.scratch_path(spark, "silver")
-    lake.write_silver_by_day(cleaning.to_silver(auth_log(spark, sf_dir)), path)
+    lake.write_by_day(cleaning.to_silver(auth_log(spark, sf_dir)), path)
     return lake.read_silver(spark, path)
 
 
@@ -114,7 +116,7 @@ GOLD = {
 
 
 def _gold_counts(attacks: DataFrame, silver: DataFrame) -> DataFrame:
-    tables = gold.tables(silver, _pairs(silver))
+    tables = {**gold.tables_from_log(silver), **gold.tables_from_pairs(_pairs(silver))}
     return gold.row_counts({**tables, "validation_redteam": _loose(attacks, silver)})
 
 

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vigilog.functions.columns import calendar_day
 from vigilog.sources.raw import read_redteam
-from vigilog.sources.schemas import AUTH_SILVER
+from vigilog.sources.schemas import AUTH_RAW, AUTH_SILVER
 
 DAY_PARTITION = "jour_part"
 SILVER_TABLE = "auth_silver"
@@ -69,37 +71,51 @@ def write_table(df: DataFrame, path: str, compression: str | None = "zstd") -> N
     writer.parquet(path)
 
 
+def write_all(tables: dict[str, DataFrame], at_once: int = 4) -> None:
+    """Write independent tables (path -> rows) together, so one table's last, narrow
+    stages do not leave the cluster idle. The first failure is raised."""
+    with ThreadPoolExecutor(at_once) as pool:
+        for _ in pool.map(lambda path: write_table(tables[path], path), tables):
+            pass
+
+
 def materialise(df: DataFrame, path: str) -> DataFrame:
     """Write once and continue from the files, for results that several jobs reuse."""
     write_table(df, path)
     return df.sparkSession.read.parquet(path)
 
 
-def write_silver_by_day(silver: DataFrame, path: str) -> None:
-    """Cleaned table laid out by true day, so joins on a second read only its day.
+def write_by_day(df: DataFrame, path: str) -> None:
+    """Lay a table out by true day, so that joins on a second read only its day.
 
-    Rebalancing on the day keeps one day's rows in few files; AQE splits a day that
-    is larger than the advisory partition size over several tasks.
+    Rows not yet dated are first gathered by day; AQE cuts a day larger than the advisory
+    partition size into several tasks. Rows read from such a layout carry their day and
+    are written as they come, without another shuffle.
     """
-    dated = silver.withColumn(DAY_PARTITION, calendar_day(F.col("temps_secondes")))
-    (
-        dated.hint("rebalance", F.col(DAY_PARTITION))
-        .write.mode("overwrite")
-        .option("compression", "zstd")
-        .partitionBy(DAY_PARTITION)
-        .parquet(path)
-    )
+    if DAY_PARTITION not in df.columns:
+        dated = df.withColumn(DAY_PARTITION, calendar_day(F.col("temps_secondes")))
+        df = dated.hint("rebalance", F.col(DAY_PARTITION))
+    df.write.mode("overwrite").option("compression", "zstd").partitionBy(DAY_PARTITION).parquet(path)
 
 
-def read_silver(spark: SparkSession, path: str, with_day: bool = False) -> DataFrame:
-    """The eleven cleaned columns; ``with_day`` adds the layout column where it exists."""
+def _read_by_day(spark: SparkSession, path: str, schema: StructType, with_day: bool) -> DataFrame:
     df = spark.read.parquet(path)
-    names = list(AUTH_SILVER.names)
+    names = list(schema.names)
     if with_day and DAY_PARTITION in df.columns:
         names.append(DAY_PARTITION)
     return df.select(*names)
 
 
+def read_landed(spark: SparkSession, path: str, with_day: bool = False) -> DataFrame:
+    """The nine raw columns; ``with_day`` adds the layout column where it exists."""
+    return _read_by_day(spark, path, AUTH_RAW, with_day)
+
+
+def read_silver(spark: SparkSession, path: str, with_day: bool = False) -> DataFrame:
+    """The eleven cleaned columns; ``with_day`` adds the layout column where it exists."""
+    return _read_by_day(spark, path, AUTH_SILVER, with_day)
+
+
 def register_views(spark: SparkSession, lake: Lake, redteam_path: str | None = None) -> list[str]:
     """Temp views for SQL users: raw copy, attack list, cleaned table and every Gold table.
 
@@ -108,8 +124,9 @@ def register_views(spark: SparkSession, lake: Lake, redteam_path: str | None = N
     paths = {LANDED_TABLE: lake.landed(), SILVER_TABLE: lake.silver()}
     paths.update({name: lake.gold(name) for name in (*GOLD_TABLES, COMPARISON_TABLE)})
     views = {name: _read_if_written(spark, path) for name, path in paths.items()}
-    if views[SILVER_TABLE] is not None:
-        views[SILVER_TABLE] = views[SILVER_TABLE].select(*AUTH_SILVER.names)
+    for name, schema in ((LANDED_TABLE, AUTH_RAW), (SILVER_TABLE, AUTH_SILVER)):
+        if views[name] is not None:
+            views[name] = views[name].select(*schema.names)
     if redteam_path:
         views["redteam"] = read_redteam(spark, redteam_path)
     registered = []

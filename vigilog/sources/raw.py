@@ -10,7 +10,7 @@ from vigilog.sources.schemas import AUTH_RAW, REDTEAM_RAW
 
 def _read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     # FAILFAST only checks the columns a query reads, so the strict read belongs in
-    # `land`, which reads all of them; everything downstream starts from that copy.
+    # the landing job, which reads all of them; everything else starts from its copy.
     return (
         spark.read.schema(schema)
         .option("header", False)
@@ -40,13 +40,3 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
         .load(path)
         .select("path", "length", "modificationTime")
     )
-
-
-def land(raw: DataFrame, path: str) -> DataFrame:
-    """Copy the raw columns, unchanged, to splittable Parquet and return that copy.
-
-    A gzip file is one partition however large it is. ``rebalance`` spreads its rows
-    and lets AQE size the output files, so no partition count is guessed here.
-    """
-    raw.hint("rebalance").write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return raw.sparkSession.read.parquet(path)
