@@ -13,7 +13,8 @@ KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VA
 def oracle(sf_dir: str, sql: str):
     con = duckdb.connect()
     for table in Path(sf_dir).glob("*.parquet"):
-        con.execute(f"CREATE VIEW {table.stem} AS SELECT * FROM read_parquet('{table}')")
+        files = f"{table}/*.parquet" if table.is_dir() else table
+        con.execute(f"CREATE VIEW {table.stem} AS SELECT * FROM read_parquet('{files}')")
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
     kinds = [str(d[1]) for d in cursor.description]

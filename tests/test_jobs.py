@@ -138,6 +138,12 @@ def test_jobs_can_be_run_again(spark, built):
     assert table(spark, lake, "comparaison_criteres_detection").collect() == before
 
 
+def test_command_line(built, capsys):
+    jobs.main(["serve", "--lake", built[0].base])
+    shown = capsys.readouterr().out
+    assert "--- top_machines" in shown and "|au_moins_un|" in shown
+
+
 def test_command_line_wants_its_inputs():
     for arguments in (["land", "--lake", "x"], ["gold", "--lake", "x"], ["detect", "--lake", "x"]):
         with pytest.raises(SystemExit):

@@ -17,7 +17,7 @@ from vigilog.sources.schemas import AUTH_RAW, REDTEAM_RAW
 # Whole seconds since 2024-01-01, from calendar fields: no session time zone involved.
 SPARK_SECONDS = (
     "datediff(CAST(ts AS DATE), DATE '2024-01-01') * 86400L"
-    " + hour(ts) * 3600 + minute(ts) * 60 + CAST(floor(second(ts)) AS INT)"
+    " + hour(ts) * 3600 + minute(ts) * 60 + second(ts)"
 )
 DUCKDB_SECONDS = "date_diff('second', TIMESTAMP '2024-01-01 00:00:00', ts)"
 

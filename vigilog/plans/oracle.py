@@ -163,31 +163,33 @@ _RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-def _check(select: str, *reads: str) -> str:
+def _check(select: str, *reads: str, given: tuple[str, ...] = ()) -> str:
     needed: list[str] = []
 
     def add(name: str) -> None:
+        if name in given or name in needed:
+            return
         for other in _RELATIONS[name][0]:
             add(other)
-        if name not in needed:
-            needed.append(name)
+        needed.append(name)
 
     for name in reads:
         add(name)
     chain = ",\n".join(f"{name} AS ({_RELATIONS[name][1]})" for name in needed)
-    return f"WITH {chain}\n{select}"
+    return f"WITH {chain}\n{select}" if chain else select
 
 
-def _whole(relation: str) -> str:
-    return _check(f"SELECT * FROM {relation}", relation)
+def _whole(relation: str, given: tuple[str, ...] = ()) -> str:
+    return _check(f"SELECT * FROM {relation}", relation, given=given)
 
 
-def _rate(relation: str, found: str) -> str:
+def _rate(relation: str, found: str, given: tuple[str, ...] = ()) -> str:
     detected = "count(*) FILTER (WHERE detecte_par_anomalie_horaire)"
     return _check(
         f"""SELECT count(*) AS total_evenements_redteam, {detected} AS {found},
               {_share(detected, "count(*)")} AS taux_detection_pct FROM {relation}""",
         relation,
+        given=given,
     )
 
 
@@ -202,6 +204,24 @@ _GOLD = {
 }
 
 
+def checks_on_given_log() -> dict[str, str]:
+    """Checks on registered tables ``auth_brut`` and ``redteam`` instead of the derived ones."""
+    given = ("auth_brut", "redteam")
+    relations = {
+        **_GOLD,
+        "silver_auth": "silver",
+        "validation_redteam_loose": "loose",
+        "validation_redteam": "strict",
+        "seuils_detection": "seuils",
+        "detection_flags": "drapeaux",
+        "comparaison_criteres_detection": "comparaison",
+    }
+    found = {name: _whole(relation, given) for name, relation in relations.items()}
+    found["taux_detection_loose"] = _rate("loose", "nb_detectes", given)
+    found["taux_detection_rigoureux"] = _rate("strict", "nb_a_horaire_inhabituel", given)
+    return found
+
+
 def checks() -> dict[str, str]:
     found = {name: _whole("auth_brut") for name in ("bronze_auth", "bronze_landed")}
     found["bronze_redteam"] = _check(f"SELECT {', '.join(REDTEAM_RAW.names)} FROM redteam", "redteam")
