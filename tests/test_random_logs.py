@@ -60,9 +60,11 @@ def test_every_table(spark, tmp_path, seed, rows):
         for log_frame in (silver, dated):
             for name, df in {
                 "validation_redteam": detection.validation_strict(listed, log_frame, limit),
-                "taux_detection_rigoureux": detection.detection_rate_strict(listed, log_frame, limit),
+                "taux_detection_rigoureux": detection.detection_rate_strict(detection.matches(listed, log_frame, limit)),
                 "detection_flags": detection.detection_flags(listed, log_frame, *tables, limit),
-                "comparaison_criteres_detection": detection.compare_criteria(listed, log_frame, *tables, limit),
+                "comparaison_criteres_detection": detection.compare_criteria(
+                    listed, detection.matches(listed, log_frame, limit), *tables, limit
+                ),
             }.items():
                 assert_same(df, str(tmp_path), sql[name])
         for name, df in {

@@ -13,6 +13,14 @@ from vigilog.plans.fixture import attack_list, auth_log
 NEVER_BROADCAST = 0
 
 
+def rate_strict(attacks, log, limit=joins.BROADCAST_LIMIT):
+    return detection.detection_rate_strict(detection.matches(attacks, log, limit))
+
+
+def compare(attacks, log, *tables, limit=joins.BROADCAST_LIMIT):
+    return detection.compare_criteria(attacks, detection.matches(attacks, log, limit), *tables, limit)
+
+
 def counted(df):
     return Counter(tuple(row) for row in df.collect())
 
@@ -56,9 +64,9 @@ def test_both_ways_give_the_same_rows(skewed):
         (detection.validation_loose, (off_hours,)),
         (detection.detection_rate_loose, (off_hours,)),
         (detection.validation_strict, (log,)),
-        (detection.detection_rate_strict, (log,)),
+        (rate_strict, (log,)),
         (detection.detection_flags, (log, *tables)),
-        (detection.compare_criteria, (log, *tables)),
+        (compare, (log, *tables)),
     ):
         small = counted(make(attacks, *inputs))
         large = counted(make(attacks, *inputs, limit=NEVER_BROADCAST))
@@ -86,7 +94,7 @@ def test_rates_count_the_validated_rows(skewed):
             ),
             (
                 detection.validation_strict(attacks, log, limit),
-                detection.detection_rate_strict(attacks, log, limit),
+                rate_strict(attacks, log, limit),
             ),
         ):
             flags = Counter(row.detecte_par_anomalie_horaire for row in rows.collect())
@@ -154,7 +162,7 @@ def test_no_attack_matches(spark, skewed):
     tables = gold.failure_rate_by_user(pairs), gold.machines_by_user(pairs), gold.rare_pairs(pairs)
     for limit in (joins.BROADCAST_LIMIT, NEVER_BROADCAST):
         assert detection.validation_strict(attacks, log, limit).count() == 0
-        row = detection.compare_criteria(attacks, log, *tables, limit).first()
+        row = compare(attacks, log, *tables, limit=limit).first()
         assert row.total_evenements == 0 and row.detectes_horaire is None and row.pct_horaire is None
         loose = detection.validation_loose(attacks, gold.off_hours_activity(log), limit).collect()
         assert [tuple(r) for r in loose] == [(-5, "U0@X", "C2", False)]

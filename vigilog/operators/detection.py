@@ -9,6 +9,8 @@ Results that are only counted never repeat them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,6 +91,15 @@ def detection_rate_loose(attacks: DataFrame, off_hours: DataFrame, limit: int =
     return _rate(joined.agg(total.alias("total"), found.alias("found")), "nb_detectes")
 
 
+def detection_rate(validation: DataFrame, found_name: str) -> DataFrame:
+    """Rate over a written validation table."""
+    counts = validation.agg(
+        F.count(F.lit(1)).alias("total"),
+        c.count_if(F.col("detecte_par_anomalie_horaire")).alias("found"),
+    )
+    return _rate(counts, found_name)
+
+
 def _rate(counts: DataFrame, found_name: str) -> DataFrame:
     return counts.select(
         F.coalesce("total", F.lit(0)).alias("total_evenements_redteam"),
@@ -123,14 +134,14 @@ def _match_broadcast(attacks: DataFrame, silver: DataFrame) -> DataFrame:
     return log.join(F.broadcast(listed), keys, "inner").select(*MOMENT, "heure_du_jour")
 
 
-def _match_counts(attacks: DataFrame, silver: DataFrame, small: bool) -> DataFrame:
+def matches(attacks: DataFrame, silver: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Matched (second, user, machine) with ``nb``, the joined rows each line stands for.
 
     From a broadcast list every joined row is a line of its own: whoever counts them
     adds them up before its shuffle. Otherwise there is one line per key.
     """
-    if small:
-        return _match_broadcast(attacks, silver).withColumn("nb", F.lit(1).cast("long"))
+    if fits_in_broadcast(attacks.select(*MOMENT), limit):
+        return as_matches(_match_broadcast(attacks, silver))
     log = _log_side(silver)
     listed = _attack_side(attacks, log)
     keys = listed.columns
@@ -141,19 +152,23 @@ def _match_counts(attacks: DataFrame, silver: DataFrame, small: bool) -> DataFra
     )
 
 
+def as_matches(validation: DataFrame) -> DataFrame:
+    """The matches behind a strict validation table: nothing is joined again."""
+    return validation.select(*MOMENT, "heure_du_jour", F.lit(1).cast("long").alias("nb"))
+
+
 def validation_strict(attacks: DataFrame, silver: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Attacks joined to the log on user, machine and second, every match kept."""
     if fits_in_broadcast(attacks.select(*MOMENT), limit):
         matched = _match_broadcast(attacks, silver)
     else:
-        matched = repeat_rows(_match_counts(attacks, silver, small=False), "nb")
+        matched = repeat_rows(matches(attacks, silver, limit=0), "nb")
     flag = F.coalesce(c.off_hours(F.col("heure_du_jour")), F.lit(False))
     return matched.withColumn("detecte_par_anomalie_horaire", flag)
 
 
-def detection_rate_strict(attacks: DataFrame, silver: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    small = fits_in_broadcast(attacks.select(*MOMENT), limit)
-    matched = _match_counts(attacks, silver, small)
+def detection_rate_strict(matched: DataFrame) -> DataFrame:
+    """Detection rate over the rows of `validation_strict`, from `matches`."""
     found = F.when(c.off_hours(F.col("heure_du_jour")), F.col("nb")).otherwise(0)
     counts = matched.agg(F.sum("nb").alias("total"), F.sum(found).alias("found"))
     return _rate(counts, "nb_a_horaire_inhabituel")
@@ -185,35 +200,32 @@ def thresholds(failure_rates: DataFrame, machines: DataFrame) -> DataFrame:
 # -- flags and comparison of criteria ------------------------------------------------
 
 
-def _pair_profile(attacks: DataFrame, failure_rates: DataFrame, machines: DataFrame, pairs: DataFrame, small: bool) -> DataFrame:
-    """What is known of each (user, machine) of the attack list: one row per pair.
+def _known_of_pairs(rows: DataFrame, failure_rates: DataFrame, machines: DataFrame, rare: DataFrame) -> DataFrame:
+    """Add what is known of each user and (user, machine), and the flags that follow.
 
-    The per-user tables are joined to distinct pairs and not to events, so an account
-    with a third of all events weighs no more here than its number of machines.
+    ``rows`` must hold few rows per pair. The per-user tables are never joined to events,
+    so an account with a third of all events weighs no more than its machines.
     """
-    listed = attacks.select(*PAIR)
-    rare = _by_attack_name(pairs).withColumnRenamed("nb_occurrences", "occurrences_paire")
-    if small:
-        rare = rare.join(F.broadcast(listed), PAIR, "leftsemi")
     rates = _by_attack_name(failure_rates).select("user_domain", "taux_echec_pct")
     diversity = _by_attack_name(machines).select("user_domain", "nb_machines_distinctes")
-    return (
-        listed.distinct()
-        .join(rare, PAIR, "left")
-        .join(rates, "user_domain", "left")
-        .join(diversity, "user_domain", "left")
-        .select(*PAIR, "taux_echec_pct", "nb_machines_distinctes", "occurrences_paire")
+    known = rows.join(rare, PAIR, "left").join(rates, "user_domain", "left").join(diversity, "user_domain", "left")
+    # Each flag may be NULL, which is not a detection.
+    return known.withColumns(
+        {
+            "flag_echec": F.col("taux_echec_pct") > threshold(failure_rates, "taux_echec_pct").scalar(),
+            "flag_machines": F.col("nb_machines_distinctes")
+            > threshold(machines, "nb_machines_distinctes").scalar(),
+            "flag_paire_rare": F.col("occurrences_paire") == 1,
+        }
     )
 
 
-def _profile_flags(failure_rates: DataFrame, machines: DataFrame) -> dict[str, Column]:
-    """Flags that depend on the pair only. Each may be NULL, which is not a detection."""
-    return {
-        "flag_echec": F.col("taux_echec_pct") > threshold(failure_rates, "taux_echec_pct").scalar(),
-        "flag_machines": F.col("nb_machines_distinctes")
-        > threshold(machines, "nb_machines_distinctes").scalar(),
-        "flag_paire_rare": F.col("occurrences_paire") == 1,
-    }
+def _rare_of_list(attacks: DataFrame, pairs: DataFrame, small: bool) -> DataFrame:
+    """Rare pairs, only those of the attack list where that is small enough to send out."""
+    rare = _by_attack_name(pairs).withColumnRenamed("nb_occurrences", "occurrences_paire")
+    if small:
+        rare = rare.join(F.broadcast(attacks.select(*PAIR)), PAIR, "leftsemi")
+    return rare
 
 
 def detection_flags(
@@ -226,13 +238,13 @@ def detection_flags(
 ) -> DataFrame:
     """One row per matched event with the measures and the flag of each criterion."""
     small = fits_in_broadcast(attacks.select(*MOMENT), limit)
-    profile = _pair_profile(attacks, failure_rates, machines, pairs, small)
-    profile = profile.withColumns(_profile_flags(failure_rates, machines))
+    rare = _rare_of_list(attacks, pairs, small)
+    profile = _known_of_pairs(attacks.select(*PAIR).distinct(), failure_rates, machines, rare)
     if small:
         # One row per pair of a list that fits: the profile is no larger.
         events = _match_broadcast(attacks, silver).join(F.broadcast(profile), PAIR, "inner")
     else:
-        counted = _match_counts(attacks, silver, small)
+        counted = matches(attacks, silver, limit=0)
         events = repeat_rows(spread_lookup(counted, profile, PAIR, ["temps_secondes"], "inner"), "nb")
     return events.select(
         *MOMENT,
@@ -249,7 +261,7 @@ def detection_flags(
 
 def compare_criteria(
     attacks: DataFrame,
-    silver: DataFrame,
+    matched: DataFrame,
     failure_rates: DataFrame,
     machines: DataFrame,
     pairs: DataFrame,
@@ -257,23 +269,17 @@ def compare_criteria(
 ) -> DataFrame:
     """Events caught by each criterion and by any of them, with percentages; one row.
 
+    ``matched`` comes from `matches`, or from a strict validation table by `as_matches`.
     Works on counts per (user, machine, off-hours or not) instead of joined events.
     """
-    small = fits_in_broadcast(attacks.select(*MOMENT), limit)
-    profile = _pair_profile(attacks, failure_rates, machines, pairs, small)
-    profile = profile.withColumns(_profile_flags(failure_rates, machines))
-    weighted = (
-        _match_counts(attacks, silver, small)
-        .groupBy(*PAIR, c.off_hours(F.col("heure_du_jour")).alias("flag_horaire"))
-        .agg(F.sum("nb").alias("nb"))
-        .join(profile, PAIR, "inner")
+    rare = _rare_of_list(attacks, pairs, fits_in_broadcast(attacks.select(*MOMENT), limit))
+    weighted = matched.groupBy(*PAIR, c.off_hours(F.col("heure_du_jour")).alias("flag_horaire")).agg(
+        F.sum("nb").alias("nb")
     )
+    known = _known_of_pairs(weighted, failure_rates, machines, rare)
     flags = {name: F.col(flag) for name, flag in CRITERIA.items()}
-    caught_by_any = F.lit(False)
-    for flag in flags.values():
-        caught_by_any = caught_by_any | flag
-    flags[ANY_CRITERION] = caught_by_any
-    counts = weighted.agg(
+    flags[ANY_CRITERION] = reduce(Column.__or__, flags.values())
+    counts = known.agg(
         F.coalesce(F.sum("nb"), F.lit(0)).alias("total_evenements"),
         *[F.sum(F.when(flag, F.col("nb")).otherwise(0)).alias(f"detectes_{name}") for name, flag in flags.items()],
     )

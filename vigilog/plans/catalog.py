@@ -91,7 +91,7 @@ def _flags(attacks: DataFrame, silver: DataFrame) -> DataFrame:
 
 
 def _comparison(attacks: DataFrame, silver: DataFrame) -> DataFrame:
-    return detection.compare_criteria(attacks, silver, *_criteria_tables(silver))
+    return detection.compare_criteria(attacks, detection.matches(attacks, silver), *_criteria_tables(silver))
 
 
 def _thresholds(silver: DataFrame) -> DataFrame:
@@ -150,7 +150,9 @@ def all_queries() -> dict[str, Query]:
     found["validation_redteam_loose"] = _on_attacks(_loose)
     found["validation_redteam"] = _on_attacks(detection.validation_strict)
     found["taux_detection_loose"] = _on_attacks(_loose_rate)
-    found["taux_detection_rigoureux"] = _on_attacks(detection.detection_rate_strict)
+    found["taux_detection_rigoureux"] = _on_attacks(
+        lambda attacks, silver: detection.detection_rate_strict(detection.matches(attacks, silver))
+    )
     found["seuils_detection"] = _on_silver(_thresholds)
     found["detection_flags"] = _on_attacks(_flags)
     found["comparaison_criteres_detection"] = _on_attacks(_comparison)

@@ -28,6 +28,7 @@ from vigilog.sources.lake import (
     read_silver,
     write_all,
     write_by_day,
+    write_table,
 )
 
 FREQUENCY_COLUMNS = ("authentication_type", "logon_type", "authentication_orientation", "success_failure")
@@ -85,7 +86,7 @@ def gold_tables(spark: SparkSession, lake: Lake, redteam_path: str) -> dict[str,
         lake,
         {
             "gold_row_counts": gold.row_counts(written),
-            "taux_detection_loose": detection.detection_rate_loose(attacks, off_hours),
+            "taux_detection_loose": detection.detection_rate(written[VALIDATION_TABLE], "nb_detectes"),
         },
     )
 
@@ -97,16 +98,15 @@ def detect(spark: SparkSession, lake: Lake, redteam_path: str) -> dict[str, Data
     rates = spark.read.parquet(lake.gold("taux_echec_par_utilisateur"))
     machines = spark.read.parquet(lake.gold("machines_distinctes_par_utilisateur"))
     pairs = spark.read.parquet(lake.gold("paires_rares_utilisateur_machine"))
-    write_all(
-        {
-            lake.gold(VALIDATION_TABLE): detection.validation_strict(attacks, log),
-            lake.gold(COMPARISON_TABLE): detection.compare_criteria(attacks, log, rates, machines, pairs),
-        }
-    )
+    write_table(detection.validation_strict(attacks, log), lake.gold(VALIDATION_TABLE))
+    # The log is matched once; the rate and the comparison start from the written matches.
+    validation = spark.read.parquet(lake.gold(VALIDATION_TABLE))
+    matched = detection.as_matches(validation)
+    write_table(detection.compare_criteria(attacks, matched, rates, machines, pairs), lake.gold(COMPARISON_TABLE))
     return _save_reports(
         lake,
         {
-            "taux_detection_rigoureux": detection.detection_rate_strict(attacks, log),
+            "taux_detection_rigoureux": detection.detection_rate(validation, "nb_a_horaire_inhabituel"),
             "seuils_detection": detection.thresholds(rates, machines),
         },
     )
