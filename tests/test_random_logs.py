@@ -13,7 +13,7 @@ from vigilog.sources.lake import read_silver, write_by_day
 from vigilog.sources.schemas import AUTH_RAW, REDTEAM_RAW
 
 HOUR = 3600
-SECONDS = [-86400, -43200, -1, 0, 1, 1800, 1801, 5400, 21599, 21600, 43200, 43201, 79200, 79201, 84600, 86399, 86400, 129600, 30 * HOUR, 100 * HOUR]
+SECONDS = [-86400, -43200, -1, 0, 1, 1800, 1801, 5400, 21599, 21600, 43200, 43201, 79200, 79201, 84600, 86399, 86400, 129600, 30 * HOUR, 100 * HOUR, None]
 USERS = ["U1@D", "U2@D", "U3@D", "U4", "C9$@D", "?", None, "U5@D", "é@D", ""]
 MACHINES = ["C1", "C2", "C3", "CORP", "c4", "C5$", "TGT", "U7", "?", None, "SRV1", ""]
 TYPES = ["NTLM", "Kerberos", "?", None, "MICROSOFT_AUTHENTICATION_PACKAG", "MICROSOFT_AUTHENTICATION_PACKAGE_V1", "MICROSOFTxAUTHENTICATIONxPACKAGE"]

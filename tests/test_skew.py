@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vigilog.operators import cleaning, detection, gold, joins
 from vigilog.plans.fixture import attack_list, auth_log
+from vigilog.sources.lake import write_by_day
 
 NEVER_BROADCAST = 0
 
@@ -134,6 +135,28 @@ def test_repeat_rows(spark, times):
     assert {r.k: r["count"] for r in repeated} == {k: n for k, n in expected.items() if n}
 
 
+def test_copies_of_one_row_are_spread(spark):
+    df = spark.createDataFrame([("hot", 40 * joins.BLOCK_ROWS), ("cold", 1)], "k string, n bigint")
+    repeated = joins.repeat_rows(df, "n").groupBy(F.spark_partition_id().alias("task")).count().collect()
+    sizes = [r["count"] for r in repeated]
+    assert sum(sizes) == 40 * joins.BLOCK_ROWS + 1
+    assert len(sizes) == 8 and max(sizes) <= 7 * joins.BLOCK_ROWS
+
+
+def test_a_hot_day_is_cut(spark, tmp_path):
+    rows = spark.range(0, 200_000, 1, 16).select(
+        F.when(F.col("id") % 100 == 0, F.col("id") * 30).otherwise(5).alias("temps_secondes"),
+        F.sha2(F.col("id").cast("string"), 256).alias("texte"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        write_by_day(rows, str(tmp_path / "day"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "day" / "jour_part=0").glob("*.parquet"))) > 3
+    assert spark.read.parquet(str(tmp_path / "day")).count() == 200_000
+
+
 def test_spread_lookup(spark):
     left = spark.range(5000).select(
         F.when(F.col("id") < 4000, "hot").when(F.col("id") < 4900, F.col("id").cast("string")).alias("k"),

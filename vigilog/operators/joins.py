@@ -44,13 +44,16 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     """Emit each row ``times`` times (NULL or below 1: none) and drop that column.
 
     Rows are first cut into blocks of at most BLOCK_ROWS copies and the blocks dealt
-    out over all tasks, so a key with billions of copies is written in parallel.
+    out one by one, so a key with billions of copies is written in parallel. The number
+    of tasks is fixed: by bytes alone AQE would put many small blocks, hence very many
+    copies, into one task.
     """
-    wanted = df.where(F.col(times) > 0)
-    blocks = wanted.withColumn(
-        "_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / BLOCK_ROWS)))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last_block = F.floor((F.col(times) - 1) / BLOCK_ROWS)
+    blocks = df.where(F.col(times) > 0).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block))
     )
     size = F.least(F.lit(BLOCK_ROWS).cast("long"), F.col(times) - F.col("_block") * BLOCK_ROWS)
-    sized = blocks.withColumn("_size", size).drop("_block").hint("rebalance")
+    dealt = blocks.withColumn("_size", size).drop("_block").repartition(tasks)
     copies = F.explode(F.array_repeat(F.lit(True), F.col("_size").cast("int")))
-    return sized.withColumn("_copy", copies).drop("_copy", "_size", times)
+    return dealt.withColumn("_copy", copies).drop("_copy", "_size", times)

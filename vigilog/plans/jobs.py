@@ -79,7 +79,7 @@ def gold_tables(spark: SparkSession, lake: Lake, redteam_path: str) -> dict[str,
     write_all({lake.pairs(): pairs, **{lake.gold(name): df for name, df in from_log.items()}})
     from_pairs = gold.tables_from_pairs(spark.read.parquet(lake.pairs()))
     off_hours = spark.read.parquet(lake.gold("anomalies_horaires"))
-    from_pairs[VALIDATION_TABLE] = detection.validation_loose(attacks, off_hours)
+    from_pairs[VALIDATION_TABLE] = _in_few_files(detection.validation_loose(attacks, off_hours))
     write_all({lake.gold(name): df for name, df in from_pairs.items()})
     written = {name: spark.read.parquet(lake.gold(name)) for name in GOLD_TABLES}
     return _save_reports(
@@ -98,7 +98,7 @@ def detect(spark: SparkSession, lake: Lake, redteam_path: str) -> dict[str, Data
     rates = spark.read.parquet(lake.gold("taux_echec_par_utilisateur"))
     machines = spark.read.parquet(lake.gold("machines_distinctes_par_utilisateur"))
     pairs = spark.read.parquet(lake.gold("paires_rares_utilisateur_machine"))
-    write_table(detection.validation_strict(attacks, log), lake.gold(VALIDATION_TABLE))
+    write_table(_in_few_files(detection.validation_strict(attacks, log)), lake.gold(VALIDATION_TABLE))
     # The log is matched once; the rate and the comparison start from the written matches.
     validation = spark.read.parquet(lake.gold(VALIDATION_TABLE))
     matched = detection.as_matches(validation)
@@ -128,6 +128,11 @@ def serve(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     }
 
 
+def _in_few_files(df: DataFrame) -> DataFrame:
+    """Few matches come out of very many tasks; AQE gathers them by size."""
+    return df.hint("rebalance")
+
+
 def _save_reports(lake: Lake, reports: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Written first, so that showing them does not compute them again."""
     write_all({lake.report(name): df for name, df in reports.items()})
