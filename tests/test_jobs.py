@@ -11,6 +11,7 @@ from vigilog.plans import jobs
 from vigilog.plans.fixture import attack_list, auth_log
 from vigilog.plans.oracle import checks
 from vigilog.sources.lake import GOLD_TABLES, Lake, read_silver, register_views, write_table
+from vigilog.sources.raw import read_redteam
 from vigilog.sources.schemas import AUTH_SILVER
 
 
@@ -92,7 +93,7 @@ def test_invariants(spark, built):
 
 def test_comparison_counts_the_flags(spark, built):
     lake, redteam, _, _ = built
-    attacks = spark.read.schema("temps_secondes long, user_domain string, source_computer string, destination_computer string").csv(redteam)
+    attacks = detection.measured(read_redteam(spark, redteam))
     log = read_silver(spark, lake.silver(), with_day=True)
     tables = [
         table(spark, lake, name)

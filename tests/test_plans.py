@@ -56,7 +56,7 @@ def test_one_shuffle_per_simple_aggregate(zones):
 
 
 def test_small_list_never_shuffles_the_log(zones):
-    text = plan(detection.validation_strict(zones[1], zones[0]), "simple")
+    text = plan(detection.validation_strict(detection.measured(zones[1]), zones[0]), "simple")
     assert "BroadcastHashJoin" in text
     assert "Exchange hashpartitioning" not in text
     assert "dynamicpruning" in text
@@ -65,7 +65,7 @@ def test_small_list_never_shuffles_the_log(zones):
 def test_large_list_is_not_broadcast(spark, zones):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        matched = detection.validation_strict(zones[1], zones[0], limit=0)
+        matched = detection.validation_strict(detection.measured(zones[1], limit=0), zones[0])
         assert matched.collect()
         text = plan(matched, "simple")
     finally:
@@ -77,7 +77,7 @@ def test_large_list_is_not_broadcast(spark, zones):
 def test_days_without_attacks_are_not_read(zones):
     silver, attacks = zones
     one_day = attacks.where("temps_secondes BETWEEN 86400 AND 172799")
-    matched = detection.validation_strict(one_day, silver)
+    matched = detection.validation_strict(detection.measured(one_day), silver)
     assert matched.collect()
     final = plan(matched, "simple").split("== Initial Plan ==")[0]
     # The days come from the broadcast the join uses anyway.

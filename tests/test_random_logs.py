@@ -39,9 +39,9 @@ def random_log(seed, rows):
 
 @pytest.mark.parametrize("seed, rows", [(1, 40), (2, 1500)])
 def test_every_table(spark, tmp_path, seed, rows):
-    log, attacks = random_log(seed, rows)
+    log, known = random_log(seed, rows)
     spark.createDataFrame(log, AUTH_RAW).write.parquet(str(tmp_path / "auth_brut.parquet"))
-    spark.createDataFrame(attacks, REDTEAM_RAW).write.parquet(str(tmp_path / "redteam.parquet"))
+    spark.createDataFrame(known, REDTEAM_RAW).write.parquet(str(tmp_path / "redteam.parquet"))
     raw = spark.read.parquet(str(tmp_path / "auth_brut.parquet"))
     listed = spark.read.parquet(str(tmp_path / "redteam.parquet"))
     write_by_day(cleaning.to_silver(raw), str(tmp_path / "silver_by_day"))
@@ -57,18 +57,19 @@ def test_every_table(spark, tmp_path, seed, rows):
     for name, df in found.items():
         assert_same(df, str(tmp_path), sql[name])
     for limit in (joins.BROADCAST_LIMIT, 0):
+        attacks = detection.measured(listed, limit)
         for log_frame in (silver, dated):
             for name, df in {
-                "validation_redteam": detection.validation_strict(listed, log_frame, limit),
-                "taux_detection_rigoureux": detection.detection_rate_strict(detection.matches(listed, log_frame, limit)),
-                "detection_flags": detection.detection_flags(listed, log_frame, *tables, limit),
+                "validation_redteam": detection.validation_strict(attacks, log_frame),
+                "taux_detection_rigoureux": detection.detection_rate_strict(detection.matches(attacks, log_frame)),
+                "detection_flags": detection.detection_flags(attacks, log_frame, *tables),
                 "comparaison_criteres_detection": detection.compare_criteria(
-                    listed, detection.matches(listed, log_frame, limit), *tables, limit
+                    attacks, detection.matches(attacks, log_frame), *tables
                 ),
             }.items():
                 assert_same(df, str(tmp_path), sql[name])
         for name, df in {
-            "validation_redteam_loose": detection.validation_loose(listed, off_hours, limit),
-            "taux_detection_loose": detection.detection_rate_loose(listed, off_hours, limit),
+            "validation_redteam_loose": detection.validation_loose(attacks, off_hours),
+            "taux_detection_loose": detection.detection_rate_loose(attacks, off_hours),
         }.items():
             assert_same(df, str(tmp_path), sql[name])

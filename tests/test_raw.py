@@ -13,14 +13,13 @@ from vigilog.sources.lake import Lake, read_landed, read_silver
 from vigilog.sources.schemas import AUTH_RAW, AUTH_SILVER, REDTEAM_RAW
 
 AUTH_LINES = [
-    "1,C625$@DOM1,U147@DOM1,C625,C625,Negotiate,Batch,LogOn,Success",
-    "1,C653$@DOM1,SYSTEM@C653,C653,C653,Negotiate,Service,LogOn,Success",
-    "1,C660$@DOM1,SYSTEM@C660,C660,C660,Negotiate,Service,LogOn,Success",
+    "3,C41$@DOM2,U90@DOM2,C41,C7,Kerberos,Network,LogOn,Success",
+    "3,U12@DOM2,SYSTEM@C41,C41,TGT,NTLM,Interactive,LogOff,Fail",
+    "8,?,U90@DOM2,C7,C41,?,?,LogOn,Success",
 ]
 REDTEAM_LINES = [
-    "151648,U748@DOM1,C17693,C728",
-    "151993,U6115@DOM1,C17693,C1173",
-    "153792,U636@DOM1,C17693,C294",
+    "90210,U12@DOM2,C41,C7",
+    "90355,U77@DOM3,C41,C1044",
 ]
 
 

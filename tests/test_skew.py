@@ -14,12 +14,16 @@ from vigilog.sources.lake import write_by_day
 NEVER_BROADCAST = 0
 
 
-def rate_strict(attacks, log, limit=joins.BROADCAST_LIMIT):
-    return detection.detection_rate_strict(detection.matches(attacks, log, limit))
+def rate_strict(attacks, log):
+    return detection.detection_rate_strict(detection.matches(attacks, log))
 
 
-def compare(attacks, log, *tables, limit=joins.BROADCAST_LIMIT):
-    return detection.compare_criteria(attacks, detection.matches(attacks, log, limit), *tables, limit)
+def compare(attacks, log, *tables):
+    return detection.compare_criteria(attacks, detection.matches(attacks, log), *tables)
+
+
+def both_ways(attacks):
+    return [detection.measured(attacks, limit) for limit in (joins.BROADCAST_LIMIT, NEVER_BROADCAST)]
 
 
 def counted(df):
@@ -69,8 +73,7 @@ def test_both_ways_give_the_same_rows(skewed):
         (detection.detection_flags, (log, *tables)),
         (compare, (log, *tables)),
     ):
-        small = counted(make(attacks, *inputs))
-        large = counted(make(attacks, *inputs, limit=NEVER_BROADCAST))
+        small, large = (counted(make(listed, *inputs)) for listed in both_ways(attacks))
         assert small and small == large, make.__name__
 
 
@@ -79,24 +82,18 @@ def test_strict_fan_out_of_a_hot_second(skewed):
     second = (F.col("temps_secondes") == 3600) & (F.col("user_domain") == "UHOT@DOM1")
     events = log.where("temps_secondes = 3600 AND source_user_domain = 'UHOT@DOM1'").count()
     assert events >= rows // 2
-    for limit in (joins.BROADCAST_LIMIT, NEVER_BROADCAST):
-        matched = detection.validation_strict(attacks, log, limit)
+    for listed in both_ways(attacks):
+        matched = detection.validation_strict(listed, log)
         assert matched.where(second).count() == 3 * events
 
 
 def test_rates_count_the_validated_rows(skewed):
     attacks, log, _ = skewed
     off_hours = gold.off_hours_activity(log)
-    for limit in (joins.BROADCAST_LIMIT, NEVER_BROADCAST):
+    for listed in both_ways(attacks):
         for rows, rate in (
-            (
-                detection.validation_loose(attacks, off_hours, limit),
-                detection.detection_rate_loose(attacks, off_hours, limit),
-            ),
-            (
-                detection.validation_strict(attacks, log, limit),
-                rate_strict(attacks, log, limit),
-            ),
+            (detection.validation_loose(listed, off_hours), detection.detection_rate_loose(listed, off_hours)),
+            (detection.validation_strict(listed, log), rate_strict(listed, log)),
         ):
             flags = Counter(row.detecte_par_anomalie_horaire for row in rows.collect())
             total, found, percent = rate.first()
@@ -183,9 +180,9 @@ def test_no_attack_matches(spark, skewed):
     attacks = spark.createDataFrame([(-5, "U0@X", "C1", "C2")], "temps_secondes long, user_domain string, source_computer string, destination_computer string")
     pairs = gold.pair_activity(log)
     tables = gold.failure_rate_by_user(pairs), gold.machines_by_user(pairs), gold.rare_pairs(pairs)
-    for limit in (joins.BROADCAST_LIMIT, NEVER_BROADCAST):
-        assert detection.validation_strict(attacks, log, limit).count() == 0
-        row = compare(attacks, log, *tables, limit=limit).first()
+    for listed in both_ways(attacks):
+        assert detection.validation_strict(listed, log).count() == 0
+        row = compare(listed, log, *tables).first()
         assert row.total_evenements == 0 and row.detectes_horaire is None and row.pct_horaire is None
-        loose = detection.validation_loose(attacks, gold.off_hours_activity(log), limit).collect()
+        loose = detection.validation_loose(listed, gold.off_hours_activity(log)).collect()
         assert [tuple(r) for r in loose] == [(-5, "U0@X", "C2", False)]

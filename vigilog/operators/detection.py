@@ -10,6 +10,7 @@ Results that are only counted never repeat them.
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,19 @@ CRITERIA = {
 ANY_CRITERION = "au_moins_un"
 
 
+class AttackList(NamedTuple):
+    """Known attacks, and whether they were measured small enough to broadcast."""
+
+    rows: DataFrame
+    small: bool
+
+
+def measured(attacks: DataFrame, limit: int = BROADCAST_LIMIT) -> AttackList:
+    """One pass over the list; a limit of 0 always takes the way of large lists."""
+    rows = attacks.select(*MOMENT)
+    return AttackList(rows, fits_in_broadcast(rows, limit))
+
+
 def _by_attack_name(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed("source_user_domain", "user_domain")
 
@@ -47,30 +61,28 @@ def _rows_per(df: DataFrame, keys: list[str], name: str) -> DataFrame:
 # -- loose validation: was the pair ever active off hours? ---------------------------
 
 
-def _off_hours_rows(pairs: DataFrame, off_hours: DataFrame, small: bool) -> DataFrame:
+def _off_hours_rows(attacks: AttackList, off_hours: DataFrame) -> DataFrame:
     """Off-hours rows per (user, machine), only for the pairs of the attack list if small.
 
     Catalyst pushes the broadcast semi-join below the aggregation that made `off_hours`
     when that is still a plan and not a written table.
     """
     rows = _by_attack_name(off_hours).select(*PAIR)
-    if small:
-        rows = rows.join(F.broadcast(pairs), PAIR, "leftsemi")
+    if attacks.small:
+        rows = rows.join(F.broadcast(attacks.rows.select(*PAIR)), PAIR, "leftsemi")
     return _rows_per(rows, PAIR, "nb_anomalies")
 
 
-def validation_loose(attacks: DataFrame, off_hours: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+def validation_loose(attacks: AttackList, off_hours: DataFrame) -> DataFrame:
     """Each attack with whether its pair was ever seen off hours.
 
     A left join that keeps its fan-out: one row per off-hours row of the pair.
     """
-    listed = attacks.select(*MOMENT)
-    small = fits_in_broadcast(listed, limit)
-    seen = _off_hours_rows(listed.select(*PAIR), off_hours, small)
-    if small:
-        joined = listed.withColumn("nb", F.lit(1)).join(F.broadcast(seen), PAIR, "left")
+    seen = _off_hours_rows(attacks, off_hours)
+    if attacks.small:
+        joined = attacks.rows.withColumn("nb", F.lit(1)).join(F.broadcast(seen), PAIR, "left")
     else:
-        joined = spread_lookup(_rows_per(listed, MOMENT, "nb"), seen, PAIR, ["temps_secondes"])
+        joined = spread_lookup(_rows_per(attacks.rows, MOMENT, "nb"), seen, PAIR, ["temps_secondes"])
     flagged = joined.select(
         *MOMENT,
         F.col("nb_anomalies").isNotNull().alias("detecte_par_anomalie_horaire"),
@@ -79,12 +91,9 @@ def validation_loose(attacks: DataFrame, off_hours: DataFrame, limit: int = BROA
     return repeat_rows(flagged, "nb")
 
 
-def detection_rate_loose(attacks: DataFrame, off_hours: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+def detection_rate_loose(attacks: AttackList, off_hours: DataFrame) -> DataFrame:
     """Detection rate over the rows of `validation_loose`, counted per pair."""
-    listed = attacks.select(*PAIR)
-    per_pair = _rows_per(listed, PAIR, "nb")
-    seen = _off_hours_rows(listed, off_hours, fits_in_broadcast(listed, limit))
-    joined = per_pair.join(seen, PAIR, "left")
+    joined = _rows_per(attacks.rows, PAIR, "nb").join(_off_hours_rows(attacks, off_hours), PAIR, "left")
     # The list may name no user or machine; such rows match nothing but still count.
     total = F.sum(F.col("nb") * F.coalesce("nb_anomalies", F.lit(1)))
     found = F.sum(F.col("nb") * F.coalesce("nb_anomalies", F.lit(0)))
@@ -116,32 +125,34 @@ def _log_side(silver: DataFrame) -> DataFrame:
     return _by_attack_name(silver).select(*MOMENT, "heure_du_jour", *day)
 
 
-def _attack_side(attacks: DataFrame, log: DataFrame) -> DataFrame:
-    listed = attacks.select(*MOMENT)
+def _attack_side(attacks: AttackList, log: DataFrame) -> DataFrame:
     if DAY_PARTITION not in log.columns:
-        return listed
+        return attacks.rows
     # The cleaned log never holds the missing mark, so the filter drops no match; a
     # filtered side is what lets Spark prune the days of the log at run time.
-    return listed.where(F.col("user_domain") != c.MISSING).withColumn(
+    return attacks.rows.where(F.col("user_domain") != c.MISSING).withColumn(
         DAY_PARTITION, c.calendar_day(F.col("temps_secondes"))
     )
 
 
-def _match_broadcast(attacks: DataFrame, silver: DataFrame) -> DataFrame:
+def _match_broadcast(attacks: AttackList, silver: DataFrame) -> DataFrame:
     log = _log_side(silver)
     listed = _attack_side(attacks, log)
-    keys = listed.columns
-    return log.join(F.broadcast(listed), keys, "inner").select(*MOMENT, "heure_du_jour")
+    return log.join(F.broadcast(listed), listed.columns, "inner").select(*MOMENT, "heure_du_jour")
 
 
-def matches(attacks: DataFrame, silver: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+def matches(attacks: AttackList, silver: DataFrame) -> DataFrame:
     """Matched (second, user, machine) with ``nb``, the joined rows each line stands for.
 
     From a broadcast list every joined row is a line of its own: whoever counts them
     adds them up before its shuffle. Otherwise there is one line per key.
     """
-    if fits_in_broadcast(attacks.select(*MOMENT), limit):
+    if attacks.small:
         return as_matches(_match_broadcast(attacks, silver))
+    return _match_counts(attacks, silver)
+
+
+def _match_counts(attacks: AttackList, silver: DataFrame) -> DataFrame:
     log = _log_side(silver)
     listed = _attack_side(attacks, log)
     keys = listed.columns
@@ -157,12 +168,12 @@ def as_matches(validation: DataFrame) -> DataFrame:
     return validation.select(*MOMENT, "heure_du_jour", F.lit(1).cast("long").alias("nb"))
 
 
-def validation_strict(attacks: DataFrame, silver: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+def validation_strict(attacks: AttackList, silver: DataFrame) -> DataFrame:
     """Attacks joined to the log on user, machine and second, every match kept."""
-    if fits_in_broadcast(attacks.select(*MOMENT), limit):
+    if attacks.small:
         matched = _match_broadcast(attacks, silver)
     else:
-        matched = repeat_rows(matches(attacks, silver, limit=0), "nb")
+        matched = repeat_rows(_match_counts(attacks, silver), "nb")
     flag = F.coalesce(c.off_hours(F.col("heure_du_jour")), F.lit(False))
     return matched.withColumn("detecte_par_anomalie_horaire", flag)
 
@@ -220,31 +231,29 @@ def _known_of_pairs(rows: DataFrame, failure_rates: DataFrame, machines: DataFra
     )
 
 
-def _rare_of_list(attacks: DataFrame, pairs: DataFrame, small: bool) -> DataFrame:
+def _rare_of_list(attacks: AttackList, pairs: DataFrame) -> DataFrame:
     """Rare pairs, only those of the attack list where that is small enough to send out."""
     rare = _by_attack_name(pairs).withColumnRenamed("nb_occurrences", "occurrences_paire")
-    if small:
-        rare = rare.join(F.broadcast(attacks.select(*PAIR)), PAIR, "leftsemi")
+    if attacks.small:
+        rare = rare.join(F.broadcast(attacks.rows.select(*PAIR)), PAIR, "leftsemi")
     return rare
 
 
 def detection_flags(
-    attacks: DataFrame,
+    attacks: AttackList,
     silver: DataFrame,
     failure_rates: DataFrame,
     machines: DataFrame,
     pairs: DataFrame,
-    limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """One row per matched event with the measures and the flag of each criterion."""
-    small = fits_in_broadcast(attacks.select(*MOMENT), limit)
-    rare = _rare_of_list(attacks, pairs, small)
-    profile = _known_of_pairs(attacks.select(*PAIR).distinct(), failure_rates, machines, rare)
-    if small:
+    rare = _rare_of_list(attacks, pairs)
+    profile = _known_of_pairs(attacks.rows.select(*PAIR).distinct(), failure_rates, machines, rare)
+    if attacks.small:
         # One row per pair of a list that fits: the profile is no larger.
         events = _match_broadcast(attacks, silver).join(F.broadcast(profile), PAIR, "inner")
     else:
-        counted = matches(attacks, silver, limit=0)
+        counted = _match_counts(attacks, silver)
         events = repeat_rows(spread_lookup(counted, profile, PAIR, ["temps_secondes"], "inner"), "nb")
     return events.select(
         *MOMENT,
@@ -260,19 +269,18 @@ def detection_flags(
 
 
 def compare_criteria(
-    attacks: DataFrame,
+    attacks: AttackList,
     matched: DataFrame,
     failure_rates: DataFrame,
     machines: DataFrame,
     pairs: DataFrame,
-    limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Events caught by each criterion and by any of them, with percentages; one row.
 
     ``matched`` comes from `matches`, or from a strict validation table by `as_matches`.
     Works on counts per (user, machine, off-hours or not) instead of joined events.
     """
-    rare = _rare_of_list(attacks, pairs, fits_in_broadcast(attacks.select(*MOMENT), limit))
+    rare = _rare_of_list(attacks, pairs)
     weighted = matched.groupBy(*PAIR, c.off_hours(F.col("heure_du_jour")).alias("flag_horaire")).agg(
         F.sum("nb").alias("nb")
     )

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from vigilog.operators import cleaning, detection, gold, profiling, serving
+from vigilog.operators.detection import AttackList
 from vigilog.plans.fixture import attack_list, auth_log
 from vigilog.sources import lake, raw
 
@@ -21,9 +22,10 @@ def _on_silver(make: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: make(cleaning.to_silver(auth_log(spark, sf_dir)))
 
 
-def _on_attacks(make: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+def _on_attacks(make: Callable[[AttackList, DataFrame], DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return make(attack_list(spark, sf_dir), cleaning.to_silver(auth_log(spark, sf_dir)))
+        attacks = detection.measured(attack_list(spark, sf_dir))
+        return make(attacks, cleaning.to_silver(auth_log(spark, sf_dir)))
 
     return query
 
@@ -68,11 +70,11 @@ def silver_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- detection ------------------------------------------------------------------------
 
 
-def _loose(attacks: DataFrame, silver: DataFrame) -> DataFrame:
+def _loose(attacks: AttackList, silver: DataFrame) -> DataFrame:
     return detection.validation_loose(attacks, gold.off_hours_activity(silver))
 
 
-def _loose_rate(attacks: DataFrame, silver: DataFrame) -> DataFrame:
+def _loose_rate(attacks: AttackList, silver: DataFrame) -> DataFrame:
     return detection.detection_rate_loose(attacks, gold.off_hours_activity(silver))
 
 
@@ -86,11 +88,11 @@ def _criteria_tables(silver: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
     return gold.failure_rate_by_user(pairs), gold.machines_by_user(pairs), gold.rare_pairs(pairs)
 
 
-def _flags(attacks: DataFrame, silver: DataFrame) -> DataFrame:
+def _flags(attacks: AttackList, silver: DataFrame) -> DataFrame:
     return detection.detection_flags(attacks, silver, *_criteria_tables(silver))
 
 
-def _comparison(attacks: DataFrame, silver: DataFrame) -> DataFrame:
+def _comparison(attacks: AttackList, silver: DataFrame) -> DataFrame:
     return detection.compare_criteria(attacks, detection.matches(attacks, silver), *_criteria_tables(silver))
 
 
@@ -115,7 +117,7 @@ GOLD = {
 }
 
 
-def _gold_counts(attacks: DataFrame, silver: DataFrame) -> DataFrame:
+def _gold_counts(attacks: AttackList, silver: DataFrame) -> DataFrame:
     tables = {**gold.tables_from_log(silver), **gold.tables_from_pairs(_pairs(silver))}
     return gold.row_counts({**tables, "validation_redteam": _loose(attacks, silver)})
 

@@ -73,7 +73,7 @@ def silver(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
 def gold_tables(spark: SparkSession, lake: Lake, redteam_path: str) -> dict[str, DataFrame]:
     """The seven aggregates, the first validation and the row count of each table."""
     log = read_silver(spark, lake.silver())
-    attacks = raw.read_redteam(spark, redteam_path)
+    attacks = detection.measured(raw.read_redteam(spark, redteam_path))
     pairs = gold.pair_activity(log)
     from_log = gold.tables_from_log(log)
     write_all({lake.pairs(): pairs, **{lake.gold(name): df for name, df in from_log.items()}})
@@ -94,7 +94,7 @@ def gold_tables(spark: SparkSession, lake: Lake, redteam_path: str) -> dict[str,
 def detect(spark: SparkSession, lake: Lake, redteam_path: str) -> dict[str, DataFrame]:
     """Strict validation in place of the first one, thresholds and comparison of criteria."""
     log = read_silver(spark, lake.silver(), with_day=True)
-    attacks = raw.read_redteam(spark, redteam_path)
+    attacks = detection.measured(raw.read_redteam(spark, redteam_path))
     rates = spark.read.parquet(lake.gold("taux_echec_par_utilisateur"))
     machines = spark.read.parquet(lake.gold("machines_distinctes_par_utilisateur"))
     pairs = spark.read.parquet(lake.gold("paires_rares_utilisateur_machine"))
