@@ -11,7 +11,6 @@ from vigilog.plans import jobs
 from vigilog.plans.fixture import attack_list, auth_log
 from vigilog.plans.oracle import checks
 from vigilog.sources.lake import GOLD_TABLES, Lake, read_silver, register_views, write_table
-from vigilog.sources.raw import read_redteam
 from vigilog.sources.schemas import AUTH_SILVER
 
 
@@ -22,13 +21,13 @@ def built(spark, sf_dir, tmp_path_factory):
     auth_log(spark, sf_dir).write.option("compression", "gzip").csv(auth)
     attack_list(spark, sf_dir).write.option("compression", "gzip").csv(redteam)
     lake = Lake(str(base / "lake"))
-    jobs.land(spark, lake, auth)
+    jobs.land(spark, lake, auth, redteam)
     reports = {f"profile_{k}": v for k, v in jobs.profile(spark, lake).items()}
     reports.update(jobs.silver(spark, lake))
-    reports.update(jobs.gold_tables(spark, lake, redteam))
+    reports.update(jobs.gold_tables(spark, lake))
     loose = spark.read.parquet(lake.gold("validation_redteam")).count()
-    reports.update(jobs.detect(spark, lake, redteam))
-    return lake, redteam, reports, loose
+    reports.update(jobs.detect(spark, lake))
+    return lake, reports, loose
 
 
 def table(spark, lake, name):
@@ -57,7 +56,7 @@ def test_written_tables(spark, sf_dir, built, name):
     ],
 )
 def test_reports(sf_dir, built, report, check):
-    assert_same(built[2][report], sf_dir, checks()[check])
+    assert_same(built[1][report], sf_dir, checks()[check])
 
 
 def test_served_queries(spark, sf_dir, built):
@@ -72,7 +71,7 @@ def test_silver_schema_survives(spark, built):
 
 
 def test_invariants(spark, built):
-    lake, _, _, loose = built
+    lake, _, loose = built
     silver = read_silver(spark, lake.silver())
     total = silver.count()
     known = silver.where("source_user_domain IS NOT NULL").count()
@@ -92,8 +91,8 @@ def test_invariants(spark, built):
 
 
 def test_comparison_counts_the_flags(spark, built):
-    lake, redteam, _, _ = built
-    attacks = detection.measured(read_redteam(spark, redteam))
+    lake = built[0]
+    attacks = detection.measured(spark.read.parquet(lake.attacks()))
     log = read_silver(spark, lake.silver(), with_day=True)
     tables = [
         table(spark, lake, name)
@@ -110,8 +109,8 @@ def test_comparison_counts_the_flags(spark, built):
 
 
 def test_views_for_sql_users(spark, built):
-    lake, redteam, _, _ = built
-    names = register_views(spark, lake, redteam)
+    lake = built[0]
+    names = register_views(spark, lake)
     assert {"auth_brut", "auth_silver", "redteam", "validation_redteam"} <= set(names)
     joined = spark.sql(
         """SELECT count(*) AS n FROM redteam r JOIN auth_silver s
@@ -132,10 +131,10 @@ def test_codecs(spark, tmp_path, built):
 
 
 def test_jobs_can_be_run_again(spark, built):
-    lake, redteam, reports, _ = built
+    lake = built[0]
     before = table(spark, lake, "comparaison_criteres_detection").collect()
-    jobs.gold_tables(spark, lake, redteam)
-    jobs.detect(spark, lake, redteam)
+    jobs.gold_tables(spark, lake)
+    jobs.detect(spark, lake)
     assert table(spark, lake, "comparaison_criteres_detection").collect() == before
 
 
@@ -146,7 +145,7 @@ def test_command_line(built, capsys):
 
 
 def test_command_line_wants_its_inputs():
-    for arguments in (["land", "--lake", "x"], ["gold", "--lake", "x"], ["detect", "--lake", "x"]):
+    for arguments in (["land", "--lake", "x"], ["land", "--lake", "x", "--auth", "y"], ["gold"], ["nothing", "--lake", "x"]):
         with pytest.raises(SystemExit):
             jobs.main(arguments)
 

@@ -49,8 +49,17 @@ def test_sample_lines(spark, tmp_path):
 )
 def test_landing_refuses_a_malformed_line(spark, tmp_path, bad):
     path = gz(tmp_path / "auth.txt.gz", [*AUTH_LINES, bad])
+    attacks = gz(tmp_path / "redteam.txt.gz", REDTEAM_LINES)
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
-        jobs.land(spark, Lake(str(tmp_path / "lake")), path)
+        jobs.land(spark, Lake(str(tmp_path / "lake")), path, attacks)
+
+
+@pytest.mark.parametrize("bad", ["zz,U1@D,C1,C2", "5,U1@D,C1", "5,U1@D,C1,C2,extra"])
+def test_landing_refuses_a_malformed_attack(spark, tmp_path, bad):
+    path = gz(tmp_path / "auth.txt.gz", AUTH_LINES)
+    attacks = gz(tmp_path / "redteam.txt.gz", [*REDTEAM_LINES, bad])
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        jobs.land(spark, Lake(str(tmp_path / "lake")), path, attacks)
 
 
 def test_empty_field_and_backslash(spark, tmp_path):
@@ -76,8 +85,10 @@ def test_landing_splits_one_gzip_file(spark, tmp_path):
     path = gz(tmp_path / "auth.txt.gz", lines)
     source = raw.read_auth(spark, path)
     assert source.rdd.getNumPartitions() == 1
+    attacks = gz(tmp_path / "redteam.txt.gz", REDTEAM_LINES)
     lake = Lake(str(tmp_path / "lake"))
-    jobs.land(spark, lake, path)
+    jobs.land(spark, lake, path, attacks)
+    assert spark.read.parquet(lake.attacks()).schema == REDTEAM_RAW
     landed = read_landed(spark, lake.landed())
     assert landed.schema == AUTH_RAW
     assert landed.exceptAll(source).count() == 0 and landed.count() == len(lines)

@@ -1,10 +1,10 @@
 """Jobs for spark-submit: each reads one zone of a lake and writes the next.
 
-    spark-submit vigilog/plans/jobs.py land    --lake URI --auth FILES
+    spark-submit vigilog/plans/jobs.py land    --lake URI --auth FILES --redteam FILES
     spark-submit vigilog/plans/jobs.py profile --lake URI
     spark-submit vigilog/plans/jobs.py silver  --lake URI
-    spark-submit vigilog/plans/jobs.py gold    --lake URI --redteam FILES
-    spark-submit vigilog/plans/jobs.py detect  --lake URI --redteam FILES
+    spark-submit vigilog/plans/jobs.py gold    --lake URI
+    spark-submit vigilog/plans/jobs.py detect  --lake URI
     spark-submit vigilog/plans/jobs.py serve   --lake URI
 
 A job may be run again at any time: it overwrites what it wrote and reads nothing that
@@ -37,13 +37,15 @@ COMPUTER_COLUMNS = ("source_computer", "destination_computer")
 VALIDATION_TABLE = "validation_redteam"
 
 
-def land(spark: SparkSession, lake: Lake, auth_path: str) -> None:
-    """Strict read of the raw log into a splittable copy of the same nine columns.
+def land(spark: SparkSession, lake: Lake, auth_path: str, redteam_path: str) -> None:
+    """Strict read of the raw files into splittable copies of the same columns.
 
+    All columns are read here, so a malformed line anywhere stops the job.
     A gzip file is one partition however large it is, so its rows have to be shuffled
     once. Gathering them by day in that shuffle spares every later job another one.
     """
     write_by_day(raw.read_auth(spark, auth_path), lake.landed())
+    write_table(raw.read_redteam(spark, redteam_path), lake.attacks())
 
 
 def profile(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
@@ -70,10 +72,10 @@ def silver(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     )
 
 
-def gold_tables(spark: SparkSession, lake: Lake, redteam_path: str) -> dict[str, DataFrame]:
+def gold_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     """The seven aggregates, the first validation and the row count of each table."""
     log = read_silver(spark, lake.silver())
-    attacks = detection.measured(raw.read_redteam(spark, redteam_path))
+    attacks = detection.measured(spark.read.parquet(lake.attacks()))
     pairs = gold.pair_activity(log)
     from_log = gold.tables_from_log(log)
     write_all({lake.pairs(): pairs, **{lake.gold(name): df for name, df in from_log.items()}})
@@ -91,10 +93,10 @@ def gold_tables(spark: SparkSession, lake: Lake, redteam_path: str) -> dict[str,
     )
 
 
-def detect(spark: SparkSession, lake: Lake, redteam_path: str) -> dict[str, DataFrame]:
+def detect(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     """Strict validation in place of the first one, thresholds and comparison of criteria."""
     log = read_silver(spark, lake.silver(), with_day=True)
-    attacks = detection.measured(raw.read_redteam(spark, redteam_path))
+    attacks = detection.measured(spark.read.parquet(lake.attacks()))
     rates = spark.read.parquet(lake.gold("taux_echec_par_utilisateur"))
     machines = spark.read.parquet(lake.gold("machines_distinctes_par_utilisateur"))
     pairs = spark.read.parquet(lake.gold("paires_rares_utilisateur_machine"))
@@ -146,22 +148,16 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--auth", help="raw authentication log (CSV, optionally gzip)")
     parser.add_argument("--redteam", help="raw list of known attacks (CSV, optionally gzip)")
     given = parser.parse_args(arguments)
-    if given.job == "land" and not given.auth:
-        parser.error("land needs --auth")
-    if given.job in ("gold", "detect") and not given.redteam:
-        parser.error(f"{given.job} needs --redteam")
+    if given.job == "land" and not (given.auth and given.redteam):
+        parser.error("land needs --auth and --redteam")
 
     spark = SparkSession.builder.appName(f"vigilog-{given.job}").getOrCreate()
     lake = Lake(given.lake)
     if given.job == "land":
-        land(spark, lake, given.auth)
-        reports = {}
-    elif given.job == "gold":
-        reports = gold_tables(spark, lake, given.redteam)
-    elif given.job == "detect":
-        reports = detect(spark, lake, given.redteam)
-    else:
-        reports = {"profile": profile, "silver": silver, "serve": serve}[given.job](spark, lake)
+        land(spark, lake, given.auth, given.redteam)
+        return
+    run = {"profile": profile, "silver": silver, "gold": gold_tables, "detect": detect, "serve": serve}[given.job]
+    reports = run(spark, lake)
     for name, df in reports.items():
         print(f"--- {name}")
         df.show(25, truncate=False)

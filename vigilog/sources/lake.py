@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from vigilog.functions.columns import calendar_day
-from vigilog.sources.raw import read_redteam
 from vigilog.sources.schemas import AUTH_RAW, AUTH_SILVER
 
 DAY_PARTITION = "jour_part"
 SILVER_TABLE = "auth_silver"
 LANDED_TABLE = "auth_brut"
+ATTACK_TABLE = "redteam"
 GOLD_TABLES = (
     "connexions_par_utilisateur_heure",
     "activite_par_machine",
@@ -40,6 +40,9 @@ class Lake:
     def landed(self) -> str:
         return f"{self.base}/bronze_parquet/{LANDED_TABLE}.parquet"
 
+    def attacks(self) -> str:
+        return f"{self.base}/bronze_parquet/{ATTACK_TABLE}.parquet"
+
     def silver(self) -> str:
         return f"{self.base}/silver/{SILVER_TABLE}.parquet"
 
@@ -116,19 +119,17 @@ def read_silver(spark: SparkSession, path: str, with_day: bool = False) -> DataF
     return _read_by_day(spark, path, AUTH_SILVER, with_day)
 
 
-def register_views(spark: SparkSession, lake: Lake, redteam_path: str | None = None) -> list[str]:
-    """Temp views for SQL users: raw copy, attack list, cleaned table and every Gold table.
+def register_views(spark: SparkSession, lake: Lake) -> list[str]:
+    """Temp views for SQL users: raw copies, cleaned table and every Gold table.
 
     Tables not written yet are skipped. Returns the names registered.
     """
-    paths = {LANDED_TABLE: lake.landed(), SILVER_TABLE: lake.silver()}
+    paths = {LANDED_TABLE: lake.landed(), ATTACK_TABLE: lake.attacks(), SILVER_TABLE: lake.silver()}
     paths.update({name: lake.gold(name) for name in (*GOLD_TABLES, COMPARISON_TABLE)})
     views = {name: _read_if_written(spark, path) for name, path in paths.items()}
     for name, schema in ((LANDED_TABLE, AUTH_RAW), (SILVER_TABLE, AUTH_SILVER)):
         if views[name] is not None:
             views[name] = views[name].select(*schema.names)
-    if redteam_path:
-        views["redteam"] = read_redteam(spark, redteam_path)
     registered = []
     for name, df in views.items():
         if df is not None:
