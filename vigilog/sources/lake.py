@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from functools import lru_cache
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -57,14 +60,38 @@ class Lake:
         return f"{self.base}/rapports/{name}.parquet"
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder for an intermediate table, in the shared folder the cluster names."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="vigilog-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+@lru_cache(maxsize=None)
+def _local_base(application: str) -> str:
+    """A folder of this process for a local session, removed when the process ends."""
+    base = tempfile.mkdtemp(prefix=f"vigilog-{application}-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
+
+
+def scratch_base(spark: SparkSession) -> str:
+    """The shared folder the session names in ``spark.checkpoint.dir``.
+
+    A folder set for the session wins over one set when it started. Only a local session
+    that names none gets a folder of its own machine.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return shared
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return _local_base(context.applicationId)
+
+
+def scratch_path(spark: SparkSession, name: str, base: str | None = None) -> str:
+    """A new folder for an intermediate table.
+
+    Everything a session writes lies below one folder, ``vigilog-<application id>``, in
+    ``base`` or in the session's shared folder. Results read from there stay valid until
+    that folder is deleted, which is the owner's to do once the session has ended.
+    """
+    base = (base or scratch_base(spark)).rstrip("/")
+    return f"{base}/vigilog-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def write_table(df: DataFrame, path: str, compression: str | None = "zstd") -> None:
