@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigilog.llm import language, pieces
+from vigilog.llm import language, pieces, repetition, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op4_repetition": repetition.query,
+        "op7_simhash": simhash.query,
         "op8_sentencepiece": pieces.query,
         "op9_language_id": language.query,
     }
