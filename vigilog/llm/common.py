@@ -110,11 +110,16 @@ def sample_per_label(rows: DataFrame, label: str, totals: dict, per_label: int,
     """
     if not totals:
         return rows.limit(0)
+    # Bits the order of the exact cut doesn't begin with.
     draw = F.pmod(F.xxhash64(*identity), F.lit(1 << 30)) / F.lit(float(1 << 30))
     share = F.create_map(*[F.lit(x) for value, total in totals.items() for x in (value, 4.0 * per_label / total)])
-    drawn = rows.withColumn("__draw", draw).where(F.col("__draw") < share[F.col(label)])
-    place = F.row_number().over(Window.partitionBy(label).orderBy("__draw", *identity))
-    return drawn.withColumn("__place", place).where(F.col("__place") <= per_label).drop("__draw", "__place")
+    return first_per_label(rows.where(draw < share[F.col(label)]), label, per_label, identity)
+
+
+def first_per_label(rows: DataFrame, label: str, per_label: int, identity: list[str]) -> DataFrame:
+    """The ``per_label`` rows of each label with the lowest hashes of their identity."""
+    place = F.row_number().over(Window.partitionBy(label).orderBy(F.xxhash64(*identity), *identity))
+    return rows.withColumn("__place", place).where(F.col("__place") <= per_label).drop("__place")
 
 
 def float_rows(matrix: np.ndarray) -> pa.Array:
@@ -122,3 +127,27 @@ def float_rows(matrix: np.ndarray) -> pa.Array:
     count, width = matrix.shape
     offsets = pa.array(np.arange(count + 1, dtype=np.int32) * width)
     return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(matrix, dtype=np.float32).ravel()))
+
+
+def sum_over_texts(rows: DataFrame, text: str, measure: Callable[[list[str]], np.ndarray], width: int) -> tuple[np.ndarray, int]:
+    """Sum of a vector over all texts, and the number of rows.
+
+    Each task adds up its own texts, so at most ``width`` + 1 rows leave a task, and as
+    many reach the driver, whatever was read.
+    """
+    ship_code(rows.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width + 1, dtype=np.int64)
+        for batch in batches:
+            for _, block in text_blocks(batch.column(0).to_pylist()):
+                total[:width] += measure(block)
+            total[width] += batch.num_rows
+        hit = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int32)), pa.array(total[hit])], names=["place", "n"])
+
+    summed = rows.select(text).mapInArrow(run, "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
+    vector = np.zeros(width + 1, dtype=np.int64)
+    for place, n in summed.collect():
+        vector[place] = n
+    return vector[:width], int(vector[width])

@@ -8,7 +8,6 @@ is lower than what known texts of about its length reach, or if it has no letter
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -53,28 +52,9 @@ class Model:
     floors: np.ndarray
 
 
-def document_frequency(texts: DataFrame, text: str, width: int = WIDTH) -> tuple[np.ndarray, int]:
-    """In how many rows each hashed n-gram occurs, and the number of rows, over all rows.
-
-    Each task adds up its own counts, so ``width`` rows leave a task whatever it read.
-    """
-    common.ship_code(texts.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, rows = np.zeros(width + 1, dtype=np.int64), 0
-        for batch in batches:
-            for _, block in common.text_blocks(batch.column(0).to_pylist()):
-                found[:width] += (letter_ngrams(block, width) > 0).sum(axis=0)
-            rows += batch.num_rows
-        found[width] = rows
-        hit = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int32)), pa.array(found[hit])], names=["bucket", "n"])
-
-    counted = texts.select(text).mapInArrow(run, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
-    frequency = np.zeros(width + 1, dtype=np.int64)
-    for bucket, n in counted.collect():
-        frequency[bucket] = n
-    return frequency[:width], int(frequency[width])
+def document_frequency(texts: DataFrame, text: str) -> tuple[np.ndarray, int]:
+    """In how many rows each hashed n-gram occurs, and the number of rows, over all rows."""
+    return common.sum_over_texts(texts, text, lambda block: (letter_ngrams(block, WIDTH) > 0).sum(axis=0), WIDTH)
 
 
 def _cluster(rows: np.ndarray, clusters: int, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:

@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigilog.llm import language, pieces, repetition, simhash
+from vigilog.llm import language, pieces, quality, repetition, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op1_quality": quality.query,
         "op4_repetition": repetition.query,
         "op7_simhash": simhash.query,
         "op8_sentencepiece": pieces.query,
