@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigilog.llm import language, pieces, quality, repetition, simhash
+from vigilog.llm import language, pieces, quality, repetition, simhash, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def all_queries() -> dict[str, Query]:
     return {
         "op1_quality": quality.query,
+        "op3_vectors": vectors.query,
         "op4_repetition": repetition.query,
         "op7_simhash": simhash.query,
         "op8_sentencepiece": pieces.query,
