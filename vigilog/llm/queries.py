@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigilog.llm import language, pieces, quality, repetition, simhash, vectors
+from vigilog.llm import language, mixing, pieces, quality, repetition, sharding, simhash, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,12 +16,14 @@ def all_queries() -> dict[str, Query]:
         "op1_quality": quality.query,
         "op3_vectors": vectors.query,
         "op4_repetition": repetition.query,
+        "op6_sharding": sharding.query,
         "op7_simhash": simhash.query,
         "op8_sentencepiece": pieces.query,
         "op9_language_id": language.query,
+        "op10_mixing": mixing.query,
     }
 
 
 def checks() -> dict[str, str]:
     """SQL checks; operators that SQL cannot express are tested against brute force."""
-    return {}
+    return {"op6_sharding": sharding.oracle(), "op10_mixing": mixing.oracle()}
