@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigilog.llm import language, mixing, pieces, quality, repetition, sharding, simhash, vectors
+from vigilog.llm import language, mixing, pieces, quality, repetition, secrets, sharding, simhash, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def all_queries() -> dict[str, Query]:
         "op1_quality": quality.query,
         "op3_vectors": vectors.query,
         "op4_repetition": repetition.query,
+        "op5_secrets": secrets.query,
         "op6_sharding": sharding.query,
         "op7_simhash": simhash.query,
         "op8_sentencepiece": pieces.query,
