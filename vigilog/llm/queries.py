@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigilog.llm import language, mixing, pieces, quality, repetition, secrets, sharding, simhash, vectors
+from vigilog.llm import language, mixing, pieces, privacy, quality, repetition, secrets, sharding, simhash, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def all_queries() -> dict[str, Query]:
     return {
         "op1_quality": quality.query,
+        "op2_pii": privacy.query,
         "op3_vectors": vectors.query,
         "op4_repetition": repetition.query,
         "op5_secrets": secrets.query,
