@@ -10,19 +10,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigilog.operators.joins import spread_lookup
 from vigilog.sources.lake import materialise, scratch_path
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("low").alias("high"), F.col("high").alias("low"))).toDF("node", "other")
     least = both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("least"))
-    hung = both.where(F.col("other") > F.col("node")).join(least, "node")
+    # A node with very many neighbours is spread over salts of these.
+    hung = spread_lookup(both.where(F.col("other") > F.col("node")), least, ["node"], ["other"], "inner")
     return hung.select(F.col("other").alias("high"), F.col("least").alias("low")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("high").agg(F.min("low").alias("least"))
-    hung = edges.join(least, "high").where(F.col("low") != F.col("least")).select(F.col("low").alias("high"), F.col("least").alias("low"))
+    hung = spread_lookup(edges, least, ["high"], ["low"], "inner").where(F.col("low") != F.col("least")).select(F.col("low").alias("high"), F.col("least").alias("low"))
     return hung.union(least.select("high", F.col("least").alias("low"))).distinct()
 
 
