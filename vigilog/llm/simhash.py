@@ -301,24 +301,46 @@ def link_fingerprints(prints: DataFrame, column: str, threshold: int = THRESHOLD
     return linked.union(links_by_midpoints(materialise(crowd, scratch_path(spark, "crowded")), threshold))
 
 
-def group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
-    """(doc_id, fingerprint_bits, component_id) for every row.
+def group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
+    """Add ``fingerprint_bits``, ``component_root`` and ``component_id`` to every row.
 
-    The component is the smallest id reachable through links, ids of rows with equal
-    fingerprints included; null ids count only where a component has no other. Rows
-    without words have fingerprint 0 and are linked like any other.
+    ``keep`` names further columns carried along; ``component_root`` names a component even
+    where ids are null. The component id is the smallest id reachable through links, ids
+    of rows with equal fingerprints included; null ids count only where a component has no
+    other. Rows without words have fingerprint 0 and are linked like any other.
     """
     spark = docs.sparkSession
-    narrow = with_fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), keep=["doc_id"])
-    narrow = materialise(narrow, scratch_path(spark, "fingerprints"))
+    carried = [F.col(f"`{c}`").alias(f"__keep_{i}") for i, c in enumerate(keep or [])]
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("__text"), *carried)
+    names = ["doc_id", *narrow.columns[2:]]
+    narrow = materialise(with_fingerprints(narrow, "__text", names), scratch_path(spark, "fingerprints"))
     distinct = materialise(narrow.groupBy("fingerprint_bits").agg(F.min("doc_id").alias("first_id")), scratch_path(spark, "distinct"))
     parts = connected(link_fingerprints(distinct, "fingerprint_bits", threshold), "left", "right")
     rooted = distinct.join(parts, distinct["fingerprint_bits"] == parts["node"], "left").select(
-        "fingerprint_bits", "first_id", F.coalesce("component", "fingerprint_bits").alias("root")
+        "fingerprint_bits", "first_id", F.coalesce("component", "fingerprint_bits").alias("component_root")
     )
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = rooted.join(least, "root").select("fingerprint_bits", "component_id")
-    return narrow.join(labels, "fingerprint_bits", "left").select("doc_id", "fingerprint_bits", "component_id")
+    least = rooted.groupBy("component_root").agg(F.min("first_id").alias("component_id"))
+    labels = rooted.join(least, "component_root").select("fingerprint_bits", "component_root", "component_id")
+    found = narrow.join(labels, "fingerprint_bits", "left")
+    back = [F.col(f"__keep_{i}").alias(c) for i, c in enumerate(keep or [])]
+    return found.select("doc_id", *back, "fingerprint_bits", "component_root", "component_id")
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+    """One row of each component: that of the smallest id, with all its columns.
+
+    Of several rows with this id the one with the lowest row hash stays, and of equal rows
+    one. A null id stays only where the component has no other.
+    """
+    marked = docs.withColumn("__print", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    grouped = materialise(group(marked, doc_id, text, threshold, keep=["__print"]), scratch_path(docs.sparkSession, "groups"))
+    rows = grouped.groupBy("component_root", "doc_id", "__print").agg(F.count(F.lit(1)).alias("equal"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__print", "equal")).alias("first")
+    kept = rows.groupBy("component_root").agg(first).select("first.*")
+    kept = materialise(kept.select(F.col("doc_id").alias("__kept_id"), F.col("__print").alias("__kept_print"), "equal"), scratch_path(docs.sparkSession, "kept"))
+    same = (marked["__print"] == kept["__kept_print"]) & marked[doc_id].eqNullSafe(kept["__kept_id"])
+    left = marked.join(kept, same, "left_semi").drop("__print")
+    return left if kept.where("equal > 1").isEmpty() else left.dropDuplicates()
 
 
 def query(spark, sf_dir: str) -> DataFrame:
