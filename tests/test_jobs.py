@@ -60,8 +60,15 @@ def test_reports(sf_dir, built, report, check):
 
 
 def test_served_queries(spark, sf_dir, built):
-    for name, df in jobs.serve(spark, built[0]).items():
-        assert_same(df, sf_dir, checks()[name])
+    served = jobs.serve(spark, built[0])
+    assert len(served) == 8
+    for name in served:
+        assert_same(spark.read.parquet(built[0].report(name)), sf_dir, checks()[name])
+    assert spark.read.parquet(built[0].report("evolution_temporelle")).count() == 31
+
+
+def test_loose_validation_stays(spark, sf_dir, built):
+    assert_same(spark.read.parquet(built[0].report("validation_redteam_loose")), sf_dir, checks()["validation_redteam_loose"])
 
 
 def test_silver_schema_survives(spark, built):
@@ -141,7 +148,7 @@ def test_jobs_can_be_run_again(spark, built):
 def test_command_line(built, capsys):
     jobs.main(["serve", "--lake", built[0].base])
     shown = capsys.readouterr().out
-    assert "--- top_machines" in shown and "|au_moins_un|" in shown
+    assert "--- top_machines: 20 rows in " in shown and "|au_moins_un|" in shown
 
 
 def test_command_line_wants_its_inputs():

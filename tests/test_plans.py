@@ -6,9 +6,12 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
-from vigilog.operators import cleaning, detection, gold
+from vigilog.operators import cleaning, detection, gold, joins
+from vigilog.plans import catalog
+from vigilog.plans.catalog import all_queries
 from vigilog.plans.fixture import attack_list, auth_log
+from vigilog.plans import jobs
+from vigilog.sources import lake
 from vigilog.sources.lake import read_silver, write_by_day
 
 
@@ -88,8 +91,49 @@ def test_cleaning_is_a_single_narrow_stage(spark, sf_dir):
     assert "Exchange" not in plan(cleaning.to_silver(auth_log(spark, sf_dir)), "simple")
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+def test_expanded_rows_are_not_shuffled_again(spark, zones):
+    attacks = detection.measured(zones[1], limit=0)
+    for made in (detection.validation_loose(attacks, gold.off_hours_activity(zones[0])), detection.validation_strict(attacks, zones[0])):
+        text = plan(jobs._in_few_files(attacks, made), "simple")
+        lines = text.splitlines()
+        repeated = min(i for i, line in enumerate(lines) if "Generate explode(array_repeat" in line)
+        assert not [line for line in lines[:repeated] if "Exchange" in line]
+
+
+def test_user_tables_are_cut_to_a_small_list(spark, zones):
+    silver, listed = zones
+    attacks = detection.measured(listed)
+    path = lake.scratch_path(spark, "users")
+    gold.failure_rate_by_user(gold.attempts(silver)).write.parquet(path + "/rates")
+    pairs = gold.pair_activity(silver)
+    gold.machines_by_user(pairs).write.parquet(path + "/machines")
+    gold.rare_pairs(pairs).write.parquet(path + "/rare")
+    tables = [spark.read.parquet(f"{path}/{name}") for name in ("rates", "machines", "rare")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(detection._known_of_pairs(attacks, attacks.rows.select("user_domain", "destination_computer"), *tables), "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") >= 6
+
+
+def test_row_counts_repeat_no_rows(spark, sf_dir):
+    text = plan(catalog.all_queries()["gold_row_counts"](spark, sf_dir), "simple")
+    assert "array_repeat" not in text
+
+
+def test_tasks_of_repeated_rows_follow_the_initial_number(spark):
+    assert joins.shuffle_tasks(spark) == 8
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "24")
+    try:
+        df = spark.createDataFrame([("a", 30 * joins.BLOCK_ROWS)], "k string, n bigint")
+        assert joins.repeat_rows(df, "n").rdd.getNumPartitions() == 24
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_no_cartesian_or_nested_loop_join(spark, name):
-    text = plan(queries()[name](spark, "/root/testdata/sf0.001"), "simple")
+    text = plan(all_queries()[name](spark, "/root/testdata/sf0.001"), "simple")
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
     assert "Python" not in text

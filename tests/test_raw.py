@@ -9,7 +9,7 @@ import pytest
 from vigilog.operators import cleaning
 from vigilog.plans import jobs
 from vigilog.sources import raw
-from vigilog.sources.lake import Lake, read_landed, read_silver
+from vigilog.sources.lake import Lake, read_landed, read_silver, scratch_path, write_by_day
 from vigilog.sources.schemas import AUTH_RAW, AUTH_SILVER, REDTEAM_RAW
 
 AUTH_LINES = [
@@ -80,6 +80,48 @@ def test_preview_and_manifest(spark, tmp_path):
     assert listed[0].length == (tmp_path / "auth.txt.gz").stat().st_size
 
 
+def test_preview_reads_the_first_file_by_name(spark, tmp_path):
+    for compress in (False, True):
+        folder = tmp_path / f"logs{compress}"
+        folder.mkdir()
+        for name, count in (("b", 5000), ("a", 20)):
+            lines = [f"{name}{i}" for i in range(count)]
+            (folder / "0").write_text("")
+            if compress:
+                gz(folder / f"{name}.csv.gz", lines)
+            else:
+                (folder / f"{name}.csv").write_text("\n".join(lines) + "\n")
+        assert [r.value for r in raw.preview(spark, str(folder)).collect()] == [f"a{i}" for i in range(10)]
+    assert raw.preview(spark, str(tmp_path / "logsFalse" / "0")).count() == 0
+
+
+def test_a_hot_day_of_one_gzip_file_is_cut(spark, tmp_path):
+    lines = [f"{5 if i % 10 else i * 20},a{i}@D,b@D,C1,C{i % 97},NTLM,Batch,LogOn,Success" for i in range(100_000)]
+    source = raw.read_auth(spark, gz(tmp_path / "auth.txt.gz", lines))
+    assert source.rdd.getNumPartitions() == 1
+    path = str(tmp_path / "days")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        write_by_day(source, path, file_rows=2_000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot = spark.read.parquet(path + "/jour_part=0")
+    sizes = [r["count"] for r in hot.groupBy("_metadata.file_path").count().collect()]
+    assert sum(sizes) == hot.count() > 90_000
+    assert max(sizes) <= 2_000 and len(sizes) <= 1.3 * sum(sizes) / 2_000
+    assert read_landed(spark, path).exceptAll(source).count() == 0 and read_landed(spark, path).count() == 100_000
+    # The pieces are written by many tasks: a task's files share the number in their names.
+    tasks = {p.name.split("-")[1] for p in (tmp_path / "days" / "jour_part=0").glob("part-*.parquet")}
+    assert len(tasks) > 3
+
+
+def test_scratch_folders(spark, tmp_path):
+    own = scratch_path(spark, "x", str(tmp_path))
+    assert own.startswith(f"{tmp_path}/vigilog-{spark.sparkContext.applicationId}/x-")
+    named = scratch_path(spark, "x")
+    assert named.startswith(f"{spark.conf.get('spark.checkpoint.dir')}/vigilog-{spark.sparkContext.applicationId}/x-")
+
+
 def test_landing_splits_one_gzip_file(spark, tmp_path):
     lines = [f"{second},a@D,b@D,C1,C2,NTLM,Batch,LogOn,Success" for second in range(0, 864000, 100)]
     path = gz(tmp_path / "auth.txt.gz", lines)

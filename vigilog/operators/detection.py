@@ -100,6 +100,11 @@ def detection_rate_loose(attacks: AttackList, off_hours: DataFrame) -> DataFrame
     return _rate(joined.agg(total.alias("total"), found.alias("found")), "nb_detectes")
 
 
+def loose_row_count(attacks: AttackList, off_hours: DataFrame) -> DataFrame:
+    """Number of rows of `validation_loose`, added up per pair instead of repeated."""
+    return detection_rate_loose(attacks, off_hours).select(F.col("total_evenements_redteam").alias("nb_lignes"))
+
+
 def detection_rate(validation: DataFrame, found_name: str) -> DataFrame:
     """Rate over a written validation table."""
     counts = validation.agg(
@@ -211,15 +216,27 @@ def thresholds(failure_rates: DataFrame, machines: DataFrame) -> DataFrame:
 # -- flags and comparison of criteria ------------------------------------------------
 
 
-def _known_of_pairs(rows: DataFrame, failure_rates: DataFrame, machines: DataFrame, rare: DataFrame) -> DataFrame:
+def _of_list(attacks: AttackList, table: DataFrame, keys: list[str]) -> DataFrame:
+    """A table's rows for the keys of the attack list where that is small enough to send
+    out; the rest is then small enough to be sent to the rows it is joined to."""
+    if not attacks.small:
+        return table
+    return F.broadcast(table.join(F.broadcast(attacks.rows.select(*keys).distinct()), keys, "leftsemi"))
+
+
+def _known_of_pairs(
+    attacks: AttackList, rows: DataFrame, failure_rates: DataFrame, machines: DataFrame, pairs: DataFrame
+) -> DataFrame:
     """Add what is known of each user and (user, machine), and the flags that follow.
 
     ``rows`` must hold few rows per pair. The per-user tables are never joined to events,
     so an account with a third of all events weighs no more than its machines.
     """
-    rates = _by_attack_name(failure_rates).select("user_domain", "taux_echec_pct")
-    diversity = _by_attack_name(machines).select("user_domain", "nb_machines_distinctes")
-    known = rows.join(rare, PAIR, "left").join(rates, "user_domain", "left").join(diversity, "user_domain", "left")
+    rare = _of_list(attacks, _by_attack_name(pairs).withColumnRenamed("nb_occurrences", "occurrences_paire"), PAIR)
+    user = ["user_domain"]
+    rates = _of_list(attacks, _by_attack_name(failure_rates).select("user_domain", "taux_echec_pct"), user)
+    diversity = _of_list(attacks, _by_attack_name(machines).select("user_domain", "nb_machines_distinctes"), user)
+    known = rows.join(rare, PAIR, "left").join(rates, user, "left").join(diversity, user, "left")
     # Each flag may be NULL, which is not a detection.
     return known.withColumns(
         {
@@ -231,14 +248,6 @@ def _known_of_pairs(rows: DataFrame, failure_rates: DataFrame, machines: DataFra
     )
 
 
-def _rare_of_list(attacks: AttackList, pairs: DataFrame) -> DataFrame:
-    """Rare pairs, only those of the attack list where that is small enough to send out."""
-    rare = _by_attack_name(pairs).withColumnRenamed("nb_occurrences", "occurrences_paire")
-    if attacks.small:
-        rare = rare.join(F.broadcast(attacks.rows.select(*PAIR)), PAIR, "leftsemi")
-    return rare
-
-
 def detection_flags(
     attacks: AttackList,
     silver: DataFrame,
@@ -247,8 +256,7 @@ def detection_flags(
     pairs: DataFrame,
 ) -> DataFrame:
     """One row per matched event with the measures and the flag of each criterion."""
-    rare = _rare_of_list(attacks, pairs)
-    profile = _known_of_pairs(attacks.rows.select(*PAIR).distinct(), failure_rates, machines, rare)
+    profile = _known_of_pairs(attacks, attacks.rows.select(*PAIR).distinct(), failure_rates, machines, pairs)
     if attacks.small:
         # One row per pair of a list that fits: the profile is no larger.
         events = _match_broadcast(attacks, silver).join(F.broadcast(profile), PAIR, "inner")
@@ -280,11 +288,10 @@ def compare_criteria(
     ``matched`` comes from `matches`, or from a strict validation table by `as_matches`.
     Works on counts per (user, machine, off-hours or not) instead of joined events.
     """
-    rare = _rare_of_list(attacks, pairs)
     weighted = matched.groupBy(*PAIR, c.off_hours(F.col("heure_du_jour")).alias("flag_horaire")).agg(
         F.sum("nb").alias("nb")
     )
-    known = _known_of_pairs(weighted, failure_rates, machines, rare)
+    known = _known_of_pairs(attacks, weighted, failure_rates, machines, pairs)
     flags = {name: F.col(flag) for name, flag in CRITERIA.items()}
     flags[ANY_CRITERION] = reduce(Column.__or__, flags.values())
     counts = known.agg(

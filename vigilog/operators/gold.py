@@ -134,10 +134,11 @@ def tables_from_pairs(pairs: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def row_counts(named: dict[str, DataFrame]) -> DataFrame:
-    """One row per table name with its number of rows."""
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("nb_lignes")).select(F.lit(name).alias("nom"), "nb_lignes")
-        for name, df in named.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+def row_counts(named: dict[str, DataFrame], counted: dict[str, DataFrame] | None = None) -> DataFrame:
+    """One row per table name with its number of rows.
+
+    ``counted`` holds tables whose one-row count (``nb_lignes``) is known more cheaply.
+    """
+    counts = {name: df.agg(F.count(F.lit(1)).alias("nb_lignes")) for name, df in named.items()} | (counted or {})
+    named_counts = [df.select(F.lit(name).alias("nom"), "nb_lignes") for name, df in counts.items()]
+    return reduce(DataFrame.unionByName, named_counts)

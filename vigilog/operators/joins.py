@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -40,6 +40,13 @@ def spread_lookup(left: DataFrame, right: DataFrame, keys: list[str], spread_by:
     return salted.join(wanted, [*keys, "_salt"], how).drop("_salt")
 
 
+def shuffle_tasks(spark: SparkSession) -> int:
+    """Tasks of a shuffle before AQE joins any: its initial number where that is set."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return max(tasks, int(initial)) if initial else tasks
+
+
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     """Emit each row ``times`` times (NULL or below 1: none) and drop that column.
 
@@ -48,7 +55,7 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     of tasks is fixed: by bytes alone AQE would put many small blocks, hence very many
     copies, into one task.
     """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = shuffle_tasks(df.sparkSession)
     last_block = F.floor((F.col(times) - 1) / BLOCK_ROWS)
     blocks = df.where(F.col(times) > 0).withColumn(
         "_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block))

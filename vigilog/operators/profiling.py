@@ -9,7 +9,7 @@ from vigilog.functions.columns import MISSING, count_if, is_not_computer_name, l
 
 TOP = 20
 
-# Report column -> raw column; the result column keeps "?" as an ordinary value.
+# Report column -> raw column; the result column keeps "?" as an ordinary value.
 MISSING_REPORT = {
     "nb_manquants_source_user": "source_user_domain",
     "nb_manquants_dest_user": "destination_user_domain",

@@ -38,5 +38,18 @@ def criteria_efficacy(comparison: DataFrame) -> DataFrame:
     return comparison.select(rows.alias("critere", "detectes", "pct"))
 
 
-def user_machine_relations(pairs: DataFrame, top: int = TOP) -> DataFrame:
-    return pairs.orderBy(F.desc("nb_occurrences"), "source_user_domain", "destination_computer").limit(top)
+def user_machine_relations(pairs: DataFrame) -> DataFrame:
+    """Every rare pair, by user; all of them occur once, so none ranks above another."""
+    return pairs.orderBy(F.desc("nb_occurrences"), "source_user_domain", "destination_computer")
+
+
+def off_hours_ranking(off_hours: DataFrame) -> DataFrame:
+    """Every off-hours activity, the most frequent first."""
+    return off_hours.orderBy(
+        F.desc("nb_connexions_horaire_inhabituel"), "source_user_domain", "destination_computer", "heure_du_jour"
+    )
+
+
+def machine_diversity(machines: DataFrame) -> DataFrame:
+    """Every user, those on most machines first."""
+    return machines.orderBy(F.desc("nb_machines_distinctes"), "source_user_domain")

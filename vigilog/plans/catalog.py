@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vigilog.operators import cleaning, detection, gold, profiling, serving
 from vigilog.operators.detection import AttackList
+from vigilog.plans import jobs
 from vigilog.plans.fixture import attack_list, auth_log
 from vigilog.sources import lake, raw
 
@@ -48,11 +49,9 @@ def bronze_redteam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw.preview(spark, _csv_folder(auth_log(spark, sf_dir), "auth"))
-
-
-def bronze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw.manifest(spark, _csv_folder(auth_log(spark, sf_dir), "auth"))
+    """First lines of a raw log written in the order of all its columns."""
+    log = auth_log(spark, sf_dir)
+    return raw.preview(spark, _csv_folder(log.orderBy(*log.columns), "auth"))
 
 
 def bronze_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +78,10 @@ def _loose_rate(attacks: AttackList, silver: DataFrame) -> DataFrame:
 
 
 def _pairs(silver: DataFrame) -> DataFrame:
-    """The shared pre-aggregate, written once: several tables are then read from it."""
+    """The shared pre-aggregate, written once: several tables are then read from it.
+
+    The write is a job of its own, which runs when a query that needs it is built.
+    """
     return lake.materialise(gold.pair_activity(silver), lake.scratch_path(silver.sparkSession, "paires"))
 
 
@@ -97,6 +99,7 @@ def _comparison(attacks: AttackList, silver: DataFrame) -> DataFrame:
 
 
 def _thresholds(silver: DataFrame) -> DataFrame:
+    """Building this already reads the log once and writes the pairs both tables start from."""
     rates, machines, _ = _criteria_tables(silver)
     return detection.thresholds(rates, machines)
 
@@ -105,7 +108,8 @@ def _failure_rates(silver: DataFrame) -> DataFrame:
     return gold.failure_rate_by_user(gold.attempts(silver))
 
 
-# A single table is cheapest straight from the log: nothing is written in between.
+# Table names. A single table is cheapest straight from the log: nothing is
+# written in between.
 GOLD = {
     "connexions_par_utilisateur_heure": gold.connections_by_user_hour,
     "activite_par_machine": lambda silver: gold.activity_by_machine(gold.pair_activity(silver)),
@@ -118,8 +122,47 @@ GOLD = {
 
 
 def _gold_counts(attacks: AttackList, silver: DataFrame) -> DataFrame:
+    """Off-hours activity and the pairs serve several counts, so both are written once."""
     tables = {**gold.tables_from_log(silver), **gold.tables_from_pairs(_pairs(silver))}
-    return gold.row_counts({**tables, "validation_redteam": _loose(attacks, silver)})
+    off_hours = lake.materialise(tables["anomalies_horaires"], lake.scratch_path(silver.sparkSession, "anomalies"))
+    tables["anomalies_horaires"] = off_hours
+    return gold.row_counts(tables, {"validation_redteam": detection.loose_row_count(attacks, off_hours)})
+
+
+# -- the whole way through a lake: raw files, landed, cleaned, built, compared ----------
+
+
+def _lake(spark: SparkSession, sf_dir: str) -> lake.Lake:
+    made = lake.Lake(lake.scratch_path(spark, "lake"))
+    jobs.land(spark, made, _csv_folder(auth_log(spark, sf_dir), "auth"), _csv_folder(attack_list(spark, sf_dir), "redteam"))
+    jobs.silver(spark, made)
+    jobs.gold_tables(spark, made)
+    return made
+
+
+def lake_gold_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts the gold job reports for the tables it has written."""
+    return spark.read.parquet(_lake(spark, sf_dir).report("gold_row_counts"))
+
+
+def lake_validation_redteam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strict validation that the detect job writes in place of the loose one."""
+    made = _lake(spark, sf_dir)
+    jobs.detect(spark, made)
+    return spark.read.parquet(made.gold("validation_redteam"))
+
+
+def lake_comparaison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comparison of criteria that the detect job writes."""
+    made = _lake(spark, sf_dir)
+    jobs.detect(spark, made)
+    return spark.read.parquet(made.gold("comparaison_criteres_detection"))
+
+
+def detection_flags_large_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flags, taking the way of an attack list too large to send out."""
+    attacks = detection.measured(attack_list(spark, sf_dir), limit=0)
+    return _flags(attacks, cleaning.to_silver(auth_log(spark, sf_dir)))
 
 
 def all_queries() -> dict[str, Query]:
@@ -127,7 +170,6 @@ def all_queries() -> dict[str, Query]:
         "bronze_auth": bronze_auth,
         "bronze_redteam": bronze_redteam,
         "bronze_preview": bronze_preview,
-        "bronze_manifest": bronze_manifest,
         "bronze_landed": bronze_landed,
     }
     for column in ("authentication_type", "logon_type", "authentication_orientation", "success_failure"):
@@ -159,12 +201,18 @@ def all_queries() -> dict[str, Query]:
     found["detection_flags"] = _on_attacks(_flags)
     found["comparaison_criteres_detection"] = _on_attacks(_comparison)
     found["gold_row_counts"] = _on_attacks(_gold_counts)
+    found["detection_flags_large_list"] = detection_flags_large_list
+    found["lake_gold_row_counts"] = lake_gold_row_counts
+    found["lake_validation_redteam"] = lake_validation_redteam
+    found["lake_comparaison"] = lake_comparaison
     for name, table, serve in (
         ("top_machines", "activite_par_machine", serving.top_machines),
         ("evolution_temporelle", "volume_par_jour", serving.volume_over_time),
         ("top_utilisateurs", "taux_echec_par_utilisateur", serving.top_users),
         ("activite_par_heure", "connexions_par_utilisateur_heure", serving.activity_by_hour),
         ("relation_utilisateur_machine", "paires_rares_utilisateur_machine", serving.user_machine_relations),
+        ("anomalies_horaires_classees", "anomalies_horaires", serving.off_hours_ranking),
+        ("diversite_machines", "machines_distinctes_par_utilisateur", serving.machine_diversity),
     ):
         found[name] = _on_silver(lambda silver, t=table, s=serve: s(GOLD[t](silver)))
     found["efficacite_criteres"] = _on_attacks(lambda a, s: serving.criteria_efficacy(_comparison(a, s)))

@@ -8,7 +8,9 @@
     spark-submit vigilog/plans/jobs.py serve   --lake URI
 
 A job may be run again at any time: it overwrites what it wrote and reads nothing that
-it overwrites.
+it overwrites. Only the order of gold and detect matters: both write validation_redteam,
+gold its first, loose form and detect the strict one in its place, so run detect again
+after gold. The loose form also stays as the report validation_redteam_loose.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ FREQUENCY_COLUMNS = ("authentication_type", "logon_type", "authentication_orient
 USER_COLUMNS = ("source_user_domain", "destination_user_domain")
 COMPUTER_COLUMNS = ("source_computer", "destination_computer")
 VALIDATION_TABLE = "validation_redteam"
+SHOWN = 25
 
 
 def land(spark: SparkSession, lake: Lake, auth_path: str, redteam_path: str) -> None:
@@ -81,7 +84,7 @@ def gold_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     write_all({lake.pairs(): pairs, **{lake.gold(name): df for name, df in from_log.items()}})
     from_pairs = gold.tables_from_pairs(spark.read.parquet(lake.pairs()))
     off_hours = spark.read.parquet(lake.gold("anomalies_horaires"))
-    from_pairs[VALIDATION_TABLE] = _in_few_files(detection.validation_loose(attacks, off_hours))
+    from_pairs[VALIDATION_TABLE] = _in_few_files(attacks, detection.validation_loose(attacks, off_hours))
     write_all({lake.gold(name): df for name, df in from_pairs.items()})
     written = {name: spark.read.parquet(lake.gold(name)) for name in GOLD_TABLES}
     return _save_reports(
@@ -89,6 +92,7 @@ def gold_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
         {
             "gold_row_counts": gold.row_counts(written),
             "taux_detection_loose": detection.detection_rate(written[VALIDATION_TABLE], "nb_detectes"),
+            "validation_redteam_loose": written[VALIDATION_TABLE],
         },
     )
 
@@ -100,7 +104,7 @@ def detect(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     rates = spark.read.parquet(lake.gold("taux_echec_par_utilisateur"))
     machines = spark.read.parquet(lake.gold("machines_distinctes_par_utilisateur"))
     pairs = spark.read.parquet(lake.gold("paires_rares_utilisateur_machine"))
-    write_table(_in_few_files(detection.validation_strict(attacks, log)), lake.gold(VALIDATION_TABLE))
+    write_table(_in_few_files(attacks, detection.validation_strict(attacks, log)), lake.gold(VALIDATION_TABLE))
     # The log is matched once; the rate and the comparison start from the written matches.
     validation = spark.read.parquet(lake.gold(VALIDATION_TABLE))
     matched = detection.as_matches(validation)
@@ -115,24 +119,28 @@ def detect(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
 
 
 def serve(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
-    """The six dashboard queries, read from the Gold tables."""
+    """The dashboard queries, written to the lake in full from the Gold tables."""
 
     def table(name: str) -> DataFrame:
         return spark.read.parquet(lake.gold(name))
 
-    return {
+    served = {
         "top_machines": serving.top_machines(table("activite_par_machine")),
         "evolution_temporelle": serving.volume_over_time(table("volume_par_jour")),
         "top_utilisateurs": serving.top_users(table("taux_echec_par_utilisateur")),
         "activite_par_heure": serving.activity_by_hour(table("connexions_par_utilisateur_heure")),
         "efficacite_criteres": serving.criteria_efficacy(table(COMPARISON_TABLE)),
         "relation_utilisateur_machine": serving.user_machine_relations(table("paires_rares_utilisateur_machine")),
+        "anomalies_horaires_classees": serving.off_hours_ranking(table("anomalies_horaires")),
+        "diversite_machines": serving.machine_diversity(table("machines_distinctes_par_utilisateur")),
     }
+    return _save_reports(lake, served)
 
 
-def _in_few_files(df: DataFrame) -> DataFrame:
-    """Few matches come out of very many tasks; AQE gathers them by size."""
-    return df.hint("rebalance")
+def _in_few_files(attacks: detection.AttackList, df: DataFrame) -> DataFrame:
+    """Few matches come out of very many tasks where the list was broadcast; AQE gathers
+    them by size. The other way has dealt its rows out evenly already."""
+    return df.hint("rebalance") if attacks.small else df
 
 
 def _save_reports(lake: Lake, reports: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -159,8 +167,8 @@ def main(arguments: list[str] | None = None) -> None:
     run = {"profile": profile, "silver": silver, "gold": gold_tables, "detect": detect, "serve": serve}[given.job]
     reports = run(spark, lake)
     for name, df in reports.items():
-        print(f"--- {name}")
-        df.show(25, truncate=False)
+        print(f"--- {name}: {df.count()} rows in {lake.report(name)}, of which up to {SHOWN} are shown")
+        df.show(SHOWN, truncate=False)
 
 
 if __name__ == "__main__":

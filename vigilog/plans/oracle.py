@@ -1,14 +1,13 @@
 """The same datasets as plain SQL for an independent engine, used only to check results.
 
 Each dataset is a named relation over others; a check is the chain of relations it needs
-as CTEs. Queries without an entry in `checks` return arbitrary rows by definition (a
-preview, a sample, a file listing) and can only be checked for their presence.
+as CTEs. The branches and names in here are fixed by the log format and the tables.
 """
 
 from __future__ import annotations
 
 from vigilog.plans import fixture
-from vigilog.sources.schemas import AUTH_RAW, REDTEAM_RAW
+from vigilog.sources.schemas import AUTH_RAW, AUTH_SILVER, REDTEAM_RAW
 
 _RAW = ", ".join(AUTH_RAW.names)
 _LOG = ",\n".join(f"{text} AS {name}" for name, text in fixture.LOG_COLUMNS.items())
@@ -239,6 +238,7 @@ def checks() -> dict[str, str]:
            FROM auth_brut""",
         "auth_brut",
     )
+    # Names of the report.
     missing = {
         "nb_manquants_source_user": "source_user_domain",
         "nb_manquants_dest_user": "destination_user_domain",
@@ -292,8 +292,16 @@ def checks() -> dict[str, str]:
         ),
         "comparaison",
     )
-    found["relation_utilisateur_machine"] = _check(
-        "SELECT * FROM uniques ORDER BY nb_occurrences DESC, source_user_domain, destination_computer LIMIT 20",
-        "uniques",
-    )
+    found["relation_utilisateur_machine"] = _whole("uniques")
+    found["anomalies_horaires_classees"] = found["anomalies_horaires"]
+    found["diversite_machines"] = found["machines_distinctes_par_utilisateur"]
+    found["detection_flags_large_list"] = found["detection_flags"]
+    found["lake_gold_row_counts"] = found["gold_row_counts"]
+    found["lake_validation_redteam"] = found["validation_redteam"]
+    found["lake_comparaison"] = found["comparaison_criteres_detection"]
+    ordered = ", ".join(f"{c} NULLS FIRST" for c in AUTH_RAW.names)
+    line = " || ',' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in AUTH_RAW.names)
+    found["bronze_preview"] = _check(f"SELECT {line} AS value FROM auth_brut ORDER BY {ordered} LIMIT 10", "auth_brut")
+    cleaned = ", ".join(f"{c} NULLS FIRST" for c in AUTH_SILVER.names)
+    found["silver_sample"] = _check(f"SELECT * FROM silver ORDER BY {cleaned} LIMIT 5", "silver")
     return found

@@ -18,9 +18,12 @@ from vigilog.functions.columns import calendar_day
 from vigilog.sources.schemas import AUTH_RAW, AUTH_SILVER
 
 DAY_PARTITION = "jour_part"
+# Rows per file of a table laid out by day: about 30 MB of compressed log.
+FILE_ROWS = 2_000_000
 SILVER_TABLE = "auth_silver"
 LANDED_TABLE = "auth_brut"
 ATTACK_TABLE = "redteam"
+# Names that readers of the lake rely on.
 GOLD_TABLES = (
     "connexions_par_utilisateur_heure",
     "activite_par_machine",
@@ -115,17 +118,21 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def write_by_day(df: DataFrame, path: str) -> None:
+def write_by_day(df: DataFrame, path: str, file_rows: int = FILE_ROWS) -> None:
     """Lay a table out by true day, so that joins on a second read only its day.
 
-    Rows not yet dated are first gathered by day; AQE cuts a day larger than the advisory
-    partition size into several tasks. Rows read from such a layout carry their day and
-    are written as they come, without another shuffle.
+    Rows not yet dated are gathered by day and by runs of ``file_rows`` rows in the order
+    they were read, so a day is cut in pieces however few files it came from: one gzip
+    file is read by a single task, whose output for one key AQE could not cut. Rows read
+    from such a layout carry their day and are written as they come, without
+    another shuffle. No file holds more than ``file_rows`` rows.
     """
     if DAY_PARTITION not in df.columns:
-        dated = df.withColumn(DAY_PARTITION, calendar_day(F.col("temps_secondes")))
-        df = dated.hint("rebalance", F.col(DAY_PARTITION))
-    df.write.mode("overwrite").option("compression", "zstd").partitionBy(DAY_PARTITION).parquet(path)
+        run = F.floor(F.monotonically_increasing_id() / F.lit(file_rows))
+        dated = df.withColumn(DAY_PARTITION, calendar_day(F.col("temps_secondes"))).withColumn("_run", run)
+        df = dated.hint("rebalance", F.col(DAY_PARTITION), F.col("_run")).drop("_run")
+    writer = df.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", file_rows)
+    writer.partitionBy(DAY_PARTITION).parquet(path)
 
 
 def _read_by_day(spark: SparkSession, path: str, schema: StructType, with_day: bool) -> DataFrame:

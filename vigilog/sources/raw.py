@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from vigilog.sources.schemas import AUTH_RAW, REDTEAM_RAW
@@ -29,7 +30,19 @@ def read_redteam(spark: SparkSession, path: str) -> DataFrame:
 
 
 def preview(spark: SparkSession, path: str, lines: int = 10) -> DataFrame:
-    return spark.read.text(path).limit(lines)
+    """The first lines of the first file by name that isn't empty, in file order.
+
+    A compressed file is one split, whose first lines are read and no more. The splits of
+    a plain file are ordered by where they begin.
+    """
+    first = manifest(spark, path).where("length > 0").agg(F.min("path")).first()[0]
+    if first is None:
+        return spark.createDataFrame([], "value string")
+    text = spark.read.text(first)
+    if first.endswith((".gz", ".bz2", ".zst", ".snappy", ".lz4")):
+        return text.limit(lines)
+    placed = text.select("value", F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_place"))
+    return placed.orderBy("_start", "_place").limit(lines).select("value")
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
