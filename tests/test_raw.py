@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import hashlib
 
 import pytest
 
@@ -96,11 +97,11 @@ def test_preview_reads_the_first_file_by_name(spark, tmp_path):
 
 
 def test_a_hot_day_of_one_gzip_file_is_cut(spark, tmp_path):
-    lines = [f"{5 if i % 10 else i * 20},a{i}@D,b@D,C1,C{i % 97},NTLM,Batch,LogOn,Success" for i in range(100_000)]
+    lines = [f"{5 if i % 10 else i * 20},{hashlib.sha256(b'%d' % i).hexdigest()}@D,b@D,C1,C{i % 97},NTLM,Batch,LogOn,Success" for i in range(100_000)]
     source = raw.read_auth(spark, gz(tmp_path / "auth.txt.gz", lines))
     assert source.rdd.getNumPartitions() == 1
     path = str(tmp_path / "days")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
     try:
         write_by_day(source, path, file_rows=2_000)
     finally:
