@@ -104,7 +104,7 @@ def label_totals(rows: DataFrame, label: str, most: int) -> dict:
 def sample_per_label(rows: DataFrame, label: str, totals: dict, per_label: int, identity: list[str]) -> DataFrame:
     """At most ``per_label`` rows of each label value, the same ones on every run.
 
-    A first cut by hash leaves about four times as many, so little is sorted however
+    A first cut by hash leaves about half as many again, so little is sorted however
     common a label is; the exact cut then takes the lowest hashes and is combined before
     the shuffle. Rows of equal identity share a hash.
     """
@@ -112,7 +112,7 @@ def sample_per_label(rows: DataFrame, label: str, totals: dict, per_label: int,
         return rows.limit(0)
     # Bits the order of the exact cut doesn't begin with.
     draw = F.pmod(F.xxhash64(*identity), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    share = F.create_map(*[F.lit(x) for value, total in totals.items() for x in (value, 4.0 * per_label / total)])
+    share = F.create_map(*[F.lit(x) for value, total in totals.items() for x in (value, 1.5 * per_label / total)])
     return first_per_label(rows.where(draw < share[F.col(label)]), label, per_label, identity)
 
 
