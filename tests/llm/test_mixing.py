@@ -1,0 +1,46 @@
+from __future__ import annotations
+
+import re
+
+import edges
+import pytest
+from compare import assert_same
+from pyspark.sql import functions as F
+
+from vigilog.llm import mixing
+
+
+def test_equals_sql(spark, sf_dir):
+    assert_same(mixing.query(spark, sf_dir), sf_dir, mixing.oracle())
+
+
+def test_raking_meets_the_marginals():
+    cells = {(a, b): 100 + 37 * i * j for i, a in enumerate("xyz") for j, b in enumerate("pq")} | {("x", "r"): 0}
+    targets = {"one": {"x": 0.2, "y": 0.3, "z": 0.5}, "two": {"p": 0.6, "q": 0.4, "missing": 9.0}}
+    weights = mixing.rake(cells, targets, 200)
+    total = sum(cells.values())
+    for axis, goal in ((0, {"x": 0.2, "y": 0.3, "z": 0.5}), (1, {"p": 0.6, "q": 0.4})):
+        for value, share in goal.items():
+            assert sum(w * cells[c] for c, w in weights.items() if c[axis] == value) == pytest.approx(share * total)
+    assert weights["x", "r"] == 0.0 and mixing.rake({}, targets) == {}
+
+
+def test_expected_tokens_match(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    mixed = mixing.mix(docs)
+    taken = mixed.groupBy("lang").agg(F.sum(F.col("n_tokens") * F.col("mix_probability")).alias("t")).collect()
+    whole = sum(r.t for r in taken)
+    listed = {k: v for k, v in mixing.TARGETS["lang"].items() if k != mixing.OTHER}
+    assert {r.lang: round(r.t / whole, 3) for r in taken} == {k: round(v / sum(listed.values()), 3) for k, v in listed.items()}
+    share = mixing.mix(docs, share=0.5).agg(F.sum(F.col("n_tokens") * F.col("mix_probability")) / F.sum("n_tokens")).first()[0]
+    assert share == pytest.approx(0.5, abs=1e-6)
+
+
+def test_awkward_rows(spark):
+    mixed = mixing.mix(edges.frame(spark))
+    rows = mixed.collect()
+    assert len(rows) == len(edges.TEXTS) and mixed.columns.count("n_tokens") == 1
+    assert sorted(r.n_tokens for r in rows) == sorted(len(re.findall(r"[^ \t-\r]+", t or "")) for _, t in edges.TEXTS)
+    assert all(0.0 <= r.mix_probability <= 1.0 for r in rows)
+    assert len({r.sampled for r in rows if r.doc_id == 1}) == 1
+    assert mixing.mix(edges.frame(spark, [])).count() == 0

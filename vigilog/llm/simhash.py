@@ -275,7 +275,10 @@ def links_by_midpoints(crowd: DataFrame, threshold: int) -> DataFrame:
 
 
 def link_fingerprints(prints: DataFrame, column: str, threshold: int = THRESHOLD, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """Links (left, right) that connect exactly the distinct values at most ``threshold`` bits apart."""
+    """Links (left, right) whose components are those of all pairs at most ``threshold`` bits apart.
+
+    Within an anchor every fingerprint is linked to the first one it reaches there.
+    """
     if not 0 <= threshold <= 4:
         raise ValueError("the threshold can be 0 to 4 bits")
     spark = prints.sparkSession

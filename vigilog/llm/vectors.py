@@ -52,28 +52,33 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
 
 
-def spread_out(rows: np.ndarray, count: int) -> np.ndarray:
-    """Farthest-first choice of unit rows, so that a crowd of copies gets few pivots."""
+def spread_out(rows: np.ndarray, count: int, closest: float) -> np.ndarray:
+    """Farthest-first choice of unit rows with cosines up to ``closest``: pivots that are
+    nearly the same would be ordered by chance, and a crowd of copies would get many."""
     chosen = [0]
     nearest = rows @ rows[0]
     while len(chosen) < min(count, len(rows)):
         place = int(np.argmin(nearest))
-        if nearest[place] > 1 - 1e-9:
+        if nearest[place] > closest:
             break
         chosen.append(place)
         nearest = np.maximum(nearest, rows @ rows[place])
     return rows[chosen]
 
 
-def find_pivots(entries: DataFrame, sample: int = SAMPLE, pivots: int = PIVOTS) -> dict[int, np.ndarray]:
-    """Pivots per vector length, from at most ``sample`` vectors of each length."""
+def find_pivots(entries: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE, pivots: int = PIVOTS) -> dict[int, np.ndarray]:
+    """Pivots per vector length, from at most ``sample`` vectors of each length.
+
+    They lie at least three times the angle of the threshold apart.
+    """
+    closest = float(np.cos(min(np.pi, 3 * np.arccos(threshold))))
     sized = entries.select(F.size("vector").alias("size"), "vector")
     totals = common.label_totals(sized, "size", MOST_LENGTHS)
     drawn = common.sample_per_label(sized, "size", totals, sample, ["vector"]).collect()
     found = {}
     for size in totals:
         rows = sorted(r["vector"] for r in drawn if r["size"] == size)
-        found[size] = spread_out(unit(np.array(rows)), pivots)
+        found[size] = spread_out(unit(np.array(rows)), pivots, closest)
     return found
 
 
@@ -205,7 +210,7 @@ def link(entries: DataFrame, threshold: float = THRESHOLD, list_rows: int = LIST
     """(node, links, root) of entries (node, copies, label, vector): how many other
     vectors are linked in a list, and a linked node, per list with a link."""
     spark = entries.sparkSession
-    pivots = find_pivots(entries) if pivots is None else pivots
+    pivots = find_pivots(entries, threshold) if pivots is None else pivots
     indexed = materialise(index(entries, pivots), scratch_path(spark, "lists"))
     long = indexed.select("node", F.explode("lists").alias("list")).groupBy("list").count().where(F.col("count") > list_rows)
     long = materialise(long.select("list", F.ceil(F.col("count") / F.lit(list_rows)).cast("int").alias("blocks")), scratch_path(spark, "long-lists"))
