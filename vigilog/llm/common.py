@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 ROOT = Path(__file__).resolve().parents[2]
 # Texts handled together by one numpy step: bounds the arrays a task holds at once.
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 18
 BLOCK_TEXTS = 512
 
 _shipped: set[str] = set()
