@@ -4,7 +4,9 @@ Only DataFrame functions are used. Base spans follow fixed patterns. Beyond them
 of letters and digits are candidates. A candidate's encoding is inferred from its
 characters; under the hypothesis that it is random over that alphabet, a chi-squared test
 of uniformity, a runs test (upper against lower half of the alphabet) and a test of serial
-correlation give three p-values, combined by Fisher's method. Candidates are cleared as
+correlation give three p-values. The latter two look at the order of the characters and
+depend on each other, so the smaller one is doubled; it is independent of the first, which
+looks at their numbers, and both are combined by Fisher's method. Candidates are cleared as
 structured where the hypothesis is rejected under false-discovery control (Benjamini and
 Hochberg) per length band, since short strings tell less; so among cleared strings the
 expected share of random ones is at most FALSE_SHARE. Strings not cleared are spans.
@@ -138,8 +140,9 @@ def battery(token: Column) -> Column:
         products = F.aggregate(pairs, F.lit(0.0), lambda s, p: s + (p["a"] - mean) * (p["b"] - mean))
         serial = F.when(squares > 0, _two_sided((products / squares + 1.0 / n) * F.sqrt(n))).otherwise(F.lit(1e-30))
 
-        half = -(F.ln(F.greatest(uniform, F.lit(1e-30))) + F.ln(F.greatest(runs, F.lit(1e-30))) + F.ln(F.greatest(serial, F.lit(1e-30))))
-        return F.exp(-half) * (1.0 + half + half * half / 2.0)
+        order = F.least(F.lit(1.0), 2.0 * F.least(runs, serial))
+        half = -(F.ln(F.greatest(uniform, F.lit(1e-30))) + F.ln(F.greatest(order, F.lit(1e-30))))
+        return F.exp(-half) * (1.0 + half)
 
     def with_size(both: Column) -> Column:
         return F.when(F.size(both["v"]) >= 3, combined(both["v"], both["k"])).otherwise(F.lit(1e-30))
