@@ -6,6 +6,7 @@ import re
 
 import edges
 import numpy as np
+from compare import assert_same
 from pyspark.sql import functions as F
 
 from vigilog.llm import secrets
@@ -47,6 +48,20 @@ def test_base_spans_of_random_texts(spark):
     assert all([tuple(s) for s in r.base] == brute(r.text) for r in rows)
 
 
+def test_equals_sql(spark, sf_dir, tmp_path):
+    assert_same(secrets.query(spark, sf_dir), sf_dir, secrets.oracle())
+    draw = random.Random(11)
+    letters = secrets.UPPER + secrets.LOWER + secrets.DIGITS + "+/-_"
+    texts = [*random_texts(), None, ""]
+    for alphabet in (letters, "0123456789ABCDEF", secrets.UPPER + "234567", secrets.DIGITS + secrets.LOWER):
+        texts += [f"é {''.join(draw.choice(alphabet) for _ in range(draw.randint(20, 90)))}= password:" for _ in range(60)]
+    texts += [f"{'xy7' * draw.randint(7, 20)} {(secrets.DIGITS + secrets.LOWER)[: draw.randint(22, 36)]}" for _ in range(60)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = secrets.query(spark, str(tmp_path))
+    assert_same(found, str(tmp_path), secrets.oracle())
+    assert 100 < found.where("spans LIKE '%random%'").count() < 300
+
+
 def test_long_lists_of_matches(spark):
     text = " ".join(f"AKIA{i:012d}" for i in range(3000))
     found = secrets.find(spark.createDataFrame([(text,)], "text string"), {}).first()

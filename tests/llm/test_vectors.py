@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from compare import assert_same
 
 from vigilog.llm import vectors
 from vigilog.llm.simhash import forest
@@ -54,6 +55,13 @@ def test_recall_over_the_given_vectors(spark, sf_dir):
     assert all(found[i].n_links <= r[1] for i, r in expected.items())
 
 
+def test_equals_sql(spark, sf_dir, tmp_path):
+    assert_same(vectors.query(spark, sf_dir), sf_dir, vectors.oracle())
+    rows = [(i, v if i % 9 else v[:-1], label if i % 7 else None) for i, v, label in planted(8)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert_same(vectors.query(spark, str(tmp_path)), str(tmp_path), vectors.oracle())
+
+
 def test_awkward_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [

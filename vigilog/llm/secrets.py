@@ -102,18 +102,19 @@ def _one_sided(z: Column) -> Column:
     return F.when(z >= 0, tail).otherwise(1.0 - tail)
 
 
-def _codes(token: Column, pattern: str, alphabet: str) -> Column:
-    body = F.regexp_replace(F.translate(token, "-_", "+/"), r"=+", "") if not pattern else token
+def _codes(body: Column, pattern: str, alphabet: str) -> Column:
+    body = body if pattern else F.translate(body, "-_", "+/")
     return F.transform(F.split(body, ""), lambda c: (F.instr(F.lit(alphabet), c) - 1).cast("double"))
 
 
 def battery(token: Column) -> Column:
-    """Combined p-value of the three tests under the inferred encoding."""
+    """Combined p-value of the three tests under the inferred encoding, without padding."""
+    body = F.regexp_replace(token, "=", "")
     codes = F.lit(None).cast("array<double>")
     size = F.lit(None).cast("double")
     for pattern, alphabet in reversed(ENCODINGS):
-        fits = F.rlike(token, F.lit(pattern)) if pattern else F.lit(True)
-        codes = F.when(fits, _codes(token, pattern, alphabet)).otherwise(codes)
+        fits = F.rlike(body, F.lit(pattern)) if pattern else F.lit(True)
+        codes = F.when(fits, _codes(body, pattern, alphabet)).otherwise(codes)
         size = F.when(fits, F.lit(float(len(alphabet)))).otherwise(size)
 
     def combined(v: Column, k: Column) -> Column:
@@ -240,3 +241,71 @@ def digests(found: DataFrame) -> DataFrame:
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return digests(find(docs, fit(docs), keep=["doc_id"]))
+
+
+def oracle() -> str:
+    """The same spans, tests and clearing in SQL."""
+    alphabets = " ".join(f"WHEN regexp_matches(replace(t, '=', ''), '{pattern}') THEN '{alphabet}'" for pattern, alphabet in ENCODINGS[:-1])
+    whole = ENCODINGS[-1][1]
+    assign = ASSIGN.replace("'", "''").replace(r"\x20", " ")
+    value = ASSIGN_VALUE.replace("'", "''").replace(r"\x20", " ")
+
+    def kind(name: str, place: int, pattern: str) -> str:
+        gaps, found = (f"regexp_extract_all(body, '(?s)(.*?)({pattern})', {group})" for group in (1, 2))
+        return f"SELECT row_no, '{name}' AS kind, {place} AS place, {gaps} AS gaps, {found} AS matches FROM docs"
+
+    tail = "(exp(-z * z / 2.0) * 0.3989422804014327 * (u * (0.319381530 + u * (-0.356563782 + u * (1.781477937 + u * (-1.821255978 + u * 1.330274429))))))"
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS body FROM documents),
+listed AS ({kind("assign", 0, assign)} UNION ALL {kind("access", 1, ACCESS)} UNION ALL {kind("hex", 2, HEX)} UNION ALL {kind(RANDOM, 3, CANDIDATE)}),
+single AS (SELECT row_no, kind, place, unnest(gaps) AS gap, unnest(matches) AS t, generate_subscripts(matches, 1) AS i FROM listed WHERE len(matches) > 0),
+spans AS (
+  SELECT row_no, kind, place, t, e - length(t) AS s, e FROM (
+    SELECT *, sum(length(gap) + length(t)) OVER (PARTITION BY row_no, kind ORDER BY i) AS e FROM single)),
+base AS (SELECT * FROM spans WHERE kind <> '{RANDOM}' AND (kind <> 'assign' OR length(regexp_extract(t, '{value}', 1)) >= {ASSIGN_CHARS})),
+tokens AS (
+  SELECT row_number() OVER () AS id, row_no, s, e, t, CASE {alphabets} ELSE '{whole}' END AS alphabet
+  FROM spans WHERE kind = '{RANDOM}' AND regexp_matches(t, '[0-9]') AND regexp_matches(t, '[A-Za-z]')),
+coded AS (
+  SELECT id, t, length(alphabet)::DOUBLE AS k,
+    [(instr(alphabet, c) - 1)::DOUBLE FOR c IN string_split(CASE WHEN alphabet = '{whole}' THEN translate(replace(t, '=', ''), '-_', '+/') ELSE replace(t, '=', '') END, '')] AS v
+  FROM tokens),
+chars AS (SELECT id, k, len(v)::DOUBLE AS n, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM coded WHERE len(v) >= 3),
+steps AS (SELECT *, lag(x) OVER (PARTITION BY id ORDER BY i) AS before, avg(x) OVER (PARTITION BY id) AS mean FROM chars),
+tallies AS (SELECT id, sum(c * c)::DOUBLE AS tally FROM (SELECT id, x, count(*) AS c FROM chars GROUP BY ALL) GROUP BY id),
+moments AS (
+  SELECT id, any_value(k) AS k, any_value(n) AS n, count(*) FILTER (WHERE x >= k / 2)::DOUBLE AS up,
+    count(*) FILTER (WHERE (x >= k / 2) <> (before >= k / 2))::DOUBLE AS changes,
+    sum((x - mean) * (x - mean)) AS squares, sum((x - mean) * (before - mean)) AS products
+  FROM steps GROUP BY id),
+scaled AS (
+  SELECT *, k - 1 AS df, k - 1 + (tally * k / n - n - (k - 1)) / sqrt((n - 1) / n) AS chi, 2 * up * (n - up) AS product FROM moments JOIN tallies USING (id)),
+scores AS (
+  SELECT id, (pow(greatest(chi, 0) / df, 1.0 / 3) - (1 - 2 / (9 * df))) / sqrt(2 / (9 * df)) AS z1,
+    CASE WHEN product * (product - n) > 0 THEN (changes - product / n) / sqrt(product * (product - n) / (n * n * (n - 1))) END AS z2,
+    CASE WHEN squares > 0 THEN (products / squares + 1 / n) * sqrt(n) END AS z3, n FROM scaled),
+sides AS (SELECT id, n, j, [z1, z2, z3][j] AS raw, least(abs([z1, z2, z3][j]), 30) AS z, 1 / (1 + 0.2316419 * least(abs([z1, z2, z3][j]), 30)) AS u
+  FROM scores CROSS JOIN range(1, 4) AS g(j)),
+levels AS (
+  SELECT id, greatest(max(CASE WHEN j = 1 THEN CASE WHEN raw >= 0 THEN {tail} ELSE 1 - {tail} END END), 1e-30) AS p1,
+    greatest(least(1, 2 * min(CASE WHEN j > 1 THEN CASE WHEN raw IS NOT NULL THEN least(1, 2 * {tail}) WHEN j = 2 THEN pow(2, 1 - n) ELSE 1e-30 END END)), 1e-30) AS p2
+  FROM sides GROUP BY id),
+binned AS (
+  SELECT t.id, row_no, s, e, least(floor(log2(length(t) / {float(LEAST_CHARS)})), {BANDS - 1}) AS band,
+    least(floor(-10 * log10(greatest(coalesce(p1 * p2 * (1 - ln(p1 * p2)), 1e-30), 1e-30))), {BINS}) AS bin
+  FROM tokens t LEFT JOIN levels USING (id)),
+ranked AS (
+  SELECT band, bin, count(*) AS n, sum(count(*)) OVER (PARTITION BY band ORDER BY bin DESC) AS reached, sum(count(*)) OVER (PARTITION BY band) AS total
+  FROM binned GROUP BY band, bin),
+cleared AS (SELECT band, min(bin) AS lowest FROM ranked WHERE pow(10, -bin / 10.0) <= {FALSE_SHARE} * reached / total GROUP BY band),
+added AS (
+  SELECT b.row_no, '{RANDOM}' AS kind, 3 AS place, b.s, b.e FROM binned b LEFT JOIN cleared USING (band)
+  WHERE bin < coalesce(lowest, {BINS + 1}) AND NOT EXISTS (SELECT 1 FROM base o WHERE o.row_no = b.row_no AND o.s < b.e AND b.s < o.e)),
+every AS (SELECT row_no, kind, place, s, e FROM base UNION ALL SELECT * FROM added),
+joined AS (
+  SELECT row_no, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place) FILTER (WHERE place < 3) AS base_spans, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place) AS spans
+  FROM every GROUP BY row_no)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN joined USING (row_no)"""

@@ -261,3 +261,20 @@ def group(
 
 def query(spark, sf_dir: str) -> DataFrame:
     return group(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def oracle() -> str:
+    """All cosines within a label, and what links reach, in SQL; for small tables."""
+    return f"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= {THRESHOLD}),
+reached AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x),
+least AS (SELECT x, min(y) AS y FROM reached GROUP BY x),
+counted AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(y, vec_id)) AS component_id, vec_id <= coalesce(y, vec_id) AS kept
+FROM embeddings LEFT JOIN least ON vec_id = least.x LEFT JOIN counted ON vec_id = counted.x"""
