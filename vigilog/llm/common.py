@@ -18,6 +18,8 @@ ROOT = Path(__file__).resolve().parents[2]
 # Texts handled together by one numpy step: bounds the arrays a task holds at once.
 BLOCK_CHARS = 1 << 18
 BLOCK_TEXTS = 512
+# Rows of an Arrow batch turned into Python values at once.
+SLICE_ROWS = 1024
 
 _shipped: set[str] = set()
 
@@ -39,6 +41,12 @@ def ship_code(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def text_blocks(texts: list[str | None], chars: int = BLOCK_CHARS, count: int = BLOCK_TEXTS) -> Iterator[tuple[int, list[str]]]:
     """Runs of whole texts with their first index; a longer text is a block of its own.
 
@@ -80,7 +88,7 @@ def add_columns(
     schema = StructType([*source.schema.fields[:width], *added.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             values = {c: batch.column(width + i).to_pylist() for i, c in enumerate(inputs)}
             arrays = compute(values)
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], *arrays], names=[*kept, *names])
@@ -139,7 +147,7 @@ def sum_over_texts(rows: DataFrame, text: str, measure: Callable[[list[str]], np
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width + 1, dtype=np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for _, block in text_blocks(batch.column(0).to_pylist()):
                 total[:width] += measure(block)
             total[width] += batch.num_rows

@@ -11,6 +11,7 @@ nearest ones by similarity.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,23 +43,17 @@ class Model:
     prior: float
 
 
-_SHAPE: list[np.ndarray] = []
-
-
+@lru_cache(maxsize=1)
 def shape_table() -> np.ndarray:
-    """Shape of every code point: a, A, 0, blank, or the character itself."""
-    if not _SHAPE:
-        table = np.arange(0x110000, dtype=np.uint32)
-        for code in range(0x110000):
-            char = chr(code)
-            if char.isalpha():
-                table[code] = ord("A") if char.isupper() else ord("a")
-            elif char.isdigit():
-                table[code] = ord("0")
-            elif char == " ":
-                table[code] = ord(" ")
-        _SHAPE.append(table)
-    return _SHAPE[0]
+    """Shape of every code point: a, A, 0, or the character itself."""
+    table = np.arange(0x110000, dtype=np.uint32)
+    for code in range(0x110000):
+        char = chr(code)
+        if char.isalpha():
+            table[code] = ord("A") if char.isupper() else ord("a")
+        elif char.isdigit():
+            table[code] = ord("0")
+    return table
 
 
 def _mix(values: np.ndarray) -> np.ndarray:
