@@ -17,6 +17,12 @@ def test_equals_sql(spark, sf_dir, limit):
     assert full.count() == 0
 
 
+def test_many_levels(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(sharding, "LEVEL_BITS", 2)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert_same(sharding.assign(docs, ["doc_id", "text"], limit=20_000, keep=["doc_id"]), sf_dir, sharding.oracle(20_000))
+
+
 def test_copies_of_one_row_become_pages(spark):
     rows = spark.range(3000).select(F.lit(7).alias("doc_id"), F.lit("x" * 100).alias("text")).repartition(5)
     pages = sharding.assign(rows, ["doc_id", "text"], limit=10_000).groupBy("shard", "page").agg(F.sum("n_bytes").alias("b")).collect()
