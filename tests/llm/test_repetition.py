@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import edges
+from compare import assert_same
 
 from vigilog.llm import repetition
 
@@ -49,6 +50,12 @@ def test_whole_texts_against_brute_force(spark, sf_dir):
             assert [round(v, 9) for v in list(row)[11:]] == [round(v, 9) for v in brute_shares(text)]
 
 
+def test_equals_sql(spark, sf_dir, tmp_path):
+    assert_same(repetition.query(spark, sf_dir), sf_dir, repetition.oracle())
+    edges.frame(spark).select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    assert_same(repetition.query(spark, str(tmp_path)), str(tmp_path), repetition.oracle())
+
+
 def test_good_texts_stay_and_bad_ones_go(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     judged = repetition.query(spark, sf_dir).where("NOT base_failed").join(labels, "doc_id")

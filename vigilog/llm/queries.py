@@ -28,4 +28,4 @@ def all_queries() -> dict[str, Query]:
 
 def checks() -> dict[str, str]:
     """SQL checks; operators that SQL cannot express are tested against brute force."""
-    return {"op3_vectors": vectors.oracle(), "op5_secrets": secrets.oracle(), "op6_sharding": sharding.oracle(), "op10_mixing": mixing.oracle()}
+    return {"op3_vectors": vectors.oracle(), "op4_repetition": repetition.oracle(), "op5_secrets": secrets.oracle(), "op6_sharding": sharding.oracle(), "op10_mixing": mixing.oracle()}

@@ -151,3 +151,62 @@ def judge(docs: DataFrame, text: str = "text", keep: list[str] | None = None) ->
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return judge(docs, keep=["doc_id"])
+
+
+def oracle() -> str:
+    """The same counts, shares and verdicts in SQL, with n-grams as hashed lists of words."""
+    top = ", ".join(map(str, TOP_SHARE))
+    again = ", ".join(map(str, REPEATED_SHARE))
+    shares = [
+        "n_symbols / greatest(n_words, 1) AS symbol_share",
+        "n_dup_lines / greatest(n_lines, 1) AS dup_line_share",
+        "dup_line_chars / greatest(word_chars, 1) AS dup_line_char_share",
+        *(f"CASE WHEN top_{n} > word_chars THEN 1 ELSE coalesce(top_{n} / word_chars, 0) END AS top_{n}_share" for n in TOP_SHARE),
+        *(f"coalesce(dup_{n} / word_chars, 0) AS dup_{n}_share" for n in REPEATED_SHARE),
+    ]
+    limits = dict(zip(SHARES, [SYMBOL_SHARE, LINE_SHARE, LINE_CHAR_SHARE, *TOP_SHARE.values(), *REPEATED_SHARE.values()], strict=True))
+    fits = " AND ".join(f"{name} <= CAST({limit!r} AS DOUBLE)" for name, limit in limits.items())
+    per_text = [
+        *(f"max(CASE WHEN n = {n} THEN chars END) AS top_{n}" for n in TOP_SHARE),
+        *(f"max(CASE WHEN n = {n} THEN chars END) AS dup_{n}" for n in REPEATED_SHARE),
+    ]
+    word = r"[^ \t-\r]+"
+    longest = max(REPEATED_SHARE)
+    following = ", ".join(
+        [*(f"lead(h0, {k}) OVER own AS h{k}" for k in range(1, longest)), *(f"sum(c) OVER (own ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING) AS c{n}" for n in range(2, longest + 1))]
+    )
+    grams = " UNION ALL ".join(
+        f"SELECT r, {n} AS n, i, hash({', '.join(f'h{k}' for k in range(n))}) AS g, c{n} AS width FROM following WHERE h{n - 1} IS NOT NULL" for n in range(2, longest + 1)
+    )
+    return f"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS body FROM documents),
+listed AS (SELECT r, body, regexp_extract_all(body, '{word}') AS w FROM texts),
+words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM listed),
+placed AS (SELECT r, i, hash(word) AS h0, length(word) AS c FROM words),
+following AS (SELECT *, {following} FROM placed WINDOW own AS (PARTITION BY r ORDER BY i)),
+grams AS ({grams}),
+ranked AS (
+  SELECT r, n, i, width, count(*) OVER same AS times, row_number() OVER (same ORDER BY i) AS place FROM grams WINDOW same AS (PARTITION BY r, n, g)),
+tops AS (SELECT r, n, max(times * width) AS chars FROM (SELECT *, max(times) OVER (PARTITION BY r, n) AS most FROM ranked WHERE n IN ({top}))
+  WHERE times = most AND most > 1 GROUP BY r, n),
+hit AS (SELECT DISTINCT r, n, i + k AS i FROM ranked CROSS JOIN range(0, {max(REPEATED_SHARE)}) AS steps(k) WHERE k < n AND n IN ({again}) AND place > 1),
+dups AS (SELECT r, n, sum(length(word)) AS chars FROM hit JOIN words USING (r, i) GROUP BY r, n),
+shares AS (SELECT r, {", ".join(per_text)} FROM (SELECT * FROM tops UNION ALL SELECT * FROM dups) GROUP BY r),
+repeats AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM ranked CROSS JOIN range(0, {BASE_WINDOW}) AS steps(k) WHERE n = {BASE_WINDOW} AND times > 1 GROUP BY r),
+lines AS (
+  SELECT r, line, row_number() OVER (PARTITION BY r, line) AS place FROM (SELECT r, unnest(string_split(body, chr(10))) AS line FROM texts)
+  WHERE regexp_matches(line, '{word}')),
+lined AS (
+  SELECT r, count(*) AS n_lines, count(*) FILTER (WHERE place > 1) AS n_dup_lines,
+    coalesce(sum(length(regexp_replace(line, '[ \\t-\\r]', '', 'g'))) FILTER (WHERE place > 1), 0) AS dup_line_chars
+  FROM lines GROUP BY r),
+counted AS (
+  SELECT r, doc_id, len(w) AS n_words, length(regexp_replace(t.body, '[ \\t-\\r]', '', 'g')) AS word_chars,
+    length(regexp_replace(t.body, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words,
+    coalesce(n_lines, 0) AS n_lines, coalesce(dup_line_chars, 0) AS dup_line_chars, shares.* EXCLUDE (r)
+  FROM texts t JOIN listed USING (r) LEFT JOIN lined USING (r) LEFT JOIN repeats USING (r) LEFT JOIN shares USING (r)),
+rated AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed, {", ".join(shares)} FROM counted)
+SELECT doc_id, {", ".join(f"CAST({n} AS BIGINT) AS {n}" for n in LONGS)}, base_failed, NOT base_failed AND {fits} AS kept,
+  {", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in SHARES)}
+FROM rated"""
