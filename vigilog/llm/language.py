@@ -28,7 +28,7 @@ MOST_LANGUAGES = 256
 # Length bands: powers of two of the number of n-grams.
 BANDS = 32
 # A text is rejected below this share of the lowest cosine seen in its length band; the
-# share falls in proportion below FULL_BAND, since short texts vary more.
+# share falls with the square of the band below FULL_BAND, since short texts vary more.
 TOLERANCE = 0.5
 FULL_BAND = 10
 
@@ -111,7 +111,7 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", identity: list[
     floors, last = np.zeros(BANDS, dtype=np.float32), 0.0
     for i in range(BANDS):
         if np.isfinite(seen[i]):
-            last = seen[i] * TOLERANCE * min(1.0, i / FULL_BAND)
+            last = seen[i] * TOLERANCE * min(1.0, (i / FULL_BAND) ** 2)
         floors[i] = last
     centroids = np.array([r["vector"] for r in learned], dtype=np.float32).reshape(len(learned), WIDTH)
     return Model(idf, [r["lang"] for r in learned], centroids, floors)
