@@ -44,3 +44,37 @@ def test_awkward_rows(spark):
     assert all(0.0 <= r.mix_probability <= 1.0 for r in rows)
     assert len({r.sampled for r in rows if r.doc_id == 1}) == 1
     assert mixing.mix(edges.frame(spark, [])).count() == 0
+
+
+def test_few_rare_tokens_do_not_shrink_the_sample(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
+    rare = spark.createDataFrame([(10**9, "word " * 100, None, "src1")], docs.schema)
+    rows = mixing.mix(docs.union(rare)).collect()
+    whole = sum(r.n_tokens for r in rows)
+    taken = {k: sum(r.n_tokens * r.mix_probability for r in rows if r.lang == k) / (whole / 2) for k in ("en", "de", "fr", "es", None)}
+    assert sum(taken.values()) == pytest.approx(1.0, abs=1e-6)
+    assert [r.mix_probability for r in rows if r.doc_id == 10**9] == [1.0] and taken[None] == pytest.approx(100 / (whole / 2))
+    for value in ("en", "de", "fr", "es"):
+        assert taken[value] == pytest.approx(mixing.TARGETS["lang"][value] / 0.99 * (1 - taken[None]), rel=1e-4)
+
+
+def test_large_unlisted_source(spark, sf_dir, caplog):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", F.expr("CASE WHEN crc32(CAST(doc_id AS STRING)) % 5 < 2 THEN 'elsewhere' ELSE source END AS source"))
+    rows = mixing.mix(docs).collect()
+    whole = sum(r.n_tokens for r in rows)
+    assert sum(r.n_tokens * r.mix_probability for r in rows) == pytest.approx(whole / 2, rel=1e-6)
+    assert sum(r.n_tokens * r.mix_probability for r in rows if r.source == "elsewhere") < 0.02 * whole / 2
+    # There is too little of src0 for its target: it is taken as a whole, and that is said.
+    few = [r for r in rows if r.source == "src0"]
+    assert sum(r.n_tokens * r.mix_probability for r in few) > 0.99 * sum(r.n_tokens for r in few)
+    assert "source src0 reaches" in caplog.text
+
+
+def test_bounded_raking():
+    cells = {("a", "p"): 10, ("a", "q"): 990, ("b", "p"): 500, ("b", "q"): 500, ("c", "q"): 0}
+    targets = {"one": {"a": 0.5, "b": 0.5, "c": 1.0}, "two": {"p": 0.5, "q": 0.5}}
+    found = mixing.rake_bounded(cells, targets, 0.5)
+    tokens = {c: n * found[c] for c, n in cells.items()}
+    assert found["a", "p"] == 1.0 and found["c", "q"] == 0.0 and all(0 <= p <= 1 for p in found.values())
+    assert tokens["a", "p"] + tokens["a", "q"] == pytest.approx(500) and tokens["a", "p"] + tokens["b", "p"] == pytest.approx(500)
+    assert mixing.rake_bounded(cells, targets, 1.0) == {c: float(n > 0) for c, n in cells.items()} and mixing.rake_bounded({}, targets, 0.5) == {}

@@ -2,20 +2,33 @@
 
 Tokens are counted per cell of (source, language, topic). The cells' weights are raked to one
 marginal after the other until the weighted tokens match the targets of all three. A
-document is then sampled with its cell's weight as probability, scaled so that the largest
-weight is 1: expected tokens match the targets, and no document is taken twice.
+document is then sampled with a probability that its cell's weight leads to, and none is taken twice.
+
+Probabilities take a given share of all tokens. They end at 1, and the raking is done under that
+bound: a cell or a value without enough tokens is taken whole, the others make up for it,
+and the shortfall is reported. Or, without a share, weights are scaled so that the largest
+is 1; then targets are met exactly, but the rarest wanted cell bounds the whole sample.
 """
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+LOG = logging.getLogger(__name__)
+
 OTHER = "other"
 ROUNDS = 60
 DIGITS = 9
 SEED = "mix-1"
 AXES = ("source", "lang", "topic")
+# The part of all tokens that is sampled, if not said otherwise.
+SHARE = 0.5
+BOUNDED_ROUNDS = 300
+# A value is reported as short below this part of its target.
+SHORT = 0.999
 
 # Target shares of tokens. Values of an axis that aren't listed share what OTHER gets.
 TARGETS = {
@@ -70,6 +83,62 @@ def rake(cells: dict[tuple, int], targets: dict[str, dict[str, float]], rounds:
     return {cell: weights.get(cell, 0.0) for cell in cells}
 
 
+def rake_bounded(cells: dict[tuple, int], targets: dict[str, dict[str, float]], share: float, rounds: int = BOUNDED_ROUNDS) -> dict[tuple, float]:
+    """Probability per cell, at most 1, that takes ``share`` of all tokens.
+
+    The tokens taken have the target shares on every axis as far as there are enough. A value
+    with too few tokens is taken whole, and what it lacks is given to the others in proportion.
+    Within a value, cells at probability 1 stay there and the others are raised. Targets
+    that only contradict each other through the cells' bounds are met on the last axis.
+    """
+    total = float(sum(cells.values()))
+    present = {cell: float(count) for cell, count in sorted(cells.items()) if count > 0}
+    goals = []
+    for axis, shares in enumerate(targets.values()):
+        tokens_of = dict.fromkeys(sorted({cell[axis] for cell in present}), 0.0)
+        for cell, count in present.items():
+            tokens_of[cell[axis]] += count
+        scale = _scale_to(share, {v: shares.get(v, 0.0) * total / n for v, n in tokens_of.items()}, tokens_of)
+        goals.append({v: n * min(1.0, shares.get(v, 0.0) * total / n * scale) for v, n in tokens_of.items()})
+    factors = dict.fromkeys(present, 1.0)
+    taken = {}
+    for _ in range(rounds):
+        before = taken
+        for axis, goal in enumerate(goals):
+            for value, wanted in goal.items():
+                own = sorted((c for c in present if c[axis] == value), key=lambda c: factors[c])
+                # As many cells as possible from the smallest factor on share what is left when
+                # the others are at 1. Sums start at the smallest, since factors differ widely.
+                raised, left, rest = 1.0 / factors[own[0]], wanted - sum(present[c] for c in own), 0.0
+                for c in own:
+                    left, rest = left + present[c], rest + present[c] * factors[c]
+                    if left > 0 and left / rest * factors[c] <= 1.0:
+                        raised = left / rest
+                if wanted <= 0:
+                    raised = 0.0
+                for c in own:
+                    factors[c] = min(max(factors[c] * raised, 1e-150), 1e150)
+        taken = {c: min(1.0, f) for c, f in factors.items()}
+        if before and all(abs(taken[c] - before[c]) <= 1e-12 for c in taken):
+            break
+    return {cell: taken.get(cell, 0.0) for cell in cells}
+
+
+def reached(cells: dict[tuple, int], probabilities: dict[tuple, float], targets: dict[str, dict[str, float]]) -> list[tuple]:
+    """(axis, value, target, reached, tokens) per axis value: its target among the values that
+    have tokens, its share of the tokens expected to be taken, and all its tokens."""
+    out = []
+    taken = sum(n * probabilities[c] for c, n in cells.items())
+    for axis, (name, shares) in enumerate(targets.items()):
+        present = sorted({c[axis] for c, n in cells.items() if n > 0})
+        whole = sum(shares.get(v, 0.0) for v in present)
+        for value in present:
+            own = [c for c in cells if c[axis] == value]
+            got = sum(cells[c] * probabilities[c] for c in own)
+            out.append((name, value, shares.get(value, 0.0) / whole if whole else 0.0, got / taken if taken else 0.0, sum(cells[c] for c in own)))
+    return out
+
+
 def uniform(key: str, seed: str = SEED) -> Column:
     """A number from 0 up to 1 for a key, the same wherever and whenever it is drawn."""
     digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(key).cast("string"), F.lit("\\N"))).cast("binary"))
@@ -82,7 +151,7 @@ def mix(
     key: str = "doc_id",
     text: str = "text",
     axes: dict[str, Column] | None = None,
-    share: float | None = None,
+    share: float | None = SHARE,
     seed: str = SEED,
 ) -> DataFrame:
     """Add ``n_tokens``, ``mix_weight``, ``mix_probability`` and ``sampled`` to every row.
@@ -90,8 +159,8 @@ def mix(
     ``targets`` names the shares per axis, ``axes`` the value of each axis for a row (default:
     columns source and lang, and ``topic``). Null values and values not listed are one value,
     ``other``, so the number of cells depends on the targets alone, and only cells reach the
-    driver. ``share``, if given, asks for that part of all tokens: probabilities are
-    scaled up to it and end at 1, which can move the marginals. Rows of equal key are
+    driver. ``share`` is the part of all tokens to take (``rake_bounded``); values that fall
+    short of their target are logged. None scales the weights so that the largest is 1. Rows of equal key are
     sampled together; a null key counts as one key. Rows without tokens get the weight
     of their cell. Input columns named like the added ones are replaced.
     """
@@ -104,13 +173,21 @@ def mix(
     # One row per combination of listed values.
     counted = {tuple(r[0]): r[1] for r in marked.groupBy("__cell").agg(F.sum("n_tokens")).collect()}
     weights = rake(counted, targets)
-    scale = 1.0 / max([*weights.values(), 1e-300])
-    if share is not None:
-        scale = _scale_to(share, weights, counted)
+    if share is None:
+        scale = 1.0 / max([*weights.values(), 1e-300])
+        taken = {c: w * scale for c, w in weights.items()}
+    else:
+        taken = rake_bounded(counted, targets, share)
+    for axis, value, target, got, n in reached(counted, taken, targets):
+        if got < SHORT * target:
+            LOG.warning("mix: %s %s reaches %.4g of the tokens taken, its target is %.4g (it has %d tokens)", axis, value, got, target, n)
     number = F.concat_ws("\x1f", *[F.col(f"__cell.{a}") for a in targets])
-    entries = [F.lit(x) for c, w in sorted(weights.items()) for x in ("\x1f".join(c), float(w))]
-    weight = F.coalesce(F.create_map(*entries)[number], F.lit(0.0)) if entries else F.lit(0.0)
-    rated = marked.withColumn("mix_weight", F.round(weight, DIGITS)).withColumn("mix_probability", F.round(F.least(F.lit(1.0), weight * scale), DIGITS))
+
+    def looked_up(numbers: dict[tuple, float]) -> Column:
+        entries = [F.lit(x) for c, w in sorted(numbers.items()) for x in ("\x1f".join(c), float(w))]
+        return F.coalesce(F.create_map(*entries)[number], F.lit(0.0)) if entries else F.lit(0.0)
+
+    rated = marked.withColumn("mix_weight", F.round(looked_up(weights), DIGITS)).withColumn("mix_probability", F.round(F.least(F.lit(1.0), looked_up(taken)), DIGITS))
     return rated.withColumn("sampled", F.col("__draw") < F.col("mix_probability")).drop("__cell", "__draw")
 
 
@@ -126,7 +203,8 @@ def _scale_to(share: float, weights: dict[tuple, float], counts: dict[tuple, int
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source", "lang")
-    return mix(docs).select("doc_id", "n_tokens", "mix_weight", "mix_probability", "sampled")
+    # The form that the SQL below states.
+    return mix(docs, share=None).select("doc_id", "n_tokens", "mix_weight", "mix_probability", "sampled")
 
 
 def oracle(rounds: int = ROUNDS) -> str:
