@@ -57,6 +57,15 @@ def test_mixing_stage(steps):
     assert set(rows(steps[4])) == {i for i, r in mixed.items() if r.sampled} != set()
 
 
+def test_topics_outlast_the_privacy_stage(spark, sf_dir, steps):
+    before, after = ({r.doc_id: r.t for r in df.select("doc_id", mixing.topic().alias("t")).collect()} for df in steps[2:4])
+    assert before == after and "contact" in before.values()
+    texts = ["write to a.b@c.org", "call +1 (202) 555-0173 now", "from 10.0.0.1", "card 4111 1111 1111 1111", "see @handle", "a plain note"]
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in enumerate(texts)], steps[2].schema)
+    changed = pipeline.protect_privacy(spark, docs, sf_dir).select("doc_id", mixing.topic().alias("t"))
+    assert [r.t for r in changed.orderBy("doc_id").collect()] == ["contact", *["figures"] * 3, "contact", "note"]
+
+
 def test_encoding_stage(steps):
     encoder = pieces.Encoder(open(pieces.model_path(), "rb").read())
     for row in steps[5].collect():

@@ -43,14 +43,21 @@ def tokens(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^ \t-\r]+")), F.lit(0)).cast("bigint")
 
 
-def topic(text: str = "text") -> Column:
+def topic(text: str = "text", sanitised: bool = True) -> Column:
     """A text's kind, from its first mark that fits: licence notice, contact data,
-    figures, short note, or prose. A null text is a note."""
+    figures, short note, or prose. A null text is a note.
+
+    With ``sanitised`` a mark also is what ``privacy`` writes in its place: [EMAIL] for an at
+    sign, the other kinds for digits, so replaced personal data leaves a text its kind.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
+    contact, figures = F.contains(body, F.lit("@")), "[0-9]"
+    if sanitised:
+        contact, figures = contact | F.contains(body, F.lit("[EMAIL]")), r"[0-9]|\[(?:IP|CARD|PHONE)\]"
     return (
         F.when(F.contains(body, F.lit("Licensed")) | F.contains(body, F.lit("Copyright")), "notice")
-        .when(F.contains(body, F.lit("@")), "contact")
-        .when(F.regexp_like(body, F.lit("[0-9]")), "figures")
+        .when(contact, "contact")
+        .when(F.regexp_like(body, F.lit(figures)), "figures")
         .when(F.length(body) < 1000, "note")
         .otherwise("prose")
     )
@@ -203,8 +210,9 @@ def _scale_to(share: float, weights: dict[tuple, float], counts: dict[tuple, int
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source", "lang")
-    # The form that the SQL below states.
-    return mix(docs, share=None).select("doc_id", "n_tokens", "mix_weight", "mix_probability", "sampled")
+    # The form that the SQL below states; these texts are not sanitised.
+    axes = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic(sanitised=False)}
+    return mix(docs, axes=axes, share=None).select("doc_id", "n_tokens", "mix_weight", "mix_probability", "sampled")
 
 
 def oracle(rounds: int = ROUNDS) -> str:
