@@ -115,3 +115,26 @@ def test_awkward_rows(spark):
         assert [tuple(s) for s in row.spans if s.kind != privacy.TERM] == brute(row.text or "")
         assert row.sanitised == (row.text or "") or row.spans
     assert privacy.protect(edges.frame(spark, [])).count() == 0
+
+
+def test_terms_of_few_surroundings(spark):
+    filler = "river stone cloud window paper garden silver morning".split()
+    texts = [" ".join(filler[(i * 3 + j) % 8] for j in range(6)) for i in range(3000)]
+    far = " ".join(filler * 3)
+    texts[10] = f"Zaphod {far} write to z@x.org about the order K4711x from Bo {far} and river"
+    texts[20], texts[30] = f"{far} call +1 (202) 555-0173 {far} or Trillian", f"Trillian stone +1 (202) 555-0173 {far}"
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    found = {r.term: r.disclosure for r in privacy.disclosing_terms(docs).collect()}
+    assert {"zaphod", "k4711x", "bo", "trillian"} <= found.keys() and not found.keys() & set(filler)
+    one = 1 + math.log(1 / (1 + privacy.QUANTILE**2)) / math.log(3000)
+    two = 1 + math.log(2 / (2 + privacy.QUANTILE**2)) / math.log(1500)
+    assert abs(found["zaphod"] - one) < 1e-9 and abs(found["trillian"] - two) < 1e-9
+    clean = {r.doc_id: r.sanitised for r in privacy.protect(docs).collect()}
+    assert clean[10].startswith("[NAME] river") and "[EMAIL]" in clean[10] and "[NUMBER]" in clean[10]
+    assert not any(name in text for text in clean.values() for name in ("Zaphod", "K4711x", " Bo ", "Trillian", "555"))
+
+
+def test_copies_prove_no_more_than_one_text(spark):
+    texts = ["river stone cloud"] * 80 + ["copied rareword c@z.org"] * 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert privacy.disclosing_terms(docs).count() == 0

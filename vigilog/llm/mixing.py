@@ -53,7 +53,7 @@ def topic(text: str = "text", sanitised: bool = True) -> Column:
     body = F.coalesce(F.col(text), F.lit(""))
     contact, figures = F.contains(body, F.lit("@")), "[0-9]"
     if sanitised:
-        contact, figures = contact | F.contains(body, F.lit("[EMAIL]")), r"[0-9]|\[(?:IP|CARD|PHONE)\]"
+        contact, figures = contact | F.contains(body, F.lit("[EMAIL]")), r"[0-9]|\[(?:IP|CARD|PHONE|NUMBER)\]"
     return (
         F.when(F.contains(body, F.lit("Licensed")) | F.contains(body, F.lit("Copyright")), "notice")
         .when(contact, "contact")

@@ -2,21 +2,28 @@
 
 Base spans follow fixed patterns; their values are the protected entities. A term discloses an
 entity as far as the corpus ties it to it: with n texts, n(c) of them holding entity c, n(t)
-holding term t, and n(c, t) holding t near c, its pointwise mutual information with c is
+holding term t, and n(c, t) holding both, anywhere, its pointwise mutual information with c is
 log n(c, t) n / (n(c) n(t)), at most the entity's information log n / n(c). The quotient
 is the term's disclosure. Terms above REMOVE are removed, those above GENERALISE become
 their kind, wherever they occur; base spans become the name of theirs.
 
-A term needs SUPPORT different surroundings of the entity, so that copies of one text
-prove nothing. All counts cover all texts.
+Every pair is rated. One with fewer than SUPPORT different surroundings of the entity is rated
+by a lower bound: n(c, t) / n(t) is replaced by its Wilson bound from as many observations
+as there are different surroundings, so copies of one text prove no more than the text.
+The rarer the entity and the larger the corpus, the fewer surroundings suffice. All
+counts cover all texts.
+
+Terms are runs of three or more letters and digits, and capitalised words of one or two letters.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import batched
 
 import pyarrow as pa
 import xxhash
@@ -34,11 +41,18 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 KINDS = ("email", "ip", "card", "phone")
 DIGITS = re.compile(r"[0-9]")
-WORD = re.compile(r"[^\W\d_]{3,}")
+UPPER = "".join(c for c in map(chr, range(0x10000)) if c.isupper() and c.isalpha())
+WORD = re.compile(rf"[^\W_]{{3,}}|(?<![^\W_])[{UPPER}][^\W\d_]?(?![^\W_])")
+# Words that tell surroundings apart; numbers and initials, which differ in a form letter, don't.
+PLAIN = re.compile(r"[^\W\d_]{3,}")
 TERM = "term"
 
 WINDOW = 6
 SUPPORT = 5
+# Normal quantile of the one-sided lower bound, 95 %.
+QUANTILE = 1.645
+# Pairs of a text handed on at once.
+PAIRS = 50_000
 GENERALISE, REMOVE = 0.80, 0.95
 # Terms a task counts before it hands its counts on.
 HELD_TERMS = 200_000
@@ -117,25 +131,22 @@ def _apart(words: list[re.Match], spans: list[tuple[str, int, int]]) -> list[re.
     return out
 
 
-def observe(text: str) -> tuple[set[str], set[str], set[tuple[str, str, int]]]:
-    """Terms and entities of a text, and (entity, term, surroundings) where they are near."""
+def observe(text: str) -> tuple[set[str], dict[str, int]]:
+    """Terms of a text, and a mark of the surroundings of each of its entities."""
     spans = base_spans(text)
     if not spans:
-        return {w.lower() for w in WORD.findall(text)}, set(), set()
-    words = _apart(list(WORD.finditer(text)), spans)
-    lowered = [w[0].lower() for w in words]
+        return {w.lower() for w in WORD.findall(text)}, {}
+    terms = {w[0].lower() for w in _apart(list(WORD.finditer(text)), spans)}
+    words = _apart(list(PLAIN.finditer(text)), spans)
     starts = [w.start() for w in words]
-    entities, near = set(), set()
-    place, order = 0, sorted(spans, key=lambda s: s[1])
-    for kind, start, end in order:
+    marks: dict[str, int] = {}
+    for kind, start, end in sorted(spans, key=lambda s: s[1]):
         entity = _entity(kind, text[start:end])
-        entities.add(entity)
-        while place < len(starts) and starts[place] < start:
-            place += 1
-        around = lowered[max(0, place - WINDOW) : place + WINDOW]
-        mark = xxhash.xxh64_intdigest(" ".join(around).encode("utf-8", "surrogatepass")) >> 1
-        near.update((entity, term, mark) for term in around)
-    return set(lowered), entities, near
+        if entity not in marks:
+            place = bisect_left(starts, start)
+            around = " ".join(w[0].lower() for w in words[max(0, place - WINDOW) : place + WINDOW])
+            marks[entity] = xxhash.xxh64_intdigest(around.encode("utf-8", "surrogatepass")) >> 1
+    return terms, marks
 
 
 def _observations(docs: DataFrame, text: str) -> DataFrame:
@@ -154,10 +165,12 @@ def _observations(docs: DataFrame, text: str) -> DataFrame:
         held: Counter[str] = Counter()
         for batch in batches:
             for value in batch.column(0):
-                terms, entities, near = observe(value.as_py() or "")
+                terms, marks = observe(value.as_py() or "")
                 held.update(terms)
-                if entities:
-                    yield rows([(e, None, None, 1) for e in entities] + [(e, t, m, 1) for e, t, m in near])
+                if marks:
+                    yield rows([(e, None, None, 1) for e in marks])
+                for some in batched(((e, t, m, 1) for e, m in marks.items() for t in terms), PAIRS):
+                    yield rows(list(some))
                 if len(held) > HELD_TERMS:
                     yield rows([(None, t, None, n) for t, n in held.items()])
                     held.clear()
@@ -170,18 +183,21 @@ def disclosing_terms(docs: DataFrame, text: str = "text", support: int = SUPPORT
     """(term, disclosure) of terms that reveal an entity, from all texts of ``docs``."""
     spark = docs.sparkSession
     total = docs.count()
-    # Terms that were near no entity leave most of what was read; each is added up per task.
+    # Terms without entities leave most of what was read; each is added up per task.
     seen = materialise(_observations(docs, text).groupBy("entity", "term", "mark").agg(F.sum("n").alias("n")), scratch_path(spark, "observed"))
-    near = seen.where("mark IS NOT NULL").groupBy("entity", "term").agg(F.sum("n").alias("together"), F.count(F.lit(1)).alias("surroundings"))
-    near = near.where(F.col("surroundings") >= support)
+    pairs = seen.where("mark IS NOT NULL").groupBy("entity", "term").agg(F.sum("n").alias("together"), F.count(F.lit(1)).alias("surroundings"))
     with_entity = seen.where("term IS NULL").select("entity", F.col("n").alias("with_entity"))
     with_term = seen.where("entity IS NULL").select("term", F.col("n").alias("with_term"))
-    joined = near.join(with_entity, "entity").join(with_term, "term")
-    # A text can hold a term near an entity in several places.
-    together = F.least("together", "with_entity", "with_term")
+    joined = pairs.join(with_entity, "entity").join(with_term, "term").where(F.col("with_entity") < total)
     information = F.ln(F.lit(float(total)) / F.col("with_entity"))
-    mutual = F.ln(together * F.lit(float(total)) / (F.col("with_entity") * F.col("with_term")))
-    rated = joined.where(F.col("with_entity") < total).withColumn("disclosure", mutual / information)
+    mutual = F.ln(F.col("together") * F.lit(float(total)) / (F.col("with_entity") * F.col("with_term")))
+    # Wilson's bound of the share of the term's texts that hold the entity.
+    seen_share = F.col("together") / F.col("with_term")
+    size, squared = F.col("surroundings") / seen_share, QUANTILE**2
+    spread = QUANTILE * F.sqrt(F.greatest(seen_share * (1.0 - seen_share), F.lit(0.0)) / size + squared / (4.0 * size * size))
+    least = (seen_share + squared / (2.0 * size) - spread) / (1.0 + squared / size)
+    bound = F.ln(F.greatest(least, F.lit(1e-300)) * F.lit(float(total)) / F.col("with_entity"))
+    rated = joined.withColumn("disclosure", F.when(F.col("surroundings") >= support, mutual).otherwise(bound) / information)
     return rated.where(F.col("disclosure") >= generalise).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
 
 
@@ -193,8 +209,14 @@ class Replacements:
     def any(self) -> bool:
         return bool(self.removed or self.generalised)
 
+    def hit(self, terms: set[str]) -> bool:
+        return not (self.removed.isdisjoint(terms) and self.generalised.isdisjoint(terms))
+
 
 def _replacement(kind: str, word: str) -> str:
+    # Also where it would be removed: that a text has figures discloses nothing.
+    if DIGITS.search(word):
+        return "[NUMBER]"
     if kind == "removed":
         return ""
     return "[NAME]" if word[:1].isupper() else "[TERM]"
@@ -204,7 +226,7 @@ def sanitise(text: str, found: Replacements) -> tuple[list[tuple[str, int, int]]
     """Spans, base ones first, and the text with every span replaced."""
     base = base_spans(text)
     added = []
-    if found.any():
+    if found.any() and found.hit({w.lower() for w in WORD.findall(text)}):
         for word in _apart(list(WORD.finditer(text)), base):
             term = word[0].lower()
             if term in found.removed or term in found.generalised:
