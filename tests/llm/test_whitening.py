@@ -1,0 +1,116 @@
+from __future__ import annotations
+
+import math
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from vigilog.llm import whitening
+
+
+def brute(rows):
+    """Exact sums and deviations with fractions, components with LAPACK; rows are (id, list or None)."""
+    usable = [(i, [math.floor(64 * float(c)) + 1_000_000 for c in v]) for i, v in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    fitted = sorted({tuple(x) for _, x in usable})
+    n = len(fitted)
+    sums = [sum(column) for column in zip(*fitted, strict=True)]
+    centred = np.array([[float(Fraction(n * a - s, n)) for a, s in zip(x, sums, strict=True)] for x in fitted])
+    covariance = centred.T @ centred / n
+    values, vectors = np.linalg.eigh(covariance)
+    return usable, n, sums, values[::-1], vectors[:, ::-1].T, np.trace(covariance)
+
+
+def check(found, rows):
+    usable, n, sums, values, vectors, trace = brute(rows)
+    count = sum(v > 1e-10 * values[0] for v in values[:16])
+    assert len(found) == len(usable) * count
+    signs = {}
+    expected = {}
+    for i, x in usable:
+        centred = np.array([float(Fraction(n * a - s, n)) for a, s in zip(x, sums, strict=True)])
+        deviation = sum((n * a - s) ** 2 for a, s in zip(x, sums, strict=True))
+        for k in range(count):
+            expected.setdefault((i, k + 1), []).append((deviation, vectors[k] @ centred / math.sqrt(values[k])))
+    for row in sorted(found, key=lambda r: -abs(r.whitened)):
+        options = expected[row.vec_id, row.component]
+        sign = signs.setdefault(row.component, 1 if any(abs(row.whitened - w) < 1e-6 for _, w in options) else -1)
+        assert row.n == n and (row.deviation, True) in [(d, abs(sign * row.whitened - w) < 1e-6) for d, w in options]
+        assert abs(row.explained - values[row.component - 1] / trace) < 1e-9 and row.identity_error < 1e-9
+        assert int(row.deviation_wide) == row.deviation
+
+
+def test_whole_table_against_brute_force(spark, sf_dir):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+    check(whitening.query(spark, sf_dir).collect(), rows)
+
+
+@pytest.mark.parametrize("size,seed", [(1, 0), (2, 1), (5, 2), (40, 3), (130, 4)])
+def test_leading_against_lapack(size, seed):
+    draw = np.random.default_rng(seed)
+    rows = draw.standard_normal((size + 20, size)) * np.exp(draw.standard_normal(size) * 3)
+    matrix = rows.T @ rows
+    values, vectors = whitening.leading(matrix)
+    true = np.linalg.eigvalsh(matrix)[::-1][: len(values)]
+    assert len(values) == min(16, size)
+    assert np.allclose(values, true, rtol=1e-9) and np.allclose(vectors @ vectors.T, np.eye(len(values)), atol=1e-9)
+    assert np.abs(matrix @ vectors.T - vectors.T * values).max() < 1e-9 * values[0]
+
+
+def test_counts_of_any_shift():
+    draw = np.random.default_rng(5)
+    for size in (1, 2, 3, 8, 25):
+        for _ in range(20):
+            half = draw.standard_normal((size, size))
+            matrix = half + half.T
+            if draw.random() < 0.3:
+                np.fill_diagonal(matrix, 0.0)
+            for shift in draw.standard_normal(5) * 3:
+                assert whitening.inertia(matrix, shift) == int((np.linalg.eigvalsh(matrix) > shift).sum())
+
+
+@pytest.mark.parametrize("values", [[3, 3, 3, 1], [5, 5 * (1 + 1e-15), 2, 2, 0, 0], [7] * 20, [4, 4 - 1e-9, 4 - 2e-9, 1], [1, 0, 0], [0, 0]])
+def test_eigenvalues_that_coincide(values):
+    draw = np.random.default_rng(6)
+    basis = np.linalg.qr(draw.standard_normal((len(values), len(values))))[0]
+    matrix = basis @ np.diag(np.array(values, float)) @ basis.T
+    matrix = (matrix + matrix.T) / 2
+    found, vectors = whitening.leading(matrix)
+    true = sorted((v for v in values if v > 0), reverse=True)[:16]
+    assert np.allclose(found, true, atol=1e-12) and (np.diff(found) <= 1e-13).all()
+    assert np.allclose(vectors @ vectors.T, np.eye(len(true)), atol=1e-10)
+    assert np.abs(matrix @ vectors.T - vectors.T * found).max(initial=0) < 1e-8
+
+
+def frame(spark, rows, kind="float"):
+    return spark.createDataFrame([(i, v, "x", "y") for i, v in rows], f"vec_id bigint, embedding array<{kind}>, component string, n string").repartition(3)
+
+
+def test_awkward_rows(spark):
+    draw = np.random.default_rng(7)
+    usable = [(i, draw.standard_normal(6).tolist()) for i in range(50)]
+    usable += [(60, usable[0][1]), (0, usable[0][1]), (None, usable[3][1]), (61, [0.0] * 6), *[(62, usable[1][1])] * 30]
+    odd = [(70, None), (71, [1.0, None] + [0.0] * 4), (72, [float("nan")] * 6), (73, [float("inf")] + [0.0] * 5), (74, [])]
+    vectors = frame(spark, usable + odd, "double")
+    models = whitening.fit(vectors)
+    check(whitening.whiten(vectors, models).collect(), usable)
+    assert models[6].count == 51
+    # Another length is a fit of its own; one distinct vector has no component.
+    more = frame(spark, usable + odd + [(80, [1.0, 2.0]), (81, [2.0, 5.0]), (82, [1.0])], "double")
+    models = whitening.fit(more)
+    assert models.keys() == {6, 2} and len(models[2].values) == 1 and models[6].count == 51
+    short = [r for r in whitening.whiten(more, models).collect() if r.vec_id in (80, 81, 82)]
+    assert sorted(abs(r.whitened) for r in short) == pytest.approx([1.0, 1.0])
+    empty = frame(spark, [])
+    assert whitening.fit(empty) == {} and whitening.whiten(empty, {}).count() == 0
+
+
+def test_numbers_beyond_longs(spark):
+    rows = [(1, [1e30, 1.0]), (2, [-1e30, 2.0]), (3, [0.0, 3.0])]
+    found = whitening.whiten(frame(spark, rows, "double"), whitening.fit(frame(spark, rows, "double"))).collect()
+    assert {r.component for r in found} == {1} and all(r.deviation is None for r in found if r.vec_id != 3)
+    wide = [(1, [1e8, 1.0]), (2, [-1e8, 2.0]), (3, [0.0, 3.0])]
+    row = next(r for r in whitening.whiten(frame(spark, wide, "double"), whitening.fit(frame(spark, wide, "double"))).collect() if r.vec_id == 1)
+    x = [[math.floor(64 * c) + 1_000_000 for c in v] for _, v in wide]
+    exact = sum((3 * x[0][j] - sum(v[j] for v in x)) ** 2 for j in range(2))
+    assert row.deviation is None and int(row.deviation_wide) == exact
