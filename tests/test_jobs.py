@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import pyarrow.parquet as pq
 import pytest
 from compare import assert_same
 from pyspark.sql import functions as F
@@ -10,7 +13,7 @@ from vigilog.operators import detection, gold
 from vigilog.plans import jobs
 from vigilog.plans.fixture import attack_list, auth_log
 from vigilog.plans.oracle import checks
-from vigilog.sources.lake import GOLD_TABLES, Lake, read_silver, register_views, write_table
+from vigilog.sources.lake import GOLD_TABLES, Lake, current_paths, read_gold, read_silver, register_views, write_table
 from vigilog.sources.schemas import AUTH_SILVER
 
 
@@ -25,13 +28,13 @@ def built(spark, sf_dir, tmp_path_factory):
     reports = {f"profile_{k}": v for k, v in jobs.profile(spark, lake).items()}
     reports.update(jobs.silver(spark, lake))
     reports.update(jobs.gold_tables(spark, lake))
-    loose = spark.read.parquet(lake.gold("validation_redteam")).count()
+    loose = read_gold(spark, lake, "validation_redteam").count()
     reports.update(jobs.detect(spark, lake))
     return lake, reports, loose
 
 
 def table(spark, lake, name):
-    return spark.read.parquet(lake.gold(name))
+    return read_gold(spark, lake, name)
 
 
 @pytest.mark.parametrize("name", [*GOLD_TABLES, "comparaison_criteres_detection"])
@@ -115,6 +118,19 @@ def test_comparison_counts_the_flags(spark, built):
     assert list(summed) == [compared[f"detectes_{name}"] for name in detection.CRITERIA]
 
 
+@pytest.mark.parametrize("name", sorted(gold.ORDERS))
+def test_tables_are_written_in_order(spark, built, name):
+    """Files by name, and rows within a file, follow the order of the table."""
+    path = current_paths(spark, built[0])[name].removeprefix("file:")
+    rows = [row for part in sorted(Path(path).glob("part-*.parquet")) for row in pq.read_table(part).to_pylist()]
+
+    def key(row):
+        values = [(-row[c[1:]] if c[0] == "-" else row[c]) for c in gold.ORDERS[name]]
+        return [(v is not None, v.encode() if isinstance(v, str) else v) for v in values]
+
+    assert len(rows) > 20 and rows == sorted(rows, key=key)
+
+
 def test_views_for_sql_users(spark, built):
     lake = built[0]
     names = register_views(spark, lake)

@@ -70,13 +70,31 @@ def test_large_list_is_not_broadcast(spark, zones):
     try:
         matched = detection.validation_strict(detection.measured(zones[1], limit=0), zones[0])
         assert matched.collect()
-        text = plan(matched, "simple")
+        text = plan(matched, "simple").split("== Initial Plan ==")[0]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastExchange" not in text and "BroadcastHashJoin" not in text
+    # Only the bitmap of its keys is sent out.
+    assert text.count("BroadcastExchange") == 1 and text.count("BroadcastHashJoin") == 1
     assert "SortMergeJoin" in text
 
 
+def test_bitmap_stands_before_the_shuffle_of_the_log(zones):
+    matched = detection.validation_strict(detection.measured(zones[1], limit=0), zones[0])
+    lines = plan(matched, "simple").splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "heure_du_jour" in line)
+    above = [re.search(r"[A-Z][A-Za-z]+", line).group() for line in lines[:scan] if re.search(r"[A-Z]", line)][::-1]
+    assert above.index("BroadcastHashJoin") < above.index("HashAggregate") < above.index("Exchange")
+
+
+def test_days_outside_a_large_list_are_not_read(zones):
+    silver, attacks = zones
+    few_days = attacks.where("temps_secondes BETWEEN 86400 AND 259199")
+    matched = detection.validation_strict(detection.measured(few_days, limit=0), silver)
+    filters = max(re.findall(r"PartitionFilters: \[(.*?)(?:\]|\.\.\.)", plan(matched, "simple")), key=len)
+    assert "jour_part" in filters and ">= 1)" in filters and "<= 2)" in filters
+    assert matched.count() == detection.validation_strict(detection.measured(few_days), silver).count() > 0
+
+
 def test_days_without_attacks_are_not_read(zones):
     silver, attacks = zones
     one_day = attacks.where("temps_secondes BETWEEN 86400 AND 172799")

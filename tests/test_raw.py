@@ -63,6 +63,55 @@ def test_landing_refuses_a_malformed_attack(spark, tmp_path, bad):
         jobs.land(spark, Lake(str(tmp_path / "lake")), path, attacks)
 
 
+def test_malformed_lines_are_put_aside(spark, tmp_path):
+    bad = [
+        "zz,a@D,b@D,C1,C2,NTLM,Batch,LogOn,Success",
+        "2,a@D,b@D,C1,C2,NTLM,Batch,LogOn",
+        "2,a@D,b@D,C1,C2,NTLM,Batch,LogOn,Success,extra",
+        "nothing",
+    ]
+    path = gz(tmp_path / "auth.txt.gz", [*AUTH_LINES, *bad, "9,,b@D,C1,C2,NTLM,Batch,LogOn,"])
+    attacks = gz(tmp_path / "redteam.txt.gz", REDTEAM_LINES)
+    lake = Lake(str(tmp_path / "lake"))
+    jobs.land(spark, lake, path, attacks, keep_rejects=True)
+    landed = read_landed(spark, lake.landed())
+    assert landed.schema == AUTH_RAW
+    assert sorted(",".join("" if v is None else str(v) for v in row) for row in landed.collect()) == sorted([*AUTH_LINES, "9,,b@D,C1,C2,NTLM,Batch,LogOn,"])
+    rejects = {r[raw.CORRUPT]: (r.raison, r.objet) for r in spark.read.parquet(lake.rejects()).collect()}
+    assert rejects.keys() == set(bad) and landed.count() + len(rejects) == len(AUTH_LINES) + len(bad) + 1
+    assert rejects[bad[0]][0] == "type d'un champ" and {rejects[b][0] for b in bad[1:]} == {"nombre de champs"}
+    assert {o for _, o in rejects.values()} == {raw.manifest(spark, path).first().objet}
+    jobs.silver(spark, lake)
+    assert read_silver(spark, lake.silver()).count() == 4
+    # An update adds to the rejects; without the option it stops, and nothing is landed.
+    more = gz(tmp_path / "more.txt.gz", ["90000,a@D,b@D,C1,C2,NTLM,Batch,LogOn,Success", "broken"])
+    jobs.gold_tables(spark, lake)
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        jobs.update(spark, lake, more)
+    assert read_landed(spark, lake.landed()).count() == 4
+    jobs.update(spark, lake, more, keep_rejects=True)
+    assert read_landed(spark, lake.landed()).count() == 5 and spark.read.parquet(lake.rejects()).count() == 5
+
+
+def test_a_log_without_malformed_lines_has_no_rejects(spark, tmp_path):
+    path, attacks = gz(tmp_path / "auth.txt.gz", AUTH_LINES), gz(tmp_path / "redteam.txt.gz", REDTEAM_LINES)
+    lake = Lake(str(tmp_path / "lake"))
+    jobs.land(spark, lake, path, attacks, keep_rejects=True)
+    assert read_landed(spark, lake.landed()).count() == 3 and spark.read.parquet(lake.rejects()).count() == 0
+
+
+def test_lineage_of_landed_lines(spark, tmp_path):
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    for name, lines in (("a.gz", AUTH_LINES[:2]), ("b c+d%20.gz", AUTH_LINES[2:]), ("none.gz", [])):
+        gz(logs / name, lines)
+    lake = Lake(str(tmp_path / "lake"))
+    jobs.land(spark, lake, str(logs), gz(tmp_path / "redteam.txt.gz", REDTEAM_LINES))
+    known = {r.path.rsplit("/", 1)[1]: tuple(r)[4:] for r in spark.read.parquet(lake.manifest()).collect()}
+    assert known == {"a.gz": (2, 3, 3), "b c+d%20.gz": (1, 8, 8), "none.gz": (0, None, None)}
+    assert raw.not_landed(raw.manifest(spark, str(logs)), spark.read.parquet(lake.manifest())).isEmpty()
+
+
 def test_empty_field_and_backslash(spark, tmp_path):
     path = gz(tmp_path / "auth.txt.gz", [r'5,a\"b,b@D,C1,?,NTLM,,LogOn,'])
     row = raw.read_auth(spark, path).first()

@@ -31,7 +31,11 @@ def to_silver(raw: DataFrame, *carried: str) -> DataFrame:
 
 
 def to_silver_distinct(raw: DataFrame) -> DataFrame:
-    """Variant without exact duplicates. It shuffles the whole log; not the default."""
+    """Variant without exact duplicates; not the default.
+
+    It shuffles the whole log, but for a log in buckets of ``temps_secondes``: equal lines are of
+    one second, so each bucket is made distinct where it is read.
+    """
     return to_silver(raw).distinct()
 
 

@@ -2,9 +2,10 @@
 
 An attack list is normally tiny, and then it is broadcast and the log is never
 shuffled. Its size is measured first. A list that does not fit takes another way with
-the same rows: both sides are counted per key, so that no key has more than one row on
-either side of the join, and rows are repeated afterwards only where they are wanted.
-Results that are only counted never repeat them.
+the same rows: a bitmap of its hashed keys is sent out instead, and rows of the log or of a
+table that cannot be listed are dropped at the scan; both sides are counted per key, so that no
+key has more than one row on either side of the join, and rows are repeated afterwards only
+where they are wanted. Results that are only counted never repeat them.
 """
 
 from __future__ import annotations
@@ -22,10 +23,12 @@ from vigilog.operators.joins import (
     repeat_rows,
     spread_lookup,
 )
+from vigilog.operators.keyfilter import key_map, maybe_listed
 from vigilog.sources.lake import DAY_PARTITION
 
 PAIR = ["user_domain", "destination_computer"]
 MOMENT = ["temps_secondes", *PAIR]
+USER = ["user_domain"]
 THRESHOLD_LEVEL = 0.95
 THRESHOLD_DECIMALS = 6
 CRITERIA = {
@@ -38,16 +41,34 @@ ANY_CRITERION = "au_moins_un"
 
 
 class AttackList(NamedTuple):
-    """Known attacks, and whether they were measured small enough to broadcast."""
+    """Known attacks, and whether they were measured small enough to broadcast.
+
+    For a large list also about how many different keys it has, and its first and last second.
+    """
 
     rows: DataFrame
     small: bool
+    distinct: dict[str, int] = {}
+    span: tuple[int, int] | None = None
 
 
 def measured(attacks: DataFrame, limit: int = BROADCAST_LIMIT) -> AttackList:
-    """One pass over the list; a limit of 0 always takes the way of large lists."""
+    """One pass over the list, two over a large one; a limit of 0 always takes the way of large lists."""
     rows = attacks.select(*MOMENT)
-    return AttackList(rows, fits_in_broadcast(rows, limit))
+    if fits_in_broadcast(rows, limit):
+        return AttackList(rows, True)
+    counts = {_key_name(keys): F.approx_count_distinct(F.struct(*keys)) for keys in (MOMENT, PAIR, USER)}
+    first, last, *found = rows.agg(F.min("temps_secondes"), F.max("temps_secondes"), *counts.values()).first()
+    return AttackList(rows, False, dict(zip(counts, found, strict=True)), None if first is None else (first, last))
+
+
+def _key_name(keys: list[str]) -> str:
+    return ",".join(keys)
+
+
+def _maybe_attacked(attacks: AttackList, table: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a log or table whose key a large list may hold, by the bitmap of its keys."""
+    return maybe_listed(table, key_map(attacks.rows, keys, attacks.distinct[_key_name(keys)]))
 
 
 def _by_attack_name(df: DataFrame) -> DataFrame:
@@ -62,7 +83,8 @@ def _rows_per(df: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 
 def _off_hours_rows(attacks: AttackList, off_hours: DataFrame) -> DataFrame:
-    """Off-hours rows per (user, machine), only for the pairs of the attack list if small.
+    """Off-hours rows per (user, machine), only for the pairs of the attack list (if large,
+    for those and few others).
 
     Catalyst pushes the broadcast semi-join below the aggregation that made `off_hours`
     when that is still a plan and not a written table.
@@ -70,6 +92,8 @@ def _off_hours_rows(attacks: AttackList, off_hours: DataFrame) -> DataFrame:
     rows = _by_attack_name(off_hours).select(*PAIR)
     if attacks.small:
         rows = rows.join(F.broadcast(attacks.rows.select(*PAIR)), PAIR, "leftsemi")
+    else:
+        rows = _maybe_attacked(attacks, rows, PAIR)
     return _rows_per(rows, PAIR, "nb_anomalies")
 
 
@@ -157,8 +181,19 @@ def matches(attacks: AttackList, silver: DataFrame) -> DataFrame:
     return _match_counts(attacks, silver)
 
 
+def _within_span(attacks: AttackList, log: DataFrame) -> DataFrame:
+    """Seconds, and days of the layout, between the list's first and last; pruned at the scan."""
+    if attacks.span is None:
+        return log.limit(0)
+    first, last = attacks.span
+    near = log.where(F.col("temps_secondes").between(first, last))
+    if DAY_PARTITION in log.columns:
+        near = near.where(F.col(DAY_PARTITION).between(first // c.SECONDS_PER_DAY, last // c.SECONDS_PER_DAY))
+    return near
+
+
 def _match_counts(attacks: AttackList, silver: DataFrame) -> DataFrame:
-    log = _log_side(silver)
+    log = _maybe_attacked(attacks, _within_span(attacks, _log_side(silver)), MOMENT)
     listed = _attack_side(attacks, log)
     keys = listed.columns
     in_list = _rows_per(listed, keys, "nb_liste")
@@ -218,9 +253,10 @@ def thresholds(failure_rates: DataFrame, machines: DataFrame) -> DataFrame:
 
 def _of_list(attacks: AttackList, table: DataFrame, keys: list[str]) -> DataFrame:
     """A table's rows for the keys of the attack list where that is small enough to send
-    out; the rest is then small enough to be sent to the rows it is joined to."""
+    out; the rest is then small enough to be sent to the rows it is joined to. Of a large list
+    the bitmap of its keys leaves those rows and few others."""
     if not attacks.small:
-        return table
+        return _maybe_attacked(attacks, table, keys)
     return F.broadcast(table.join(F.broadcast(attacks.rows.select(*keys).distinct()), keys, "leftsemi"))
 
 
@@ -233,10 +269,9 @@ def _known_of_pairs(
     so an account with a third of all events weighs no more than its machines.
     """
     rare = _of_list(attacks, _by_attack_name(pairs).withColumnRenamed("nb_occurrences", "occurrences_paire"), PAIR)
-    user = ["user_domain"]
-    rates = _of_list(attacks, _by_attack_name(failure_rates).select("user_domain", "taux_echec_pct"), user)
-    diversity = _of_list(attacks, _by_attack_name(machines).select("user_domain", "nb_machines_distinctes"), user)
-    known = rows.join(rare, PAIR, "left").join(rates, user, "left").join(diversity, user, "left")
+    rates = _of_list(attacks, _by_attack_name(failure_rates).select("user_domain", "taux_echec_pct"), USER)
+    diversity = _of_list(attacks, _by_attack_name(machines).select("user_domain", "nb_machines_distinctes"), USER)
+    known = rows.join(rare, PAIR, "left").join(rates, USER, "left").join(diversity, USER, "left")
     # Each flag may be NULL, which is not a detection.
     return known.withColumns(
         {

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vigilog.operators import cleaning, detection, gold, profiling, serving
 from vigilog.operators.detection import AttackList
 from vigilog.plans import jobs
 from vigilog.plans.fixture import attack_list, auth_log
-from vigilog.sources import lake, raw
+from vigilog.sources import buckets, lake, raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -149,20 +151,94 @@ def lake_validation_redteam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The strict validation that the detect job writes in place of the loose one."""
     made = _lake(spark, sf_dir)
     jobs.detect(spark, made)
-    return spark.read.parquet(made.gold("validation_redteam"))
+    return lake.read_gold(spark, made, "validation_redteam")
 
 
 def lake_comparaison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The comparison of criteria that the detect job writes."""
     made = _lake(spark, sf_dir)
     jobs.detect(spark, made)
-    return spark.read.parquet(made.gold("comparaison_criteres_detection"))
+    return lake.read_gold(spark, made, "comparaison_criteres_detection")
 
 
-def detection_flags_large_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flags, taking the way of an attack list too large to send out."""
-    attacks = detection.measured(attack_list(spark, sf_dir), limit=0)
-    return _flags(attacks, cleaning.to_silver(auth_log(spark, sf_dir)))
+# -- tables in buckets of a key ---------------------------------------------------------
+
+
+def user_profiles_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is known of each user, joined without a shuffle over pairs in buckets of users."""
+    pairs = gold.pair_activity(cleaning.to_silver(auth_log(spark, sf_dir)))
+    return gold.user_profiles(buckets.write_bucketed(pairs, lake.scratch_path(spark, "paires"), [gold.USER]))
+
+
+def silver_distinct_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log without duplicates, from a copy in buckets of its seconds."""
+    log = buckets.write_bucketed(auth_log(spark, sf_dir), lake.scratch_path(spark, "secondes"), ["temps_secondes"])
+    return cleaning.to_silver_distinct(log)
+
+
+# -- what was landed of each raw object ---------------------------------------------------
+
+
+def bronze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and first and last second of each raw file, one file a day, from the landed lines."""
+    path = lake.scratch_path(spark, "auth")
+    log = auth_log(spark, sf_dir).withColumn("day", F.floor(F.col("temps_secondes") / 86400))
+    log.repartition("day").write.partitionBy("day").option("compression", "gzip").option("escape", '"').csv(path)
+    landed = lake.scratch_path(spark, "landed")
+    objects = raw.manifest(spark, path)
+    lake.write_by_day(raw.read_auth(spark, [row[0] for row in objects.select("path").collect()], lineage=True), landed)
+    found = raw.manifest_of(objects, spark.read.parquet(landed))
+    return found.select(F.regexp_extract("path", "/(day=[^/]*)/", 1).alias("objet"), "nb_lignes", "premiere_seconde", "derniere_seconde")
+
+
+# -- a lake that gets its last days later ----------------------------------------------
+
+
+def _long_form(spark: SparkSession, made: lake.Lake) -> DataFrame:
+    """The seven aggregates as one table: name, key, and the counts."""
+    second = F.round(F.col("heure_du_jour") * 3600).cast("bigint").cast("string")
+    # Which columns of a table are its key and its counts.
+    columns = {
+        "connexions_par_utilisateur_heure": (["source_user_domain", "heure"], ["nb_connexions", "nb_echecs"]),
+        "activite_par_machine": (["destination_computer", "categorie_destination"], ["nb_evenements", "nb_utilisateurs_distincts"]),
+        "anomalies_horaires": (["source_user_domain", "destination_computer", second], ["nb_connexions_horaire_inhabituel"]),
+        "taux_echec_par_utilisateur": (["source_user_domain"], ["total_tentatives", "nb_echecs"]),
+        "machines_distinctes_par_utilisateur": (["source_user_domain"], ["nb_machines_distinctes", "nb_connexions_totales"]),
+        "volume_par_jour": (["jour"], ["nb_connexions", "nb_echecs"]),
+        "paires_rares_utilisateur_machine": (["source_user_domain", "destination_computer"], ["nb_occurrences"]),
+    }
+    rows = []
+    for name, (keys, counts) in columns.items():
+        key = F.concat_ws("|", *[F.coalesce(F.col(k) if isinstance(k, str) else k, F.lit("")).cast("string") for k in keys])
+        first, second_count = F.col(counts[0]), F.col(counts[1]) if len(counts) > 1 else F.lit(0)
+        rows.append(lake.read_gold(spark, made, name).select(F.lit(name).alias("nom"), key.alias("cle"), first.cast("bigint").alias("n1"), second_count.cast("bigint").alias("n2")))
+    return reduce(DataFrame.unionByName, rows)
+
+
+def lake_updated_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All aggregates of a lake that got the second half of its days, and a corrected one,
+    after its Gold tables were first built."""
+    log = auth_log(spark, sf_dir)
+    middle = log.agg(F.floor((F.min("temps_secondes") + F.max("temps_secondes")) / 2 / 86400).cast("int")).first()[0] or 0
+    day = F.floor(F.col("temps_secondes") / 86400)
+    made = lake.Lake(lake.scratch_path(spark, "lake"))
+    # Of the middle day the first delivery has only the even seconds.
+    first = log.where((day < middle) | ((day == middle) & (F.col("temps_secondes") % 2 == 0)))
+    jobs.land(spark, made, _csv_folder(first, "auth"), _csv_folder(attack_list(spark, sf_dir), "redteam"))
+    jobs.silver(spark, made)
+    jobs.gold_tables(spark, made)
+    jobs.update(spark, made, _csv_folder(log.where(day >= middle), "auth"))
+    return _long_form(spark, made)
+
+
+def _of_large_list(make: Callable[[AttackList, DataFrame], DataFrame]) -> Query:
+    """A query over the attacks, taking the way of a list too large to send out."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        attacks = detection.measured(attack_list(spark, sf_dir), limit=0)
+        return make(attacks, cleaning.to_silver(auth_log(spark, sf_dir)))
+
+    return query
 
 
 def all_queries() -> dict[str, Query]:
@@ -201,10 +277,18 @@ def all_queries() -> dict[str, Query]:
     found["detection_flags"] = _on_attacks(_flags)
     found["comparaison_criteres_detection"] = _on_attacks(_comparison)
     found["gold_row_counts"] = _on_attacks(_gold_counts)
-    found["detection_flags_large_list"] = detection_flags_large_list
+    found["detection_flags_large_list"] = _of_large_list(_flags)
+    found["validation_redteam_large_list"] = _of_large_list(detection.validation_strict)
+    found["validation_redteam_loose_large_list"] = _of_large_list(_loose)
+    found["comparaison_criteres_large_list"] = _of_large_list(_comparison)
     found["lake_gold_row_counts"] = lake_gold_row_counts
     found["lake_validation_redteam"] = lake_validation_redteam
     found["lake_comparaison"] = lake_comparaison
+    found["lake_updated_gold"] = lake_updated_gold
+    found["user_profiles_colocated"] = user_profiles_colocated
+    found["silver_auth_distinct_colocated"] = silver_distinct_colocated
+    found["bronze_manifest"] = bronze_manifest
+    found["diag_one_pass"] = _on_raw(profiling.one_pass)
     for name, table, serve in (
         ("top_machines", "activite_par_machine", serving.top_machines),
         ("evolution_temporelle", "volume_par_jour", serving.volume_over_time),

@@ -296,9 +296,60 @@ def checks() -> dict[str, str]:
     found["anomalies_horaires_classees"] = found["anomalies_horaires"]
     found["diversite_machines"] = found["machines_distinctes_par_utilisateur"]
     found["detection_flags_large_list"] = found["detection_flags"]
+    found["validation_redteam_large_list"] = found["validation_redteam"]
+    found["validation_redteam_loose_large_list"] = found["validation_redteam_loose"]
+    found["comparaison_criteres_large_list"] = found["comparaison_criteres_detection"]
     found["lake_gold_row_counts"] = found["gold_row_counts"]
     found["lake_validation_redteam"] = found["validation_redteam"]
     found["lake_comparaison"] = found["comparaison_criteres_detection"]
+    found["silver_auth_distinct_colocated"] = found["silver_auth_distinct"]
+    found["user_profiles_colocated"] = _check(
+        """SELECT e.*, coalesce(nb_machines_distinctes, 0) AS nb_machines_distinctes, CAST(coalesce(nb_connexions_totales, 0) AS BIGINT) AS nb_connexions_totales,
+             coalesce(n, 0) AS nb_paires_rares
+           FROM echecs e LEFT JOIN diversite USING (source_user_domain)
+           LEFT JOIN (SELECT source_user_domain, count(*) AS n FROM uniques GROUP BY ALL) USING (source_user_domain)""",
+        "echecs",
+        "diversite",
+        "uniques",
+    )
+    found["bronze_manifest"] = _check(
+        """SELECT 'day=' || (temps_secondes // 86400) AS objet, count(*) AS nb_lignes, min(temps_secondes) AS premiere_seconde, max(temps_secondes) AS derniere_seconde
+           FROM auth_brut GROUP BY ALL""",
+        "auth_brut",
+    )
+    measures = {f"freq_{c}": (c, "TRUE") for c in ("authentication_type", "logon_type", "authentication_orientation", "success_failure")}
+    for side in ("source", "destination"):
+        measures[f"malformed_{side}_user_domain"] = (f"{side}_user_domain", f"NOT contains({side}_user_domain, '@')")
+        measures[f"malformed_{side}_computer"] = (f"{side}_computer", rf"NOT regexp_full_match({side}_computer, 'C[0-9]+\$?')")
+    found["diag_one_pass"] = _check(
+        " UNION ALL ".join(
+            f"""SELECT '{name}' AS mesure, {column} AS valeur, count(*) AS nb, min(temps_secondes) AS min_temps, max(temps_secondes) AS max_temps,
+                  count(*) FILTER (WHERE temps_secondes < 0) AS nb_negatifs FROM auth_brut WHERE {where} GROUP BY {column}"""
+            for name, (column, where) in measures.items()
+        ),
+        "auth_brut",
+    )
+    # Key and counts of each table in the long form.
+    long_form = {
+        "connexions_par_utilisateur_heure": ("source_user_domain || '|' || heure", "nb_connexions", "nb_echecs"),
+        "activite_par_machine": ("destination_computer || '|' || categorie_destination", "nb_evenements", "nb_utilisateurs_distincts"),
+        "anomalies_horaires": (
+            "source_user_domain || '|' || coalesce(destination_computer, '') || '|' || CAST(round(heure_du_jour * 3600) AS BIGINT)",
+            "nb_connexions_horaire_inhabituel",
+            "0",
+        ),
+        "taux_echec_par_utilisateur": ("source_user_domain", "total_tentatives", "nb_echecs"),
+        "machines_distinctes_par_utilisateur": ("source_user_domain", "nb_machines_distinctes", "nb_connexions_totales"),
+        "volume_par_jour": ("CAST(jour AS VARCHAR)", "nb_connexions", "nb_echecs"),
+        "paires_rares_utilisateur_machine": ("source_user_domain || '|' || destination_computer", "nb_occurrences", "0"),
+    }
+    found["lake_updated_gold"] = _check(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS nom, {key} AS cle, CAST({first} AS BIGINT) AS n1, CAST({second} AS BIGINT) AS n2 FROM {_GOLD[name]}"
+            for name, (key, first, second) in long_form.items()
+        ),
+        *_GOLD.values(),
+    )
     ordered = ", ".join(f"{c} NULLS FIRST" for c in AUTH_RAW.names)
     line = " || ',' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in AUTH_RAW.names)
     found["bronze_preview"] = _check(f"SELECT {line} AS value FROM auth_brut ORDER BY {ordered} LIMIT 10", "auth_brut")

@@ -38,7 +38,12 @@ COMPARISON_TABLE = "comparaison_criteres_detection"
 
 
 class Lake:
-    """Paths of one lake, below any base URI Spark can write (file:, s3a:, hdfs:)."""
+    """Paths of one lake, below any base URI Spark can write (file:, s3a:, hdfs:).
+
+    Gold tables are published in versions; `read_gold` finds the current one.
+    """
+
+    VERSIONS = "gold/versions"
 
     def __init__(self, base: str):
         self.base = base.rstrip("/")
@@ -56,8 +61,28 @@ class Lake:
         """Intermediate table of the Gold job: one row per (user, destination, category)."""
         return f"{self.base}/travail/paires.parquet"
 
-    def gold(self, table: str) -> str:
-        return f"{self.base}/gold/{table}.parquet"
+    def state(self, name: str) -> str:
+        """Partial aggregates of the Gold tables, kept by day."""
+        return f"{self.base}/travail/etats/{name}.parquet"
+
+    def manifest(self) -> str:
+        """The raw objects landed so far."""
+        return f"{self.base}/travail/manifeste.parquet"
+
+    def reading(self) -> str:
+        """Lines of a tolerant read, before they are parted."""
+        return f"{self.base}/travail/lecture.parquet"
+
+    def rejects(self) -> str:
+        return f"{self.base}/bronze_parquet/rejets.parquet"
+
+    def delivery(self) -> str:
+        """The lines of the latest delivery of new days."""
+        return f"{self.base}/travail/livraison.parquet"
+
+    def pointers(self) -> str:
+        """Which version of each Gold table is the current one."""
+        return f"{self.base}/gold/pointeurs.parquet"
 
     def report(self, name: str) -> str:
         return f"{self.base}/rapports/{name}.parquet"
@@ -118,20 +143,22 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def write_by_day(df: DataFrame, path: str, file_rows: int = FILE_ROWS) -> None:
+def write_by_day(df: DataFrame, path: str, file_rows: int = FILE_ROWS, replace_days: bool = False) -> None:
     """Lay a table out by true day, so that joins on a second read only its day.
 
     Rows not yet dated are gathered by day and by runs of ``file_rows`` rows in the order
     they were read, so a day is cut in pieces however few files it came from: one gzip
     file is read by a single task, whose output for one key AQE could not cut. Rows read
     from such a layout carry their day and are written as they come, without
-    another shuffle. No file holds more than ``file_rows`` rows.
+    another shuffle. No file holds more than ``file_rows`` rows. With ``replace_days`` only the
+    days that ``df`` holds are replaced, and the others are left as they are.
     """
     if DAY_PARTITION not in df.columns:
         run = F.floor(F.monotonically_increasing_id() / F.lit(file_rows))
         dated = df.withColumn(DAY_PARTITION, calendar_day(F.col("temps_secondes"))).withColumn("_run", run)
         df = dated.hint("rebalance", F.col(DAY_PARTITION), F.col("_run")).drop("_run")
     writer = df.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", file_rows)
+    writer = writer.option("partitionOverwriteMode", "dynamic" if replace_days else "static")
     writer.partitionBy(DAY_PARTITION).parquet(path)
 
 
@@ -153,13 +180,39 @@ def read_silver(spark: SparkSession, path: str, with_day: bool = False) -> DataF
     return _read_by_day(spark, path, AUTH_SILVER, with_day)
 
 
+POINTER = "numero bigint, table string, chemin string"
+
+
+def pointers(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    """Every version of every published table; None before the first one."""
+    return _read_if_written(spark, lake.pointers(), POINTER)
+
+
+def current_paths(spark: SparkSession, lake: Lake) -> dict[str, str]:
+    """Where the current version of each published table lies."""
+    known = pointers(spark, lake)
+    if known is None:
+        return {}
+    latest = known.groupBy("table").agg(F.max(F.struct("numero", "chemin")).alias("latest"))
+    return {name: f"{lake.base}/{path}" for name, path in latest.select("table", "latest.chemin").collect()}
+
+
+def read_gold(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
+    """The current version of a published table."""
+    path = current_paths(spark, lake).get(table)
+    if path is None:
+        raise LookupError(f"{table} has not been published in {lake.base}")
+    return spark.read.parquet(path)
+
+
 def register_views(spark: SparkSession, lake: Lake) -> list[str]:
     """Temp views for SQL users: raw copies, cleaned table and every Gold table.
 
     Tables not written yet are skipped. Returns the names registered.
     """
+    published = current_paths(spark, lake)
     paths = {LANDED_TABLE: lake.landed(), ATTACK_TABLE: lake.attacks(), SILVER_TABLE: lake.silver()}
-    paths.update({name: lake.gold(name) for name in (*GOLD_TABLES, COMPARISON_TABLE)})
+    paths.update({name: published[name] for name in (*GOLD_TABLES, COMPARISON_TABLE) if name in published})
     views = {name: _read_if_written(spark, path) for name, path in paths.items()}
     for name, schema in ((LANDED_TABLE, AUTH_RAW), (SILVER_TABLE, AUTH_SILVER)):
         if views[name] is not None:
@@ -172,9 +225,10 @@ def register_views(spark: SparkSession, lake: Lake) -> list[str]:
     return sorted(registered)
 
 
-def _read_if_written(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_if_written(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
