@@ -210,21 +210,21 @@ def _scale_to(share: float, weights: dict[tuple, float], counts: dict[tuple, int
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source", "lang")
-    # The form that the SQL below states; these texts are not sanitised.
+    # These texts are not sanitised, so their topics need no marks of that.
     axes = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic(sanitised=False)}
-    return mix(docs, axes=axes, share=None).select("doc_id", "n_tokens", "mix_weight", "mix_probability", "sampled")
+    return mix(docs, axes=axes).select("doc_id", "n_tokens", "mix_weight", "mix_probability", "sampled")
 
 
-def oracle(rounds: int = ROUNDS) -> str:
-    """The same raking in SQL. The targets are those of TARGETS."""
+def oracle(share: float = SHARE, rounds: int = ROUNDS, bounded_rounds: int = BOUNDED_ROUNDS) -> str:
+    """The same raking in SQL, without and with the bound. The targets are those of TARGETS."""
 
     def value(column: str, shares: dict[str, float]) -> str:
         names = ", ".join(f"'{k}'" for k in shares if k != OTHER)
         return f"CASE WHEN {column} IN ({names}) THEN {column} ELSE '{OTHER}' END"
 
-    goals = {a: ", ".join(f"('{k}', CAST({v!r} AS DOUBLE))" for k, v in TARGETS[a].items()) for a in AXES}
+    listed_shares = {a: ", ".join(f"('{k}', CAST({v!r} AS DOUBLE))" for k, v in TARGETS[a].items()) for a in AXES}
     shares = ", ".join(
-        f"{a}_goal AS (SELECT v AS {a}, share / sum(share) OVER () AS {a}_share FROM (VALUES {goals[a]}) AS t(v, share) "
+        f"{a}_goal AS (SELECT v AS {a}, share / sum(share) OVER () AS {a}_share FROM (VALUES {listed_shares[a]}) AS t(v, share) "
         f"WHERE v IN (SELECT {a} FROM cells WHERE n > 0))"
         for a in AXES
     )
@@ -232,6 +232,28 @@ def oracle(rounds: int = ROUNDS) -> str:
     inner = "SELECT round, source, lang, topic, w, source_share, lang_share, topic_share FROM raked"
     for a in AXES:
         inner = f"SELECT round, source, lang, topic, {fit} * {a}_share / sum({fit}) OVER (PARTITION BY {a}) AS w, source_share, lang_share, topic_share FROM ({inner})"
+    # Tokens to take of each value: all, or its share times a scale at which all values together make up the whole.
+    wanted = ", ".join(
+        f"""{a}_tokens AS (
+  SELECT {a}, t, coalesce(share, 0) * (SELECT sum(n) FROM cells) AS s FROM (SELECT {a}, CAST(sum(n) AS DOUBLE) AS t FROM cells WHERE n > 0 GROUP BY {a})
+  LEFT JOIN (VALUES {listed_shares[a]}) AS v(name, share) ON name = {a}),
+{a}_ranked AS (
+  SELECT *, ({share!r}::DOUBLE * (SELECT sum(n) FROM cells) - sum(t) OVER up + t) / sum(s) OVER down AS scale FROM (SELECT *, t / s AS full_at FROM {a}_tokens WHERE s > 0)
+  WINDOW up AS (ORDER BY full_at, {a} ROWS UNBOUNDED PRECEDING), down AS (ORDER BY full_at DESC, {a} DESC ROWS UNBOUNDED PRECEDING)),
+{a}_wanted AS (
+  SELECT {a}, t * least(1.0, s / t * coalesce((SELECT arg_min(scale, full_at) FROM {a}_ranked WHERE scale <= full_at), 1e12)) AS {a}_wanted FROM {a}_tokens)"""
+        for a in AXES
+    )
+    cell = "source, lang, topic"
+    bounded = f"SELECT round, delta, {cell}, n, f, f AS former, source_wanted, lang_wanted, topic_wanted FROM bounded WHERE delta > 1e-12 AND round < {bounded_rounds}"
+    kept = f"round, delta, {cell}, n, f, former, source_wanted, lang_wanted, topic_wanted"
+    for a in AXES:
+        # As many cells as possible from the smallest factor on share what is left when the others are at 1.
+        bounded = f"""SELECT round, delta, {cell}, n, least(greatest(f * raised, 1e-150), 1e150) AS f, former, source_wanted, lang_wanted, topic_wanted FROM (
+      SELECT {kept}, CASE WHEN {a}_wanted <= 0 THEN 0 ELSE coalesce(arg_max(part, place) FILTER (WHERE part > 0 AND part * f <= 1) OVER (PARTITION BY {a}), 1 / min(f) OVER (PARTITION BY {a})) END AS raised
+      FROM (SELECT {kept}, row_number() OVER own AS place,
+          ({a}_wanted - sum(n) OVER (PARTITION BY {a}) + sum(n) OVER own) / sum(n * f) OVER own AS part
+        FROM ({bounded}) WINDOW own AS (PARTITION BY {a} ORDER BY f, {cell} ROWS UNBOUNDED PRECEDING)))"""
     return f"""
 WITH RECURSIVE marked AS (
   SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+')) AS n_tokens,
@@ -240,16 +262,23 @@ WITH RECURSIVE marked AS (
       WHEN regexp_matches(text, '[0-9]') THEN 'figures' WHEN coalesce(length(text), 0) < 1000 THEN 'note' ELSE 'prose' END AS topic,
     CAST('0x' || left(md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '\\N')), 12) AS BIGINT) / CAST({1 << 48} AS DOUBLE) AS draw
   FROM documents),
-cells AS (SELECT source, lang, topic, sum(n_tokens) AS n FROM marked GROUP BY ALL),
+cells AS (SELECT {cell}, sum(n_tokens) AS n FROM marked GROUP BY ALL),
 {shares},
 raked AS (
-  SELECT 0 AS round, source, lang, topic, n / sum(n) OVER () AS w, source_share, lang_share, topic_share
+  SELECT 0 AS round, {cell}, n / sum(n) OVER () AS w, source_share, lang_share, topic_share
   FROM cells JOIN source_goal USING (source) JOIN lang_goal USING (lang) JOIN topic_goal USING (topic) WHERE n > 0
   UNION ALL
-  SELECT round + 1, source, lang, topic, w, source_share, lang_share, topic_share FROM ({inner}) WHERE round < {rounds}),
+  SELECT round + 1, {cell}, w, source_share, lang_share, topic_share FROM ({inner}) WHERE round < {rounds}),
 weights AS (
-  SELECT source, lang, topic, w * (SELECT sum(n) FROM cells) / n AS weight FROM raked JOIN cells USING (source, lang, topic) WHERE round = {rounds}),
-rated AS (SELECT *, weight / max(weight) OVER () AS p FROM weights)
+  SELECT {cell}, w * (SELECT sum(n) FROM cells) / n AS weight FROM raked JOIN cells USING ({cell}) WHERE round = {rounds}),
+{wanted},
+bounded AS (
+  SELECT 0 AS round, CAST(1 AS DOUBLE) AS delta, {cell}, CAST(n AS DOUBLE) AS n, CAST(1 AS DOUBLE) AS f, source_wanted, lang_wanted, topic_wanted
+  FROM cells JOIN source_wanted USING (source) JOIN lang_wanted USING (lang) JOIN topic_wanted USING (topic) WHERE n > 0
+  UNION ALL
+  SELECT round + 1, CASE WHEN round = 0 THEN 1 ELSE max(abs(least(1, f) - least(1, former))) OVER () END, {cell}, n, f, source_wanted, lang_wanted, topic_wanted FROM ({bounded})),
+taken AS (SELECT {cell}, least(1, f) AS p FROM bounded WHERE round = (SELECT max(round) FROM bounded)),
+rated AS (SELECT {cell}, weight, p FROM weights FULL JOIN taken USING ({cell}))
 SELECT doc_id, CAST(n_tokens AS BIGINT) AS n_tokens, round(coalesce(weight, 0), {DIGITS}) AS mix_weight,
   round(coalesce(p, 0), {DIGITS}) AS mix_probability, draw < round(coalesce(p, 0), {DIGITS}) AS sampled
-FROM marked LEFT JOIN rated USING (source, lang, topic)"""
+FROM marked LEFT JOIN rated USING ({cell})"""
