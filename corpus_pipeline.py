@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilog.llm import language, mixing, pieces, privacy, simhash
-from vigilog.sources.lake import materialise, scratch_path
+from vigilog.sources.lake import discard, materialise, scratch_path, scratch_scope
 
 
 def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
@@ -82,6 +82,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    former: list[str] = []
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), scratch_path(spark, name.split()[0].lower()))
+        path = scratch_path(spark, name.split()[0].lower())
+        # What a stage needs in between goes as soon as its result is written, and so does what it has read.
+        with scratch_scope(spark):
+            docs = materialise(stage(spark, docs, sf_dir), path)
+        discard(spark, former)
+        former = [path]
     return docs

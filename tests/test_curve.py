@@ -1,0 +1,87 @@
+"""A log ordered along a curve: same rows, and fewer row groups for few pairs."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import pyarrow.parquet as pq
+import pytest
+from compare import assert_same
+from test_plans import plan
+
+from vigilog.operators import cleaning, detection
+from vigilog.plans.fixture import attack_list, auth_log
+from vigilog.plans.oracle import checks
+from vigilog.sources import curve
+from vigilog.sources.schemas import AUTH_SILVER
+
+
+@pytest.fixture(scope="module")
+def ordered(spark, sf_dir, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("curve") / "log")
+    curve.write_along_curve(cleaning.to_silver(auth_log(spark, sf_dir)), path, file_rows=20)
+    return path
+
+
+def groups(path):
+    """(smallest, largest cell, rows) of every row group."""
+    out = []
+    for part in Path(path, "lignes").rglob("part-*.parquet"):
+        meta = pq.ParquetFile(part).metadata
+        place = meta.schema.names.index(curve.CELL)
+        out += [(meta.row_group(i).column(place).statistics.min, meta.row_group(i).column(place).statistics.max, meta.row_group(i).num_rows) for i in range(meta.num_row_groups)]
+    return out
+
+
+def test_all_rows_are_kept(spark, sf_dir, ordered):
+    assert_same(curve.read_along_curve(spark, ordered).select(*AUTH_SILVER.names), sf_dir, checks()["silver_auth"])
+
+
+def test_few_pairs_skip_most_row_groups(spark, sf_dir, ordered):
+    pairs = attack_list(spark, sf_dir).select("user_domain", "destination_computer").limit(5)
+    names = ("user_domain", "destination_computer")
+    found = curve.read_for_pairs(spark, ordered, pairs, names)
+    log = curve.read_along_curve(spark, ordered).withColumnRenamed("source_user_domain", "user_domain")
+    assert found.withColumnRenamed("source_user_domain", "user_domain").join(pairs, list(names), "leftsemi").count() == log.join(pairs, list(names), "leftsemi").count() > 0
+    text = plan(found)
+    assert "PushedFilters: [" in text and "GreaterThanOrEqual(cellule" in text
+    cells = sorted({row[0] for row in found.select(curve.CELL).distinct().collect()})
+    every = groups(ordered)
+    read = [g for g in every if any(g[0] <= c <= g[1] for c in cells)]
+    # 31 days of about 300 lines; by arrival nearly every row group holds nearly every cell.
+    assert len(every) > 400 and len(read) < 0.5 * len(every)
+    assert sum(n for *_, n in every) == log.count()
+
+
+def test_validation_from_the_cells_of_the_list(spark, sf_dir, ordered):
+    listed = attack_list(spark, sf_dir)
+    log = curve.read_for_pairs(spark, ordered, listed, ("user_domain", "destination_computer"))
+    found = detection.validation_strict(detection.measured(listed), log.select(*AUTH_SILVER.names, "jour_part"))
+    assert_same(found, sf_dir, checks()["validation_redteam"])
+
+
+def test_ranges_and_cells(spark):
+    firsts = ["b", "d", "f", "m"]
+    names = spark.createDataFrame([(n,) for n in ["", "a", "b", "c", "d", "e", "f", "l", "m", "z", None]], "n string")
+    found = [r[0] for r in names.select(curve.range_number(names.n, firsts)).collect()]
+    assert found == [0, 0, 1, 1, 2, 2, 3, 3, 4, 4, 0]
+    pair = spark.createDataFrame([("z", "a"), ("a", "z"), ("z", "z"), (None, "d")], "u string, m string")
+    assert [r[0] for r in pair.select(curve.cell([pair.u, pair.m], [firsts, firsts])).collect()] == [0b010000, 0b100000, 0b110000, 0b001000]
+    log = spark.range(1000).selectExpr("CONCAT('U', id) AS n")
+    starts = curve.name_ranges(log, "n")
+    assert len(starts) == (1 << curve.BITS) - 1 and starts == sorted(set(starts))
+    assert curve.name_ranges(log.limit(0), "n") == [] and curve.name_ranges(log.limit(1), "n") == []
+
+
+def test_intervals():
+    assert curve.intervals([]) == [] and curve.intervals([4]) == [(4, 4)]
+    assert curve.intervals([5, 3, 4, 9, 9]) == [(3, 5), (9, 9)]
+    assert curve.intervals([0, 2, 10, 13, 40], most=3) == [(0, 2), (10, 13), (40, 40)]
+    assert curve.intervals(list(range(0, 4096, 2)), most=1) == [(0, 4094)]
+
+
+def test_no_pairs_and_no_rows(spark, sf_dir, ordered, tmp_path):
+    none = attack_list(spark, sf_dir).limit(0)
+    assert curve.read_for_pairs(spark, ordered, none, ("user_domain", "destination_computer")).count() == 0
+    unknown = spark.createDataFrame([("nobody@X", None)], "u string, m string")
+    assert curve.read_for_pairs(spark, ordered, unknown, ("u", "m")).where("source_user_domain = 'nobody@X'").count() == 0

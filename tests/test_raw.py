@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+from pathlib import Path
 
 import pytest
 
 from vigilog.operators import cleaning
 from vigilog.plans import jobs
 from vigilog.sources import raw
-from vigilog.sources.lake import Lake, read_landed, read_silver, scratch_path, write_by_day
+from vigilog.sources.lake import Lake, discard, materialise, read_landed, read_silver, scratch_path, scratch_scope, write_by_day
 from vigilog.sources.schemas import AUTH_RAW, AUTH_SILVER, REDTEAM_RAW
 
 AUTH_LINES = [
@@ -189,3 +190,16 @@ def test_landing_splits_one_gzip_file(spark, tmp_path):
     assert dated.where("temps_secondes div 86400 <> jour_part").count() == 0
     jobs.silver(spark, lake)
     assert read_silver(spark, lake.silver()).count() == len(lines)
+
+
+def test_scratch_tables_go_with_their_scope(spark, tmp_path):
+    outside = scratch_path(spark, "stays", str(tmp_path))
+    with scratch_scope(spark):
+        inner = materialise(spark.range(5), scratch_path(spark, "goes", str(tmp_path)))
+        with scratch_scope(spark):
+            deepest = scratch_path(spark, "first", str(tmp_path))
+            materialise(spark.range(2), deepest)
+        assert not Path(deepest).exists() and inner.count() == 5
+        kept = materialise(inner.where("id > 1"), outside)
+    assert kept.count() == 3 and len(list(Path(outside).parent.iterdir())) == 1
+    assert discard(spark, [outside, outside + "-none"]) == [outside]

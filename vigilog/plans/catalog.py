@@ -12,7 +12,7 @@ from vigilog.operators import cleaning, detection, gold, profiling, serving
 from vigilog.operators.detection import AttackList
 from vigilog.plans import jobs
 from vigilog.plans.fixture import attack_list, auth_log
-from vigilog.sources import buckets, lake, raw
+from vigilog.sources import buckets, curve, lake, raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -176,6 +176,18 @@ def silver_distinct_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.to_silver_distinct(log)
 
 
+# -- a log ordered along a curve of users and machines -----------------------------------
+
+
+def validation_redteam_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strict validation that reads only the cells of the list's pairs."""
+    path = lake.scratch_path(spark, "ordonne")
+    curve.write_along_curve(cleaning.to_silver(auth_log(spark, sf_dir)), path)
+    listed = attack_list(spark, sf_dir)
+    log = curve.read_for_pairs(spark, path, listed, ("user_domain", "destination_computer"))
+    return detection.validation_strict(detection.measured(listed), log.drop(curve.CELL))
+
+
 # -- what was landed of each raw object ---------------------------------------------------
 
 
@@ -288,6 +300,7 @@ def all_queries() -> dict[str, Query]:
     found["user_profiles_colocated"] = user_profiles_colocated
     found["silver_auth_distinct_colocated"] = silver_distinct_colocated
     found["bronze_manifest"] = bronze_manifest
+    found["validation_redteam_ordered"] = validation_redteam_ordered
     found["diag_one_pass"] = _on_raw(profiling.one_pass)
     for name, table, serve in (
         ("top_machines", "activite_par_machine", serving.top_machines),

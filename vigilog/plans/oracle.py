@@ -302,6 +302,7 @@ def checks() -> dict[str, str]:
     found["lake_gold_row_counts"] = found["gold_row_counts"]
     found["lake_validation_redteam"] = found["validation_redteam"]
     found["lake_comparaison"] = found["comparaison_criteres_detection"]
+    found["validation_redteam_ordered"] = found["validation_redteam"]
     found["silver_auth_distinct_colocated"] = found["silver_auth_distinct"]
     found["user_profiles_colocated"] = _check(
         """SELECT e.*, coalesce(nb_machines_distinctes, 0) AS nb_machines_distinctes, CAST(coalesce(nb_connexions_totales, 0) AS BIGINT) AS nb_connexions_totales,

@@ -6,7 +6,10 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 
 from pyspark.errors import AnalysisException
@@ -116,10 +119,45 @@ def scratch_path(spark: SparkSession, name: str, base: str | None = None) -> str
 
     Everything a session writes lies below one folder, ``vigilog-<application id>``, in
     ``base`` or in the session's shared folder. Results read from there stay valid until
-    that folder is deleted, which is the owner's to do once the session has ended.
+    that folder is deleted, which is the owner's to do once the session has ended; within a
+    `scratch_scope` the folder is deleted with it.
     """
     base = (base or scratch_base(spark)).rstrip("/")
-    return f"{base}/vigilog-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/vigilog-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    if _scopes.get():
+        _scopes.get()[-1].append(path)
+    return path
+
+
+# Paths handed out in each open scope, the innermost last.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scratch scopes", default=())
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables made in a block when it is left.
+
+    Whatever is read of them has to be done by then: write what is to stay to a path taken
+    before the block.
+    """
+    paths: list[str] = []
+    token = _scopes.set((*_scopes.get(), paths))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        discard(spark, paths)
+
+
+def discard(spark: SparkSession, paths: Iterable[str]) -> list[str]:
+    """Delete folders or files through the file system that Spark writes with; returns those that were there."""
+    java, settings = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = []
+    for path in sorted(paths):
+        target = java.org.apache.hadoop.fs.Path(path)
+        if target.getFileSystem(settings).delete(target, True):
+            gone.append(path)
+    return gone
 
 
 def write_table(df: DataFrame, path: str, compression: str | None = "zstd") -> None:

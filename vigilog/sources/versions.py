@@ -11,12 +11,11 @@ One job publishes at a time. Paths are kept relative to the lake, so a lake can
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigilog.sources.lake import POINTER, Lake, pointers, write_all
+from vigilog.sources.lake import POINTER, Lake, discard, pointers, write_all
 
 # Versions of a table that `vacuum` leaves: the current one, and one for readers still on the former.
 KEPT = 2
@@ -61,19 +60,9 @@ def vacuum(spark: SparkSession, lake: Lake, kept: int = KEPT) -> list[str]:
     ranked = known.select("*", F.col("_metadata.file_path").alias("file")).withColumn("rank", F.row_number().over(newest_first)).collect()
     old = [row for row in ranked if row["rank"] > kept]
     needed = {row["file"] for row in ranked if row["rank"] <= kept}
-    gone = _delete(spark, {f"{lake.base}/{row['chemin']}" for row in old})
+    gone = discard(spark, {f"{lake.base}/{row['chemin']}" for row in old})
     folders = [{row["chemin"].rsplit("/", 1)[0] for row in ranked if (row["rank"] > kept) == is_old} for is_old in (True, False)]
-    _delete(spark, {f"{lake.base}/{folder}" for folder in folders[0] - folders[1]})
-    _delete(spark, {row["file"] for row in old} - needed)
+    discard(spark, {f"{lake.base}/{folder}" for folder in folders[0] - folders[1]})
+    discard(spark, {row["file"] for row in old} - needed)
     return gone
 
-
-def _delete(spark: SparkSession, paths: Iterable[str]) -> list[str]:
-    """Delete through the file system that Spark writes with; returns what was there."""
-    java, settings = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    gone = []
-    for path in sorted(paths):
-        target = java.org.apache.hadoop.fs.Path(path)
-        if target.getFileSystem(settings).delete(target, True):
-            gone.append(path)
-    return gone
