@@ -80,6 +80,48 @@ def test_random_strings_pass_and_structured_ones_do_not(spark):
     assert [tuple(s) for s in spans[0]] == [(4, 3, "random", 48)]
 
 
+def planted(kind, draw):
+    hexes = "0123456789abcdef"
+
+    def some(alphabet, count):
+        return "".join(draw.choice(alphabet) for _ in range(count))
+
+    mixed = secrets.UPPER + secrets.LOWER + secrets.DIGITS
+    return {
+        "hyphenated": lambda: "-".join(some(hexes, n) for n in (8, 4, 4, 4, 12)),
+        "behind a path": lambda: "srv/data/www/" + some(mixed, 40),
+        "letters": lambda: some(secrets.UPPER + secrets.LOWER, 32),
+        "small letters": lambda: some(secrets.LOWER, 32),
+        "short": lambda: some(mixed, 18),
+        "base64": lambda: some(mixed + "+/", 43) + "=",
+        "slug": lambda: "-".join(draw.choice("how to build the data pipeline for many users with less effort in summer 2024 2023 7 part".split()) for _ in range(9)),
+        "path": lambda: "/".join(draw.choice("usr local share lib python site packages tests v2 2024 images summer".split()) for _ in range(7)),
+        "name": lambda: draw.choice(["Internationalisation", "IMG_20240115_123456789", "user_account_information_table", "2024-01-15-10-20-30-report", "Rindfleischetikettierung"]),
+    }[kind]()
+
+
+SECRET = ("hyphenated", "behind a path", "letters", "small letters", "short", "base64")
+
+
+def test_kinds_of_secrets_and_of_plain_strings(spark):
+    draw = random.Random(17)
+    kinds = [*SECRET, "slug", "path", "name"]
+    rows = [(k * 1000 + i, f"Some words, then {planted(kind, draw)} and more.") for k, kind in enumerate(kinds) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: any(s.kind == secrets.RANDOM for s in r.secrets) for r in secrets.scan(docs).collect()}
+    share = {kind: sum(found[k * 1000 + i] for i in range(200)) / 200 for k, kind in enumerate(kinds)}
+    assert all(share[kind] >= 0.9 for kind in SECRET), share
+    assert all(share[kind] <= 0.02 for kind in ("slug", "path", "name")), share
+
+
+def test_scan_reads_texts_once_and_finds_the_same(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    once = secrets.scan(docs, keep=["doc_id"])
+    twice = secrets.find(docs, secrets.fit(docs), keep=["doc_id"])
+    assert once.columns == twice.columns == ["doc_id", "base", "secrets"]
+    assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))
+
+
 def test_p_values_of_random_strings_are_spread_evenly(spark):
     draw = random.Random(3)
     rows = [("".join(draw.choice("0123456789abcdef") for _ in range(64)),) for _ in range(3000)]

@@ -1,15 +1,25 @@
 """Secrets in texts: fixed forms, and strings that pass a battery of randomness tests.
 
-Only DataFrame functions are used. Base spans follow fixed patterns. Beyond them, long strings
-of letters and digits are candidates. A candidate's encoding is inferred from its
-characters; under the hypothesis that it is random over that alphabet, a chi-squared test
+Only DataFrame functions are used. Base spans follow fixed patterns. Beyond them, long runs of
+letters, digits and the separators ``+ / _ = -`` are candidates. What is tested of a run are
+its parts between separators, each for itself (so a key behind a path is), and all parts
+joined where most of their characters lie in parts that mix letters and digits (so a hyphenated or base64
+key is, and a slug of words and numbers isn't). A part is tested if it mixes letters and
+digits and has LEAST_CHARS, or is all letters and has LEAST_LETTERS, more than words have.
+
+The encoding is inferred from the characters, the narrowest that fits; under the hypothesis
+that a string is random over that alphabet, a chi-squared test
 of uniformity, a runs test (upper against lower half of the alphabet) and a test of serial
 correlation give three p-values. The latter two look at the order of the characters and
 depend on each other, so the smaller one is doubled; it is independent of the first, which
-looks at their numbers, and both are combined by Fisher's method. Candidates are cleared as
+looks at their numbers, and both are combined by Fisher's method. Strings are cleared as
 structured where the hypothesis is rejected under false-discovery control (Benjamini and
 Hochberg) per length band, since short strings tell less; so among cleared strings the
-expected share of random ones is at most FALSE_SHARE. Strings not cleared are spans.
+expected share of random ones is at most FALSE_SHARE. A run with a string that isn't cleared is a span.
+
+Nulls and empty texts have no span. Very long texts and runs are read whole. Ties: spans that
+begin at one place are in the order of their kinds. Repeated rows count one by one in the control, and get
+equal spans. An empty table gives no row. Input columns named like the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -19,6 +29,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vigilog.sources.lake import materialise, scratch_path
+
 # The base patterns.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+"""
 ASSIGN_VALUE = r"""^(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)$"""
@@ -29,8 +41,10 @@ ASSIGN_CHARS = 8
 KINDS = ("assign", "access", "hex")
 RANDOM = "random"
 
-LEAST_CHARS = 20
+LEAST_CHARS, LEAST_LETTERS = 16, 24
 CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{LEAST_CHARS},}}"
+PART = "[A-Za-z0-9]+"
+DIGIT, LETTER = "[0-9]", "[A-Za-z]"
 FALSE_SHARE = 0.05
 # Length bands are powers of two from LEAST_CHARS; p-values are counted in tenths of a
 # power of ten, up to 30.
@@ -43,12 +57,14 @@ DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijkl
 ENCODINGS = (
     (r"^[0-9a-f]+$", DIGITS + "abcdef"),
     (r"^[0-9A-F]+$", DIGITS + "ABCDEF"),
+    (r"^[A-Z]+$", UPPER),
+    (r"^[a-z]+$", LOWER),
     (r"^[A-Z2-7]+$", UPPER + "234567"),
     (r"^[a-z2-7]+$", LOWER + "234567"),
     (r"^[A-Z0-9]+$", DIGITS + UPPER),
     (r"^[a-z0-9]+$", DIGITS + LOWER),
-    (r"^[A-Za-z0-9]+$", DIGITS + UPPER + LOWER),
-    (r"", UPPER + LOWER + DIGITS + "+/"),
+    (r"^[A-Za-z]+$", UPPER + LOWER),
+    (r"", DIGITS + UPPER + LOWER),
 )
 
 
@@ -102,19 +118,17 @@ def _one_sided(z: Column) -> Column:
     return F.when(z >= 0, tail).otherwise(1.0 - tail)
 
 
-def _codes(body: Column, pattern: str, alphabet: str) -> Column:
-    body = body if pattern else F.translate(body, "-_", "+/")
-    return F.transform(F.split(body, ""), lambda c: (F.instr(F.lit(alphabet), c) - 1).cast("double"))
+def _codes(token: Column, alphabet: str) -> Column:
+    return F.transform(F.split(token, ""), lambda c: (F.instr(F.lit(alphabet), c) - 1).cast("double"))
 
 
 def battery(token: Column) -> Column:
-    """Combined p-value of the three tests under the inferred encoding, without padding."""
-    body = F.regexp_replace(token, "=", "")
+    """Combined p-value of the three tests under the inferred encoding, for letters and digits."""
     codes = F.lit(None).cast("array<double>")
     size = F.lit(None).cast("double")
     for pattern, alphabet in reversed(ENCODINGS):
-        fits = F.rlike(body, F.lit(pattern)) if pattern else F.lit(True)
-        codes = F.when(fits, _codes(body, pattern, alphabet)).otherwise(codes)
+        fits = F.rlike(token, F.lit(pattern)) if pattern else F.lit(True)
+        codes = F.when(fits, _codes(token, alphabet)).otherwise(codes)
         size = F.when(fits, F.lit(float(len(alphabet)))).otherwise(size)
 
     def combined(v: Column, k: Column) -> Column:
@@ -162,8 +176,23 @@ def tenth(p: Column) -> Column:
 
 
 def mixed(token: Column) -> Column:
-    """Whether a candidate holds a digit and a letter; words and numbers aren't tested."""
-    return F.rlike(token, F.lit("[0-9]")) & F.rlike(token, F.lit("[A-Za-z]"))
+    """Whether a string holds a digit and a letter."""
+    return F.rlike(token, F.lit(DIGIT)) & F.rlike(token, F.lit(LETTER))
+
+
+def tested(run: Column) -> Column:
+    """The strings of a run that are tested: long parts, and all of them joined."""
+
+    def long_enough(part: Column) -> Column:
+        return ((F.length(part) >= LEAST_CHARS) & mixed(part)) | ((F.length(part) >= LEAST_LETTERS) & ~F.rlike(part, F.lit(DIGIT)))
+
+    def chosen(parts: Column) -> Column:
+        whole = F.array_join(parts, "")
+        in_mixed = F.aggregate(F.filter(parts, mixed), F.lit(0), lambda n, part: n + F.length(part))
+        joins = (F.size(parts) > 1) & (F.length(whole) >= LEAST_CHARS) & (2 * in_mixed >= F.length(whole))
+        return F.concat(F.filter(parts, long_enough), F.when(joins, F.array(whole)).otherwise(F.array().cast("array<string>")))
+
+    return let(F.regexp_extract_all(run, F.lit(PART), F.lit(0)), chosen)
 
 
 def cleared_from(counts: dict[tuple[int, int], int], share: float = FALSE_SHARE) -> dict[int, int]:
@@ -184,25 +213,9 @@ def cleared_from(counts: dict[tuple[int, int], int], share: float = FALSE_SHARE)
     return first
 
 
-def fit(docs: DataFrame, text: str = "text") -> dict[int, int]:
-    """Clearing bins per length band, from every candidate of every text."""
-    found = docs.select(F.explode(located(F.col(text), CANDIDATE)).alias("span")).where(mixed(F.col("span.found")))
-    placed = found.select(band(F.col("span.found")).alias("band"), tenth(battery(F.col("span.found"))).alias("bin"))
-    # At most BANDS * (BINS + 1) rows.
-    return cleared_from({(r[0], r[1]): r[2] for r in placed.groupBy("band", "bin").count().collect()})
-
-
-def _listed(spans: Column) -> Column:
-    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
-
-
-def find(docs: DataFrame, cleared: dict[int, int], text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Add ``secrets``, the spans (start, place, kind, end) in order, and ``base``, those of
-    the fixed patterns alone, to every row. Positions are code points, ends exclusive.
-
-    Null and empty texts have none. A random string that overlaps a base span isn't added.
-    Input columns named like the added ones are replaced.
-    """
+def measure(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Add ``base``, the spans of the fixed patterns, and ``__runs``: where each run with tested
+    strings is, and the length band and the bin of the p-value of each of these."""
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in {"secrets", "base"}]
     body = F.coalesce(F.col("__text"), F.lit(""))
     source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("__text"))
@@ -214,21 +227,66 @@ def find(docs: DataFrame, cleared: dict[int, int], text: str = "text", keep: lis
             spans = F.filter(spans, lambda s: F.length(F.regexp_extract(s["found"], ASSIGN_VALUE, 1)) >= ASSIGN_CHARS)
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(place).alias("place"), F.lit(kind).alias("kind"), s["end"].alias("end")))
 
+    def levels(span: Column) -> Column:
+        rated = F.transform(tested(span["found"]), lambda t: F.struct(band(t).alias("band"), tenth(battery(t)).alias("bin")))
+        return F.struct(span["start"].alias("start"), span["end"].alias("end"), rated.alias("levels"))
+
     base = F.array_sort(F.concat(*[labelled(kind, place) for place, kind in enumerate(KINDS)]))
-    source = source.withColumn("base", base)
+    runs = F.filter(F.transform(F.col(f"__{RANDOM}"), levels), lambda run: F.size(run["levels"]) > 0)
+    return source.select(*[F.col(f"`{c}`") for c in kept], base.alias("base"), runs.alias("__runs"))
+
 
-    def kept_random(span: Column) -> Column:
-        apart = ~F.exists(F.col("base"), lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-        own_limit = F.lit(BINS + 1)
-        for own, lowest in sorted(cleared.items()):
-            own_limit = F.when(band(span["found"]) == own, F.lit(lowest)).otherwise(own_limit)
-        return apart & mixed(span["found"]) & (tenth(battery(span["found"])) < own_limit)
+def learn(measured: DataFrame) -> dict[int, int]:
+    """Clearing bins per length band, from every tested string of ``measure``."""
+    levels = measured.select(F.explode("__runs.levels").alias("levels")).select(F.explode("levels").alias("level"))
+    # At most BANDS * (BINS + 1) rows.
+    return cleared_from({(r[0], r[1]): r[2] for r in levels.groupBy("level.band", "level.bin").count().collect()})
+
+
+def settle(measured: DataFrame, cleared: dict[int, int]) -> DataFrame:
+    """``secrets`` of measured rows: base spans, and runs with a string that isn't cleared."""
+
+    def uncleared(run: Column) -> Column:
+        apart = ~F.exists(F.col("base"), lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+
+        def below(level: Column) -> Column:
+            limit = F.lit(BINS + 1)
+            for own, lowest in sorted(cleared.items()):
+                limit = F.when(level["band"] == own, F.lit(lowest)).otherwise(limit)
+            return level["bin"] < limit
+
+        return apart & F.exists(run["levels"], below)
 
     added = F.transform(
-        F.filter(F.col(f"__{RANDOM}"), kept_random),
+        F.filter(F.col("__runs"), uncleared),
         lambda s: F.struct(s["start"].alias("start"), F.lit(len(KINDS)).alias("place"), F.lit(RANDOM).alias("kind"), s["end"].alias("end")),
     )
-    return source.withColumn("secrets", F.array_sort(F.concat("base", added))).select(*[F.col(f"`{c}`") for c in kept], "base", "secrets")
+    return measured.withColumn("secrets", F.array_sort(F.concat("base", added))).drop("__runs")
+
+
+def fit(docs: DataFrame, text: str = "text") -> dict[int, int]:
+    """Clearing bins per length band, from every candidate of every text."""
+    return learn(measure(docs, text, []))
+
+
+def find(docs: DataFrame, cleared: dict[int, int], text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Add ``secrets``, the spans (start, place, kind, end) in order, and ``base``, those of
+    the fixed patterns alone, to every row. Positions are code points, ends exclusive.
+
+    A random run that overlaps a base span isn't added.
+    """
+    return settle(measure(docs, text, keep), cleared)
+
+
+def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``find`` with the bins that these documents give. Texts are read once: what was measured
+    of them is written, and read for the bins and for the spans."""
+    measured = materialise(measure(docs, text, keep), scratch_path(docs.sparkSession, "measured"))
+    return settle(measured, learn(measured))
+
+
+def _listed(spans: Column) -> Column:
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
 def digests(found: DataFrame) -> DataFrame:
@@ -240,12 +298,14 @@ def digests(found: DataFrame) -> DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return digests(find(docs, fit(docs), keep=["doc_id"]))
+    return digests(scan(docs, keep=["doc_id"]))
 
 
 def oracle() -> str:
     """The same spans, tests and clearing in SQL."""
-    alphabets = " ".join(f"WHEN regexp_matches(replace(t, '=', ''), '{pattern}') THEN '{alphabet}'" for pattern, alphabet in ENCODINGS[:-1])
+    alphabets = " ".join(f"WHEN regexp_matches(t, '{pattern}') THEN '{alphabet}'" for pattern, alphabet in ENCODINGS[:-1])
+    is_mixed = f"regexp_matches(p, '{DIGIT}') AND regexp_matches(p, '{LETTER}')"
+    is_long = f"(length(p) >= {LEAST_CHARS} AND {is_mixed}) OR (length(p) >= {LEAST_LETTERS} AND NOT regexp_matches(p, '{DIGIT}'))"
     whole = ENCODINGS[-1][1]
     assign = ASSIGN.replace("'", "''").replace(r"\x20", " ")
     value = ASSIGN_VALUE.replace("'", "''").replace(r"\x20", " ")
@@ -263,13 +323,13 @@ spans AS (
   SELECT row_no, kind, place, t, e - length(t) AS s, e FROM (
     SELECT *, sum(length(gap) + length(t)) OVER (PARTITION BY row_no, kind ORDER BY i) AS e FROM single)),
 base AS (SELECT * FROM spans WHERE kind <> '{RANDOM}' AND (kind <> 'assign' OR length(regexp_extract(t, '{value}', 1)) >= {ASSIGN_CHARS})),
-tokens AS (
-  SELECT row_number() OVER () AS id, row_no, s, e, t, CASE {alphabets} ELSE '{whole}' END AS alphabet
-  FROM spans WHERE kind = '{RANDOM}' AND regexp_matches(t, '[0-9]') AND regexp_matches(t, '[A-Za-z]')),
-coded AS (
-  SELECT id, t, length(alphabet)::DOUBLE AS k,
-    [(instr(alphabet, c) - 1)::DOUBLE FOR c IN string_split(CASE WHEN alphabet = '{whole}' THEN translate(replace(t, '=', ''), '-_', '+/') ELSE replace(t, '=', '') END, '')] AS v
-  FROM tokens),
+runs AS (SELECT row_number() OVER () AS run, row_no, s, e, regexp_extract_all(t, '{PART}') AS parts FROM spans WHERE kind = '{RANDOM}'),
+joined_runs AS (SELECT *, array_to_string(parts, '') AS whole, coalesce(list_sum([length(p) FOR p IN parts IF {is_mixed}]), 0) AS in_mixed FROM runs),
+strings AS (
+  SELECT run, unnest(list_concat([p FOR p IN parts IF {is_long}],
+    CASE WHEN len(parts) > 1 AND length(whole) >= {LEAST_CHARS} AND 2 * in_mixed >= length(whole) THEN [whole] ELSE [] END)) AS t FROM joined_runs),
+tokens AS (SELECT row_number() OVER () AS id, run, t, CASE {alphabets} ELSE '{whole}' END AS alphabet FROM strings),
+coded AS (SELECT id, length(alphabet)::DOUBLE AS k, [(instr(alphabet, c) - 1)::DOUBLE FOR c IN string_split(t, '')] AS v FROM tokens),
 chars AS (SELECT id, k, len(v)::DOUBLE AS n, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM coded WHERE len(v) >= 3),
 steps AS (SELECT *, lag(x) OVER (PARTITION BY id ORDER BY i) AS before, avg(x) OVER (PARTITION BY id) AS mean FROM chars),
 tallies AS (SELECT id, sum(c * c)::DOUBLE AS tally FROM (SELECT id, x, count(*) AS c FROM chars GROUP BY ALL) GROUP BY id),
@@ -291,7 +351,7 @@ levels AS (
     greatest(least(1, 2 * min(CASE WHEN j > 1 THEN CASE WHEN raw IS NOT NULL THEN least(1, 2 * {tail}) WHEN j = 2 THEN pow(2, 1 - n) ELSE 1e-30 END END)), 1e-30) AS p2
   FROM sides GROUP BY id),
 binned AS (
-  SELECT t.id, row_no, s, e, least(floor(log2(length(t) / {float(LEAST_CHARS)})), {BANDS - 1}) AS band,
+  SELECT t.id, run, least(floor(log2(length(t) / {float(LEAST_CHARS)})), {BANDS - 1}) AS band,
     least(floor(-10 * log10(greatest(coalesce(p1 * p2 * (1 - ln(p1 * p2)), 1e-30), 1e-30))), {BINS}) AS bin
   FROM tokens t LEFT JOIN levels USING (id)),
 ranked AS (
@@ -299,8 +359,9 @@ ranked AS (
   FROM binned GROUP BY band, bin),
 cleared AS (SELECT band, min(bin) AS lowest FROM ranked WHERE pow(10, -bin / 10.0) <= {FALSE_SHARE} * reached / total GROUP BY band),
 added AS (
-  SELECT b.row_no, '{RANDOM}' AS kind, 3 AS place, b.s, b.e FROM binned b LEFT JOIN cleared USING (band)
-  WHERE bin < coalesce(lowest, {BINS + 1}) AND NOT EXISTS (SELECT 1 FROM base o WHERE o.row_no = b.row_no AND o.s < b.e AND b.s < o.e)),
+  SELECT r.row_no, '{RANDOM}' AS kind, 3 AS place, r.s, r.e FROM runs r
+  WHERE run IN (SELECT run FROM binned LEFT JOIN cleared USING (band) WHERE bin < coalesce(lowest, {BINS + 1}))
+    AND NOT EXISTS (SELECT 1 FROM base o WHERE o.row_no = r.row_no AND o.s < r.e AND r.s < o.e)),
 every AS (SELECT row_no, kind, place, s, e FROM base UNION ALL SELECT * FROM added),
 joined AS (
   SELECT row_no, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
