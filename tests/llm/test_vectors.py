@@ -74,3 +74,20 @@ def test_awkward_rows(spark):
     expected = [(str(i), *linked.get(str(i), (0, i, True))) for i, _, _ in rows if i != 2] + [("2", 3, 1, False)] * 2
     assert found == sorted(expected)
     assert vectors.group(df.limit(0)).count() == 0
+
+
+def test_lengths_without_pivots_are_compared_too(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "MOST_LENGTHS", 3)
+    draw = np.random.default_rng(12)
+    rows = []
+    for size in range(2, 12):
+        for i in range(12):
+            near = draw.standard_normal(size)
+            rows += [(len(rows), near.tolist(), i % 2), (len(rows) + 1, (near * 1.001).tolist(), i % 2), (len(rows) + 2, (near + 0.3 * draw.standard_normal(size)).tolist(), i % 2)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").repartition(4)
+    entries = table.selectExpr("embedding AS vector").distinct()
+    assert len(vectors.find_pivots(entries)) == 3
+    found = {r.vec_id: r.n_links for r in vectors.group(table, list_rows=8).collect()}
+    unit = [(i, np.array(v) / np.linalg.norm(v), label) for i, v, label in rows]
+    expected = {i: sum(j != i and len(w) == len(v) and other == label and float(v @ w) >= 0.98 for j, w, other in unit) for i, v, label in unit}
+    assert found == expected and sum(found.values()) > 200

@@ -69,12 +69,14 @@ def spread_out(rows: np.ndarray, count: int, closest: float) -> np.ndarray:
 def find_pivots(entries: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE, pivots: int = PIVOTS) -> dict[int, np.ndarray]:
     """Pivots per vector length, from at most ``sample`` vectors of each length.
 
-    They lie at least three times the angle of the threshold apart.
+    They lie at least three times the angle of the threshold apart. Only the MOST_LENGTHS most
+    frequent lengths get pivots; vectors of another length share one list with those of their label.
     """
     closest = float(np.cos(min(np.pi, 3 * np.arccos(threshold))))
     sized = entries.select(F.size("vector").alias("size"), "vector")
-    totals = common.label_totals(sized, "size", MOST_LENGTHS)
-    drawn = common.sample_per_label(sized, "size", totals, sample, ["vector"]).collect()
+    frequent = sized.groupBy("size").count().orderBy(F.desc("count"), "size").limit(MOST_LENGTHS).collect()
+    totals = {size: total for size, total in sorted(frequent)}
+    drawn = common.sample_per_label(sized.where(F.col("size").isin(*totals)), "size", totals, sample, ["vector"]).collect()
     found = {}
     for size in totals:
         rows = sorted(r["vector"] for r in drawn if r["size"] == size)
@@ -82,8 +84,10 @@ def find_pivots(entries: DataFrame, threshold: float = THRESHOLD, sample: int =
     return found
 
 
-def list_keys(rows: np.ndarray, labels: np.ndarray, pivots: np.ndarray, nearest: int, shared: int) -> np.ndarray:
-    """Sorted numbers of the lists each vector belongs to: one per set of shared pivots."""
+def list_keys(rows: np.ndarray, labels: np.ndarray, pivots: np.ndarray | None, nearest: int, shared: int) -> np.ndarray:
+    """Sorted numbers of the lists each vector belongs to: one per set of shared pivots, or a
+    single one where there are no pivots."""
+    pivots = rows[:0] if pivots is None else pivots
     cosines = rows @ pivots.T
     width = min(nearest, len(pivots))
     order = np.sort(np.argsort(-cosines, axis=1, kind="stable")[:, :width], axis=1)
@@ -115,7 +119,7 @@ def index(entries: DataFrame, pivots: dict[int, np.ndarray], nearest: int = NEAR
             labels = batch.column(batch.schema.get_field_index("label")).to_numpy(zero_copy_only=False)
             lists: list = [None] * batch.num_rows
             for places, rows in _by_size(batch.column(batch.schema.get_field_index("vector"))):
-                keys = list_keys(unit(rows), labels[places].astype(np.int64), pivots[rows.shape[1]], nearest, shared)
+                keys = list_keys(unit(rows), labels[places].astype(np.int64), pivots.get(rows.shape[1]), nearest, shared)
                 for place, key in zip(places.tolist(), keys.tolist(), strict=True):
                     lists[place] = key
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists, pa.list_(pa.int64()))], names=[*batch.schema.names, "lists"])
