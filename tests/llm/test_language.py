@@ -4,7 +4,7 @@ import edges
 import numpy as np
 import pytest
 
-from vigilog.llm import language
+from vigilog.llm import common, language
 from vigilog.llm.ngrams import letter_ngrams
 
 
@@ -54,6 +54,29 @@ def test_foreign_text_is_rejected(spark, model):
     assert all(r.rejected for r in language.predict(df, model).collect())
 
 
+# The first article of the declaration of human rights, in languages that are not learned.
+FOREIGN = [
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván, egymással szemben testvéri szellemben kell hogy viseltessenek.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler.",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+]
+
+
+def test_foreign_texts_in_latin_letters_are_rejected(spark, model):
+    texts = [((t + " ") * 4)[:size] for t in FOREIGN for size in (60, 150, 400)]
+    rows = language.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), model).collect()
+    assert len(rows) == 12 and all(r.rejected for r in rows)
+
+
+def test_floors():
+    reached = np.array([[8.0] * 100 + [3.0], [*np.linspace(0.4, 0.9, 100), 0.3]])
+    floors = language._floors(reached)
+    assert floors[:2].tolist() == [0.0, 0.0] and floors[3] == pytest.approx(0.3 * 0.6 * 0.25)
+    assert floors[7] == floors[8] == floors[9] == floors[20] == pytest.approx(0.6 * np.quantile(reached[1][:100], 0.01))
+    assert floors[6] == floors[4] > 0
+
+
 def test_awkward_rows(spark):
     docs = edges.frame(spark)
     found = language.predict(docs, language.fit(docs, identity=["doc_id", "text"]))
@@ -68,7 +91,30 @@ def test_awkward_rows(spark):
     assert language.predict(edges.frame(spark, []), language.fit(edges.frame(spark, []))).count() == 0
 
 
-def test_too_many_languages_are_refused(spark):
-    df = spark.range(300).selectExpr("'a text' AS text", "CAST(id AS STRING) AS lang")
-    with pytest.raises(ValueError, match="more than"):
-        language.fit(df)
+def test_more_languages_than_a_block(spark, monkeypatch):
+    """300 made-up languages, each of its own syllables; blocks of any size give the same."""
+    draw = np.random.default_rng(21)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    rows = []
+    for number in range(300):
+        syllables = ["".join(draw.choice(letters, 3)) for _ in range(12)]
+        rows += [("".join(f"{draw.choice(syllables)}{draw.choice(syllables)} " for _ in range(40)), f"l{number:03d}", i) for i in range(4)]
+    docs = spark.createDataFrame(rows, "text string, lang string, i int").repartition(4)
+    model = language.fit(docs.where("i < 3"))
+    assert len(set(model.languages)) == 300
+    found = {}
+    for size in (256, 70, 1000):
+        monkeypatch.setattr(language, "BLOCK_LANGUAGES", size)
+        found[size] = sorted(map(tuple, language.predict(docs, model).collect()))
+    assert found[256] == found[70] == found[1000]
+    held = [r for r in found[256] if r[2] == 3]
+    assert sum(r[1] == r[3] for r in held) >= 0.97 * len(held)
+
+
+def test_samples_with_and_without_totals(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("lang IS NOT NULL").select("doc_id", "lang")
+    totals = common.label_totals(docs, "lang", 10)
+    assert common.label_totals(docs, "lang", 2) is None
+    for known in (totals, None):
+        sample = common.sample_per_label(docs, "lang", known, 20, ["doc_id"])
+        assert {(r.lang, r["count"]) for r in sample.groupBy("lang").count().collect()} == {(lang, 20) for lang in totals}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -12,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 ROOT = Path(__file__).resolve().parents[2]
 # Texts handled together by one numpy step: bounds the arrays a task holds at once.
@@ -20,6 +21,10 @@ BLOCK_CHARS = 1 << 18
 BLOCK_TEXTS = 512
 # Rows of an Arrow batch turned into Python values at once.
 SLICE_ROWS = 1024
+# A text beyond this is counted in pieces.
+PIECE_CHARS = 1 << 20
+BLANKS = " \t\n\v\f\r"
+BLANK = re.compile(r"[ \t-\r]")
 
 _shipped: set[str] = set()
 
@@ -47,6 +52,68 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(start, rows)
 
 
+def pieces(text: str) -> Iterator[tuple[str, int]]:
+    """A long text as (piece, 1) and (overlap, -1): each piece but the first begins with the last
+    word of the one before, and that word is what is taken off again.
+
+    So counts of anything within a word, between two neighbouring words or along three characters
+    add up to those of the whole text. A text without blanks stays whole.
+    """
+    start = 0
+    while len(text) - start > PIECE_CHARS:
+        at, word = start + PIECE_CHARS, start
+        while word <= start:
+            cut = BLANK.search(text, at)
+            if cut is None:
+                yield text[start:], 1
+                return
+            at = cut.end()
+            end = start + len(text[start : cut.start()].rstrip(BLANKS))
+            word = 1 + max(text.rfind(blank, start, end) for blank in BLANKS)
+        yield text[start:at], 1
+        yield text[word:at], -1
+        start = word
+    yield text[start:], 1
+
+
+def counts_of(block: list[str], measure: Callable[[list[str]], np.ndarray]) -> np.ndarray:
+    """``measure`` of a block's texts, one row each; a long text is measured piece by piece."""
+    if len(block) == 1 and len(block[0]) > PIECE_CHARS:
+        total = 0
+        for piece, sign in pieces(block[0]):
+            total = total + sign * measure([piece])
+        return total
+    return measure(block)
+
+
+def sparse_counts(rows: DataFrame, text: str, measure: Callable[[list[str]], np.ndarray], keep: list[str]) -> DataFrame:
+    """Columns ``keep`` with the counts of each text that aren't 0, as ``places`` and ``counts``.
+
+    Counted where the texts are read, so whoever gathers rows gathers numbers, as many as the
+    measure has at most, however long the texts are.
+    """
+    ints = ArrayType(IntegerType())
+
+    def compute(values: dict[str, list]) -> list[pa.Array]:
+        places, numbers = [], []
+        for _, block in text_blocks(values[text]):
+            for row in counts_of(block, measure):
+                hit = np.flatnonzero(row)
+                places.append(hit.astype(np.int32))
+                numbers.append(np.minimum(row[hit], np.iinfo(np.int32).max).astype(np.int32))
+        return [pa.array(places, pa.list_(pa.int32())), pa.array(numbers, pa.list_(pa.int32()))]
+
+    return add_columns(rows, [text], StructType([StructField("places", ints), StructField("counts", ints)]), compute, keep)
+
+
+def dense_counts(table: pa.Table, width: int) -> np.ndarray:
+    """The matrix behind rows of ``sparse_counts``."""
+    found = np.zeros((table.num_rows, width), dtype=np.int64)
+    for row, (places, numbers) in enumerate(zip(table.column("places").to_pylist(), table.column("counts").to_pylist(), strict=True)):
+        found[row, places] = numbers
+    return found
+
+
 def text_blocks(texts: list[str | None], chars: int = BLOCK_CHARS, count: int = BLOCK_TEXTS) -> Iterator[tuple[int, list[str]]]:
     """Runs of whole texts with their first index; a longer text is a block of its own.
 
@@ -101,27 +168,28 @@ def remainder(column: str, modulus: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(modulus)
 
 
-def label_totals(rows: DataFrame, label: str, most: int) -> dict:
-    """Rows per label value; more values than ``most`` are refused, never dropped."""
+def label_totals(rows: DataFrame, label: str, most: int) -> dict | None:
+    """Rows per label value; None where there are more values than ``most``."""
     found = rows.where(F.col(label).isNotNull()).groupBy(label).count().limit(most + 1).collect()
-    if len(found) > most:
-        raise ValueError(f"more than {most} values in {label}")
-    return {value: total for value, total in sorted(found)}
+    return None if len(found) > most else {value: total for value, total in sorted(found)}
 
 
-def sample_per_label(rows: DataFrame, label: str, totals: dict, per_label: int, identity: list[str]) -> DataFrame:
+def sample_per_label(rows: DataFrame, label: str, totals: dict | None, per_label: int, identity: list[str]) -> DataFrame:
     """At most ``per_label`` rows of each label value, the same ones on every run.
 
     A first cut by hash leaves about half as many again, so little is sorted however
     common a label is; the exact cut then takes the lowest hashes and is combined before
-    the shuffle. Rows of equal identity share a hash.
+    the shuffle. Rows of equal identity share a hash. Without totals there is no first cut.
     """
+    known = rows.where(F.col(label).isNotNull())
+    if totals is None:
+        return first_per_label(known, label, per_label, identity)
     if not totals:
         return rows.limit(0)
     # Bits the order of the exact cut doesn't begin with.
     draw = F.pmod(F.xxhash64(*identity), F.lit(1 << 30)) / F.lit(float(1 << 30))
     share = F.create_map(*[F.lit(x) for value, total in totals.items() for x in (value, 1.5 * per_label / total)])
-    return first_per_label(rows.where(draw < share[F.col(label)]), label, per_label, identity)
+    return first_per_label(known.where(draw < share[F.col(label)]), label, per_label, identity)
 
 
 def first_per_label(rows: DataFrame, label: str, per_label: int, identity: list[str]) -> DataFrame:

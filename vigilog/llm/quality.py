@@ -6,6 +6,12 @@ corpus. A truncated singular value decomposition of a bounded sample of labelled
 gives the latent space. The sampled texts' vectors are sent to every task, which takes exact
 cosines of its documents with all of them, block by block, and weights the labels of the
 nearest ones by similarity.
+
+Nulls: null and empty texts get the share of label 1 among the labelled rows, as all texts do where
+nothing was learned; null keys and labels teach nothing. Very long texts are counted piece by piece. Ties: of
+equally similar neighbours at the last place, which of them vote is open, but the same for equal texts. Repeated
+rows are rows like others, and an id with several labels counts for each. An empty table gives no row.
+Input columns named like the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -94,7 +100,7 @@ def terms(texts: list[str]) -> np.ndarray:
 def term_frequency(texts: DataFrame, text: str) -> tuple[np.ndarray, int]:
     """In how many rows each hashed term occurs, and the number of rows, over all rows."""
     common.ship_code(texts.sparkSession)
-    return common.sum_over_texts(texts, text, lambda block: (terms(block) > 0).sum(axis=0), WIDTH)
+    return common.sum_over_texts(texts, text, lambda block: (common.counts_of(block, terms) > 0).sum(axis=0), WIDTH)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text", per_label: int = PER_LABEL) -> Model:
@@ -112,12 +118,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", tex
     drawn = F.broadcast(common.sample_per_label(known, "label", totals, per_label, ["key"]))
     texts = docs.where(F.length(text) > 0).select(F.col(key).alias("key"), F.col(text).alias("text"))
     matched = common.first_per_label(texts.join(drawn, "key"), "label", per_label, ["key", "text"])
-    narrow = matched.select(F.lit(1).alias("one"), "label", "text")
+    narrow = common.sparse_counts(matched, "text", terms, ["label"]).withColumn("one", F.lit(1))
 
     def learn(table: pa.Table) -> pa.Table:
         labels = np.array(table.column("label").to_pylist(), dtype=np.int64)
-        texts = table.column("text").to_pylist()
-        rows = np.concatenate([weighted(terms(block), idf) for _, block in common.text_blocks(texts)])
+        rows = weighted(common.dense_counts(table, WIDTH), idf)
         order = np.lexsort([*rows[:, :3].T, labels])
         rows, labels = rows[order], labels[order]
         _, axes = np.linalg.eigh((rows.T @ rows).astype(np.float64))
@@ -163,7 +168,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
     """
 
     def compute(values: dict[str, list]) -> list[pa.Array]:
-        scores = [vote(model, terms(block)) for _, block in common.text_blocks(values[text])]
+        scores = [vote(model, common.counts_of(block, terms)) for _, block in common.text_blocks(values[text])]
         joined = np.concatenate(scores) if scores else np.zeros(0)
         return [pa.array(np.clip(joined, 0.0, 1.0)), pa.array((joined >= threshold).astype(np.int32))]
 
