@@ -14,6 +14,20 @@ def test_equals_sql(spark, sf_dir):
     assert_same(mixing.query(spark, sf_dir), sf_dir, mixing.oracle())
 
 
+def test_sql_of_sanitised_texts(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "source", F.expr("replace(text, '@', '[EMAIL]')").alias("text"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    mixed = mixing.mix(docs).select("doc_id", "n_tokens", "mix_weight", "mix_probability", "sampled")
+    assert_same(mixed, str(tmp_path), mixing.oracle(sanitised=True))
+
+
+def test_one_rare_document_changes_little(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source", "lang")
+    docs.union(spark.createDataFrame([(10**9, "word " * 100, "src1", None)], docs.schema)).write.parquet(f"{tmp_path}/documents.parquet")
+    taken = [mixing.query(spark, d).where("sampled").agg(F.sum("n_tokens")).first()[0] for d in (sf_dir, str(tmp_path))]
+    assert abs(taken[1] / taken[0] - 1) < 0.01
+
+
 def test_raking_meets_the_marginals():
     cells = {(a, b): 100 + 37 * i * j for i, a in enumerate("xyz") for j, b in enumerate("pq")} | {("x", "r"): 0}
     targets = {"one": {"x": 0.2, "y": 0.3, "z": 0.5}, "two": {"p": 0.6, "q": 0.4, "missing": 9.0}}

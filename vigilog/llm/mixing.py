@@ -8,6 +8,11 @@ Probabilities take a given share of all tokens. They end at 1, and the raking is
 bound: a cell or a value without enough tokens is taken whole, the others make up for it,
 and the shortfall is reported. Or, without a share, weights are scaled so that the largest
 is 1; then targets are met exactly, but the rarest wanted cell bounds the whole sample.
+
+Nulls: a null source, language or topic counts as OTHER, a null text has no tokens, a null key is one key. Empty
+texts get the weight of their cell and add nothing to it; very long ones count as many tokens as they have. Ties: rows of
+equal key, repeated rows among them, are sampled together. An empty table gives no row. Input columns
+named like the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -215,8 +220,11 @@ def query(spark, sf_dir: str) -> DataFrame:
     return mix(docs, axes=axes).select("doc_id", "n_tokens", "mix_weight", "mix_probability", "sampled")
 
 
-def oracle(share: float = SHARE, rounds: int = ROUNDS, bounded_rounds: int = BOUNDED_ROUNDS) -> str:
+def oracle(share: float = SHARE, rounds: int = ROUNDS, bounded_rounds: int = BOUNDED_ROUNDS, sanitised: bool = False) -> str:
     """The same raking in SQL, without and with the bound. The targets are those of TARGETS."""
+    at_sign, figures = "contains(text, '@')", "[0-9]"
+    if sanitised:
+        at_sign, figures = f"({at_sign} OR contains(text, '[EMAIL]'))", r"[0-9]|\[(?:IP|CARD|PHONE|NUMBER)\]"
 
     def value(column: str, shares: dict[str, float]) -> str:
         names = ", ".join(f"'{k}'" for k in shares if k != OTHER)
@@ -258,8 +266,8 @@ def oracle(share: float = SHARE, rounds: int = ROUNDS, bounded_rounds: int = BOU
 WITH RECURSIVE marked AS (
   SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+')) AS n_tokens,
     {value("source", TARGETS["source"])} AS source, {value("lang", TARGETS["lang"])} AS lang,
-    CASE WHEN contains(text, 'Licensed') OR contains(text, 'Copyright') THEN 'notice' WHEN contains(text, '@') THEN 'contact'
-      WHEN regexp_matches(text, '[0-9]') THEN 'figures' WHEN coalesce(length(text), 0) < 1000 THEN 'note' ELSE 'prose' END AS topic,
+    CASE WHEN contains(text, 'Licensed') OR contains(text, 'Copyright') THEN 'notice' WHEN {at_sign} THEN 'contact'
+      WHEN regexp_matches(text, '{figures}') THEN 'figures' WHEN coalesce(length(text), 0) < 1000 THEN 'note' ELSE 'prose' END AS topic,
     CAST('0x' || left(md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '\\N')), 12) AS BIGINT) / CAST({1 << 48} AS DOUBLE) AS draw
   FROM documents),
 cells AS (SELECT {cell}, sum(n_tokens) AS n FROM marked GROUP BY ALL),

@@ -8,6 +8,10 @@ ids of a text are put together by position.
 
 A table of the whole corpus would have to send every word occurrence through a shuffle
 to join the ids back; the table per task sends none.
+
+Nulls: a null text is empty; an empty text has no id. Very long texts are cut into marked words like others, and words
+too long for the table are segmented each time. Ties among merges are the model's to settle. Repeated rows get equal
+ids. An empty table gives no row. Input columns named like the added ones are replaced.
 """
 
 from __future__ import annotations

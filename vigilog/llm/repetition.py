@@ -3,6 +3,10 @@
 Words of a text become numbers, and every n-gram of several lengths a 64-bit rolling hash
 that grows by one word per length. Characters in repeated n-grams are those of words that lie
 in an n-gram seen earlier in the text, each counted once.
+
+Nulls: a null text is empty; an empty text has no word and fails for that. Very long texts are measured whole, one at a
+time. Ties: of equally frequent n-grams the longest counts. Repeated rows get equal values.
+An empty table gives no row. Input columns named like the added ones are replaced.
 """
 
 from __future__ import annotations

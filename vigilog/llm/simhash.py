@@ -14,6 +14,12 @@ side to its own anchor finds the same links with five times the copies at t = 3.
 An anchor with more than CELL_ROWS fingerprints is not compared pair by pair. Its
 fingerprints are linked exactly through their common midpoints instead, with work in
 proportion to their number.
+
+Nulls: a null text has no word, and its fingerprint is 0; a null id is no component's smallest unless there is no
+other. Empty texts have fingerprint 0 as well; very long ones are hashed whole, one at a time. Ties: a bit set in exactly half of
+the hashes is 0; of rows with a component's smallest id the one of the lowest row hash is kept. Repeated rows share a
+fingerprint, and one of them is kept. An empty table gives no row. Columns carried along keep their names; the
+added ones win.
 """
 
 from __future__ import annotations

@@ -9,6 +9,12 @@ bounded: every vector is indexed.
 Exact copies are one entry with a count. A list beyond LIST_ROWS entries is cut into blocks,
 and each pair of blocks is compared by a task of its own, so no pair is lost. Lists give
 back sums and one link per entry and list, never pairs.
+
+Nulls: null vectors, vectors with null or non-finite numbers and zero vectors, empty ones too, link with
+nothing, as rows of a null label do; a null id is linked, but keeps nothing. Very long vectors are compared like others, with
+vectors of their length. Ties: equally near pivots are taken in their order, and a cosine of exactly the
+threshold links. Repeated rows are one entry with a count, and each is another vector to the others. An
+empty table gives no row. Only the named columns are read, so further columns cannot clash.
 """
 
 from __future__ import annotations
