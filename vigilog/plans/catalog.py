@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,31 +134,35 @@ def _gold_counts(attacks: AttackList, silver: DataFrame) -> DataFrame:
 # -- the whole way through a lake: raw files, landed, cleaned, built, compared ----------
 
 
-def _lake(spark: SparkSession, sf_dir: str) -> lake.Lake:
+@lru_cache(maxsize=8)
+def _built_lake(application: str, sf_dir: str) -> lake.Lake:
+    """A lake taken through all jobs, once for each session and data; several queries read it."""
+    spark = SparkSession.active()
     made = lake.Lake(lake.scratch_path(spark, "lake"))
     jobs.land(spark, made, _csv_folder(auth_log(spark, sf_dir), "auth"), _csv_folder(attack_list(spark, sf_dir), "redteam"))
     jobs.silver(spark, made)
     jobs.gold_tables(spark, made)
+    jobs.detect(spark, made)
     return made
 
 
+def _lake(spark: SparkSession, sf_dir: str) -> lake.Lake:
+    return _built_lake(spark.sparkContext.applicationId, sf_dir)
+
+
 def lake_gold_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts the gold job reports for the tables it has written."""
     return spark.read.parquet(_lake(spark, sf_dir).report("gold_row_counts"))
 
 
 def lake_validation_redteam(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The strict validation that the detect job writes in place of the loose one."""
-    made = _lake(spark, sf_dir)
-    jobs.detect(spark, made)
-    return lake.read_gold(spark, made, "validation_redteam")
+    """The strict validation that the detect job publishes in place of the loose one."""
+    return lake.read_gold(spark, _lake(spark, sf_dir), "validation_redteam")
 
 
 def lake_comparaison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The comparison of criteria that the detect job writes."""
-    made = _lake(spark, sf_dir)
-    jobs.detect(spark, made)
-    return lake.read_gold(spark, made, "comparaison_criteres_detection")
+    """The comparison of criteria that the detect job publishes."""
+    return lake.read_gold(spark, _lake(spark, sf_dir), "comparaison_criteres_detection")
 
 
 # -- tables in buckets of a key ---------------------------------------------------------
