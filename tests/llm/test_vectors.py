@@ -91,3 +91,54 @@ def test_lengths_without_pivots_are_compared_too(spark, monkeypatch):
     unit = [(i, np.array(v) / np.linalg.norm(v), label) for i, v, label in rows]
     expected = {i: sum(j != i and len(w) == len(v) and other == label and float(v @ w) >= 0.98 for j, w, other in unit) for i, v, label in unit}
     assert found == expected and sum(found.values()) > 200
+
+
+def clustered(draw, count, clusters, width, size=64):
+    centres = vectors.unit(draw.standard_normal((clusters, size)))
+    return vectors.unit(centres[draw.integers(0, clusters, count)] + width * draw.standard_normal((count, size)) / np.sqrt(size))
+
+
+def mates(draw, rows, cosine):
+    """Rows at exactly this cosine to the given ones."""
+    across = draw.standard_normal(rows.shape)
+    across = vectors.unit(across - (across * rows).sum(axis=1, keepdims=True) * rows)
+    return cosine * rows + np.sqrt(1 - cosine**2) * across
+
+
+def pivots_of(rows, count):
+    return vectors.apart(rows[: 2 * count].astype(np.float32), count, float(np.cos(vectors.APART * np.arccos(vectors.THRESHOLD))))
+
+
+@pytest.mark.parametrize("clusters, width", [(100, 0.8), (2000, 1.5)])
+def test_lists_do_not_grow_with_the_table(clusters, width):
+    cosines, copies = [], []
+    for count in (10_000, 100_000):
+        draw = np.random.default_rng(5)
+        rows = clustered(draw, count, clusters, width)
+        pivots = pivots_of(rows, vectors.pivot_counts({64: count})[64])
+        labels = np.zeros(count, np.int64)
+        _, sizes = np.unique(vectors.list_keys(rows, labels, pivots), return_counts=True)
+        cosines.append((sizes.astype(float) ** 2).sum() / 2 / count)
+        copies.append((sizes * np.ceil(sizes / vectors.LIST_ROWS)).sum() / count)
+        some = rows[:3000]
+        a, b = (vectors.list_keys(r, labels[:3000], pivots) for r in (some, mates(draw, some, 0.981)))
+        assert (a[:, :, None] == b[:, None, :]).any(axis=(1, 2)).mean() >= 0.99
+    assert cosines[1] <= 3 * cosines[0] and copies[1] <= 1.1 * copies[0]
+
+
+def test_order_of_pivots_decides_the_lists():
+    rows = vectors.unit(np.array([[5.0, 4, 3, 2, 1, 0.5, 0.2, 0.1], [0.1, 0.2, 0.5, 1, 2, 3, 4, 5]]))
+    keys = vectors.list_keys(rows, np.zeros(2, np.int64), np.eye(8, dtype=np.float32))
+    assert vectors.nearest_pivots(rows, np.eye(8, dtype=np.float32), 7).tolist() == [[0, 1, 2, 3, 4, 5, 6], [7, 6, 5, 4, 3, 2, 1]]
+    # The pairs of ranks from 1 to 7 with a sum of 8 at most, and in reverse order those of other pivots.
+    assert keys.shape == (2, 12) and all(len(set(k)) == 12 for k in keys.tolist())
+    shared = {frozenset((a, b)) for b in range(1, 7) for a in range(b) if a + b + 2 <= 8} & {frozenset((7 - a, 7 - b)) for b in range(1, 7) for a in range(b) if a + b + 2 <= 8}
+    assert len(set(keys[0].tolist()) & set(keys[1].tolist())) == len(shared)
+
+
+def test_pivots_stay_within_their_bytes():
+    assert vectors.pivot_counts({64: 1000, 32: 40}) == {64: 64, 32: 64}
+    assert vectors.pivot_counts({64: 10_000})[64] == 250
+    counts = vectors.pivot_counts({64: 10**11, 768: 10**10, 3: 5})
+    assert counts[3] == 64 and sum(4 * size * (n - 64) for size, n in counts.items()) <= vectors.PIVOT_BYTES
+    assert vectors.pivot_counts({}) == {}

@@ -1,10 +1,12 @@
 """Near-duplicate vectors through a pivot-permutation index.
 
-Reference points (pivots) are well-spread vectors of a bounded sample. A vector is described by
-its nearest pivots in order. Inverted lists are kept per set of SHARED pivots, so that two
-vectors meet in a list exactly if they have at least that many of their nearest pivots
-in common; every pair that meets is then verified by its exact cosine. Only the sample is
-bounded: every vector is indexed.
+Reference points (pivots) are vectors of a sample that lie apart from each other, one for every
+ENTRIES_PER_PIVOT distinct vectors, so that a list doesn't grow with the table. A vector is described
+by its NEAREST pivots in order. Inverted lists are kept per pair of pivots, and a vector is in that of each pair whose
+ranks in its order add up to RANK_SUM at most: near pivots are paired with many, the last with the first only.
+So two vectors meet exactly if they share two pivots that stand early enough in the orders of both; every
+pair that meets is then verified by its exact cosine. Only the sample is bounded (by
+PIVOT_BYTES, beyond which lists grow again): every vector is indexed.
 
 Exact copies are one entry with a count. A list beyond LIST_ROWS entries is cut into blocks,
 and each pair of blocks is compared by a task of its own, so no pair is lost. Lists give
@@ -12,7 +14,7 @@ back sums and one link per entry and list, never pairs.
 
 Nulls: null vectors, vectors with null or non-finite numbers and zero vectors, empty ones too, link with
 nothing, as rows of a null label do; a null id is linked, but keeps nothing. Very long vectors are compared like others, with
-vectors of their length. Ties: equally near pivots are taken in their order, and a cosine of exactly the
+vectors of their length. Ties: equally near pivots stand in their order, at the last place any of them may stand, and a cosine of exactly the
 threshold links. Repeated rows are one entry with a count, and each is another vector to the others. An
 empty table gives no row. Only the named columns are read, so further columns cannot clash.
 """
@@ -20,7 +22,6 @@ empty table gives no row. Only the named columns are read, so further columns ca
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +32,22 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 from vigilog.llm import common
 from vigilog.llm.components import connected
 from vigilog.llm.simhash import forest
+from vigilog.operators.joins import fits_in_broadcast, spread_lookup
 from vigilog.sources.lake import materialise, scratch_path
 
 THRESHOLD = 0.98
-# Sampled vectors per vector length, pivots chosen among them, and lengths accepted.
-SAMPLE = 2048
-PIVOTS = 256
+# Distinct vectors per pivot, fewest pivots of a vector length, most bytes of all pivots beyond
+# these, and lengths that get pivots. Twice as many vectors are sampled as pivots are wanted.
+ENTRIES_PER_PIVOT = 40
+FEWEST_PIVOTS = 64
+PIVOT_BYTES = 32 * 1024 * 1024
 MOST_LENGTHS = 64
-NEAREST = 5
-SHARED = 2
+# Pivots lie at least this many times the angle of the threshold apart.
+APART = 2.5
+NEAREST = 7
+RANK_SUM = 8
+# Cosines to pivots held at a time.
+COSINES = 4_000_000
 LIST_ROWS = 1024
 # Runs up to this length are compared by shifts over many lists at once.
 SHORT_RUN = 16
@@ -58,53 +66,90 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
 
 
-def spread_out(rows: np.ndarray, count: int, closest: float) -> np.ndarray:
-    """Farthest-first choice of unit rows with cosines up to ``closest``: pivots that are
-    nearly the same would be ordered by chance, and a crowd of copies would get many."""
-    chosen = [0]
-    nearest = rows @ rows[0]
-    while len(chosen) < min(count, len(rows)):
-        place = int(np.argmin(nearest))
-        if nearest[place] > closest:
+def apart(rows: np.ndarray, count: int, closest: float) -> np.ndarray:
+    """The first ``count`` unit rows whose cosines to all rows chosen before are ``closest`` at most:
+    pivots that are nearly the same would be ordered by chance, and a crowd of copies would get many."""
+    chosen = rows[:0]
+    for start in range(0, len(rows), 256):
+        block = rows[start : start + 256]
+        if len(chosen):
+            block = block[(block @ chosen.T).max(axis=1) <= closest]
+        among, kept = block @ block.T, []
+        for place in range(len(block)):
+            if not kept or among[place, kept].max() <= closest:
+                kept.append(place)
+        chosen = np.concatenate([chosen, block[kept]])
+        if len(chosen) >= count:
             break
-        chosen.append(place)
-        nearest = np.maximum(nearest, rows @ rows[place])
-    return rows[chosen]
+    return chosen[:count]
 
 
-def find_pivots(entries: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE, pivots: int = PIVOTS) -> dict[int, np.ndarray]:
-    """Pivots per vector length, from at most ``sample`` vectors of each length.
+def pivot_counts(totals: dict[int, int], per_pivot: int = ENTRIES_PER_PIVOT, most_bytes: int = PIVOT_BYTES) -> dict[int, int]:
+    """Pivots wanted per vector length; what lengths want beyond the fewest is cut in one
+    proportion where it would exceed ``most_bytes``."""
+    beyond = {size: max(total // per_pivot - FEWEST_PIVOTS, 0) for size, total in totals.items()}
+    wanted = sum(4 * size * more for size, more in beyond.items())
+    share = min(1.0, most_bytes / wanted) if wanted else 1.0
+    return {size: FEWEST_PIVOTS + int(more * share) for size, more in beyond.items()}
 
-    They lie at least three times the angle of the threshold apart. Only the MOST_LENGTHS most
-    frequent lengths get pivots; vectors of another length share one list with those of their label.
+
+def find_pivots(entries: DataFrame, threshold: float = THRESHOLD, per_pivot: int = ENTRIES_PER_PIVOT) -> dict[int, np.ndarray]:
+    """Pivots per vector length as single-precision rows, the same ones on every run.
+
+    Only the MOST_LENGTHS most frequent lengths get pivots; vectors of another length share one
+    list with those of their label.
     """
-    closest = float(np.cos(min(np.pi, 3 * np.arccos(threshold))))
+    closest = float(np.cos(min(np.pi, APART * np.arccos(threshold))))
     sized = entries.select(F.size("vector").alias("size"), "vector")
     frequent = sized.groupBy("size").count().orderBy(F.desc("count"), "size").limit(MOST_LENGTHS).collect()
     totals = {size: total for size, total in sorted(frequent)}
-    drawn = common.sample_per_label(sized.where(F.col("size").isin(*totals)), "size", totals, sample, ["vector"]).collect()
-    found = {}
+    counts = pivot_counts(totals, per_pivot)
+    if not counts:
+        return {}
+    # Entries are distinct, so a hash draws about twice as many of them as there are pivots.
+    share = F.create_map(*[F.lit(x) for size, total in totals.items() for x in (size, 2.0 * counts[size] / total)])
+    lot = F.xxhash64("vector").alias("lot")
+    drawn = sized.select("vector", "size", lot).where(F.pmod("lot", F.lit(1 << 30)) / F.lit(float(1 << 30)) < share[F.col("size")])
+    lots, rows = {size: [] for size in totals}, {size: [] for size in totals}
+    for batch in drawn.select("vector", "lot").toArrow().to_batches():
+        for places, found in _by_size(batch.column(0)):
+            lots[found.shape[1]].append(batch.column(1).to_numpy()[places])
+            rows[found.shape[1]].append(found)
+    pivots = {}
     for size in totals:
-        rows = sorted(r["vector"] for r in drawn if r["size"] == size)
-        found[size] = spread_out(unit(np.array(rows)), pivots, closest)
+        if rows[size]:
+            order = np.argsort(np.concatenate(lots[size]), kind="stable")
+            pivots[size] = apart(unit(np.concatenate(rows[size])[order]).astype(np.float32), counts[size], closest)
+    return pivots
+
+
+def nearest_pivots(rows: np.ndarray, pivots: np.ndarray, nearest: int) -> np.ndarray:
+    """The nearest pivots of each unit row, the nearest first."""
+    width, rows = min(nearest, len(pivots)), rows.astype(np.float32)
+    found = np.empty((len(rows), width), dtype=np.int64)
+    step = max(1, COSINES // max(1, len(pivots)))
+    for start in range(0, len(rows), step) if width else ():
+        cosines = rows[start : start + step] @ pivots.T
+        few = np.sort(np.argpartition(-cosines, width - 1, axis=1)[:, :width], axis=1)
+        order = np.argsort(-np.take_along_axis(cosines, few, axis=1), axis=1, kind="stable")
+        found[start : start + step] = np.take_along_axis(few, order, axis=1)
     return found
 
 
-def list_keys(rows: np.ndarray, labels: np.ndarray, pivots: np.ndarray | None, nearest: int, shared: int) -> np.ndarray:
-    """Sorted numbers of the lists each vector belongs to: one per set of shared pivots, or a
-    single one where there are no pivots."""
-    pivots = rows[:0] if pivots is None else pivots
-    cosines = rows @ pivots.T
-    width = min(nearest, len(pivots))
-    order = np.sort(np.argsort(-cosines, axis=1, kind="stable")[:, :width], axis=1)
+def list_keys(rows: np.ndarray, labels: np.ndarray, pivots: np.ndarray | None, nearest: int = NEAREST, rank_sum: int = RANK_SUM) -> np.ndarray:
+    """Sorted numbers of the lists each vector belongs to: one per pair of its nearest pivots whose
+    ranks, from 1, add up to ``rank_sum`` at most; a single one where there are fewer than two pivots."""
+    order = nearest_pivots(rows, rows[:0] if pivots is None else pivots, nearest)
+    width = order.shape[1]
+    pairs = [(a, b) for b in range(width) for a in range(b) if a + b + 2 <= rank_sum]
+    base = (labels.astype(np.uint64) * np.uint64(65_537) + np.uint64(rows.shape[1])) * np.uint64(0x9E3779B97F4A7C15)
     keys = []
-    for places in combinations(range(width), min(shared, width)):
-        key = labels.astype(np.uint64) * np.uint64(64) + np.uint64(len(places))
-        key = (key * np.uint64(65_537) + np.uint64(rows.shape[1])) * np.uint64(0x9E3779B97F4A7C15)
-        for p in places:
-            key = (key ^ (key >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + order[:, p].astype(np.uint64)
+    for a, b in pairs:
+        key = base
+        for pivot in (np.minimum(order[:, a], order[:, b]), np.maximum(order[:, a], order[:, b])):
+            key = (key ^ (key >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + pivot.astype(np.uint64)
         keys.append(key.view(np.int64))
-    return np.sort(np.stack(keys, axis=1), axis=1)
+    return np.sort(np.stack(keys or [base.view(np.int64)], axis=1), axis=1)
 
 
 def _by_size(vectors: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -116,16 +161,18 @@ def _by_size(vectors: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield places, flat.reshape(len(places), int(size))
 
 
-def index(entries: DataFrame, pivots: dict[int, np.ndarray], nearest: int = NEAREST, shared: int = SHARED) -> DataFrame:
+def index(entries: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
     """Add ``lists``, the numbers of the inverted lists of every entry."""
-    common.ship_code(entries.sparkSession)
+    spark = entries.sparkSession
+    common.ship_code(spark)
+    sent = spark.sparkContext.broadcast(pivots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             labels = batch.column(batch.schema.get_field_index("label")).to_numpy(zero_copy_only=False)
             lists: list = [None] * batch.num_rows
             for places, rows in _by_size(batch.column(batch.schema.get_field_index("vector"))):
-                keys = list_keys(unit(rows), labels[places].astype(np.int64), pivots.get(rows.shape[1]), nearest, shared)
+                keys = list_keys(unit(rows), labels[places].astype(np.int64), sent.value.get(rows.shape[1]))
                 for place, key in zip(places.tolist(), keys.tolist(), strict=True):
                     lists[place] = key
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists, pa.list_(pa.int64()))], names=[*batch.schema.names, "lists"])
@@ -226,7 +273,9 @@ def link(entries: DataFrame, threshold: float = THRESHOLD, list_rows: int = LIST
     long = materialise(long.select("list", F.ceil(F.col("count") / F.lit(list_rows)).cast("int").alias("blocks")), scratch_path(spark, "long-lists"))
     copies = indexed.withColumn("list", F.explode("lists"))
     # Each row of a cut list goes to every pair of blocks its own block belongs to.
-    cut = copies.join(long, "list", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    few = fits_in_broadcast(long)
+    cut = copies.join(F.broadcast(long), "list", "left") if few else spread_lookup(copies, long, ["list"], ["node"])
+    cut = cut.withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     cut = cut.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cut = cut.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
@@ -261,8 +310,9 @@ def group(
     rooted = entries.select("node", "print", "first_id", "copies").join(counted, "node", "left").join(parts, "node", "left")
     rooted = rooted.withColumn("component", F.coalesce("component", "node"))
     least = rooted.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    known = rooted.join(least, "component").select("print", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
-    found = rows.select("vec_id", "usable", "print").join(known, "print", "left")
+    known = spread_lookup(rooted, least, ["component"], ["node"], "inner").select("print", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
+    # A vector may have very many copies: they are spread by their ids.
+    found = spread_lookup(rows.select("vec_id", "usable", "print"), known, ["print"], ["vec_id"])
     component = F.when(F.col("usable"), F.col("component_id")).otherwise(F.col("vec_id"))
     return found.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept")
