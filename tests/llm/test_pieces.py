@@ -49,3 +49,27 @@ def test_awkward_rows(spark):
         assert row.ids == LIBRARY.encode(row.text or "")
         assert row.decoded == LIBRARY.decode(row.ids)
     assert pieces.encode(edges.frame(spark, [])).count() == 0
+
+
+def test_table_holds_each_word_of_several_tasks_once(spark):
+    texts = ["alpha beta alpha", "beta  gamma", None, "", "alpha beta", "x" * 200 + " beta", "x" * 200, "only"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string").repartition(8)
+    rows = pieces.word_table(docs).collect()
+    table = {r.word: [int.from_bytes(r.ids[i : i + 4], "little") for i in range(0, len(r.ids), 4)] for r in rows}
+    assert len(rows) == len(table) and "x" * 200 not in table and "only" not in table and "beta" in table
+    assert all(ids == LIBRARY.encode(word) for word, ids in table.items() if word)
+    encoded = pieces.encode(docs, words=pieces.word_table(docs))
+    assert {r.doc_id: r.ids for r in encoded.collect()} == {i: LIBRARY.encode(t or "") for i, t in enumerate(texts)}
+    fewer = pieces.word_table(docs, most=1)
+    assert fewer.count() <= 1
+    assert {r.doc_id: r.ids for r in pieces.encode(docs, words=fewer).collect()} == {i: LIBRARY.encode(t or "") for i, t in enumerate(texts)}
+    assert pieces.word_table(docs.limit(0)).count() == 0
+
+
+def test_shared_words_outlast_the_own_table():
+    texts = [" ".join(f"w{i}q{j}" for j in range(40)) for i in range(6)]
+    shared = dict(zip(["w0q1", "w5q3"], ENCODER.segment(["w0q1", "w5q3"]), strict=True))
+    own = pieces.Encoder(MODEL, table_words=30, shared=shared)
+    for text in texts:
+        assert own.encode([text])[0].tolist() == LIBRARY.encode(text)
+        assert shared.items() <= own.table.items()
