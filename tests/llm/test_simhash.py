@@ -87,6 +87,25 @@ def test_one_row_of_each_group_stays(spark):
     assert simhash.keep_one(edges.frame(spark, [])).count() == 0
 
 
+def test_the_driver_holds_no_side_of_a_join(spark, monkeypatch):
+    """Not even of small tables, nor a plan of several stars: its memory is the same for any number of links."""
+    plans = []
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    for module in (components, simhash):
+        monkeypatch.setattr(module, "materialise", lambda df, path, write=module.materialise: write(planned(df), path))
+    values = spark.createDataFrame([(v,) for v in np.array(crowd(7), dtype=np.uint64).view(np.int64).tolist()], "v bigint")
+    links = planned(simhash.link_fingerprints(values, "v", cell_rows=4))
+    assert planned(components.connected(links, "left", "right")).count() > 200
+    assert planned(simhash.group(edges.frame(spark))).count() == len(edges.TEXTS)
+    assert len(plans) > 15 and any("SortMergeJoin" in plan for plan in plans)
+    assert not any("Broadcast" in plan for plan in plans)
+    assert max(plan.count("Exchange ") for plan in plans) <= 8
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 7), (200, 201), (5, 5), (None, 3), (201, 200)] + [(300, 300 + i) for i in range(1, 50)]
     found = dict(tuple(r) for r in components.connected(spark.createDataFrame(links, "a bigint, b bigint"), "a", "b").collect())

@@ -166,6 +166,15 @@ def test_spread_lookup(spark):
     assert counted(inner) == counted(left.join(right, "k"))
 
 
+def test_join_least(spark):
+    value = F.when(F.col("id") % 7 > 0, 9000 - F.col("id")).alias("v")
+    rows = spark.range(5000).select(F.when(F.col("id") < 4000, "hot").when(F.col("id") < 4900, F.col("id").cast("string")).alias("k"), F.col("id").alias("s"), value)
+    left = rows.where("s % 3 = 0")
+    found = joins.join_least(left, rows, "k", "v", "s", "w")
+    assert counted(found) == counted(left.join(rows.groupBy("k").agg(F.min("v").alias("w")), "k"))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_size_is_measured(spark):
     df = spark.createDataFrame([("abcd", 1), (None, 2)], "s string, n int")
     assert joins.estimated_bytes(df) == 4 + 2 * joins.ROW_OVERHEAD

@@ -1,8 +1,9 @@
 """Connected components of a link table, by alternating star contractions.
 
 Each round hangs every node on the smallest node its neighbours know (large star, then small
-star), so the number of rounds grows with the logarithm of the longest path. Rounds
-are tables in the shared folder: a lost executor costs no more than its tasks.
+star), so the number of rounds grows with the logarithm of the longest path. Both stars
+of a round are tables in the shared folder: a lost executor costs no more than its tasks, and the
+driver never plans more than one star at a time. It holds no link either: stars are joined by shuffles.
 """
 
 from __future__ import annotations
@@ -10,22 +11,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.operators.joins import spread_lookup
-from vigilog.sources.lake import materialise, scratch_path
+from vigilog.operators.joins import join_least
+from vigilog.sources.lake import materialise, scratch_path, scratch_scope
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.union(edges.select(F.col("low").alias("high"), F.col("high").alias("low"))).toDF("node", "other")
-    least = both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("least"))
+    up = edges.select(F.col("low").alias("node"), F.col("high").alias("other"))
+    both = up.union(edges.select("high", "low"))
     # A node with very many neighbours is spread over salts of these.
-    hung = spread_lookup(both.where(F.col("other") > F.col("node")), least, ["node"], ["other"], "inner")
-    return hung.select(F.col("other").alias("high"), F.col("least").alias("low")).distinct()
+    hung = join_least(up, both, "node", "other", "other", "least")
+    return hung.select(F.col("other").alias("high"), F.least("least", "node").alias("low")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("high").agg(F.min("low").alias("least"))
-    hung = spread_lookup(edges, least, ["high"], ["low"], "inner").where(F.col("low") != F.col("least")).select(F.col("low").alias("high"), F.col("least").alias("low"))
-    return hung.union(least.select("high", F.col("least").alias("low"))).distinct()
+    hung = join_least(edges, edges, "high", "low", "low", "least")
+    centres = edges.groupBy("high").agg(F.min("low").alias("low"))
+    return hung.where(F.col("low") != F.col("least")).select(F.col("low").alias("high"), F.col("least").alias("low")).union(centres).distinct()
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -44,7 +45,10 @@ def connected(links: DataFrame, left: str, right: str) -> DataFrame:
     edges = materialise(edges, scratch_path(spark, "links"))
     before = _state(edges)
     while before[0]:
-        edges = materialise(_small_star(_large_star(edges)), scratch_path(spark, "stars"))
+        path = scratch_path(spark, "stars")
+        with scratch_scope(spark):
+            hung = materialise(_large_star(edges), scratch_path(spark, "large-stars"))
+            edges = materialise(_small_star(hung), path)
         after = _state(edges)
         if after == before:
             break

@@ -37,6 +37,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from vigilog.llm import common
 from vigilog.llm.components import connected
+from vigilog.operators.joins import join_least
 from vigilog.sources.lake import materialise, scratch_path
 
 BITS = 64
@@ -277,7 +278,7 @@ def links_by_midpoints(crowd: DataFrame, threshold: int) -> DataFrame:
     spread_out = crowd.mapInArrow(spread, "point bigint, flips int, left bigint")
     centre = F.min(F.when(F.col("flips") <= near, F.col("left"))).alias("right")
     centres = spread_out.groupBy("point").agg(centre, F.count(F.lit(1)).alias("n")).where("right IS NOT NULL AND n > 1")
-    return spread_out.join(centres, "point").where("left <> right").select("left", "right").distinct()
+    return spread_out.join(centres.hint("merge"), "point").where("left <> right").select("left", "right").distinct()
 
 
 def link_fingerprints(prints: DataFrame, column: str, threshold: int = THRESHOLD, cell_rows: int = CELL_ROWS) -> DataFrame:
@@ -325,12 +326,13 @@ def group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold
     narrow = materialise(with_fingerprints(narrow, "__text", names), scratch_path(spark, "fingerprints"))
     distinct = materialise(narrow.groupBy("fingerprint_bits").agg(F.min("doc_id").alias("first_id")), scratch_path(spark, "distinct"))
     parts = connected(link_fingerprints(distinct, "fingerprint_bits", threshold), "left", "right")
-    rooted = distinct.join(parts, distinct["fingerprint_bits"] == parts["node"], "left").select(
+    # All joins are shuffles: a side small enough to be sent to all would be gathered on the driver.
+    rooted = distinct.join(parts.hint("merge"), distinct["fingerprint_bits"] == parts["node"], "left").select(
         "fingerprint_bits", "first_id", F.coalesce("component", "fingerprint_bits").alias("component_root")
     )
-    least = rooted.groupBy("component_root").agg(F.min("first_id").alias("component_id"))
-    labels = rooted.join(least, "component_root").select("fingerprint_bits", "component_root", "component_id")
-    found = narrow.join(labels, "fingerprint_bits", "left")
+    rooted = materialise(rooted, scratch_path(spark, "rooted"))
+    labels = join_least(rooted, rooted, "component_root", "first_id", "fingerprint_bits", "component_id")
+    found = narrow.join(labels.select("fingerprint_bits", "component_root", "component_id").hint("merge"), "fingerprint_bits", "left")
     back = [F.col(f"__keep_{i}").alias(c) for i, c in enumerate(keep or [])]
     return found.select("doc_id", *back, "fingerprint_bits", "component_root", "component_id")
 

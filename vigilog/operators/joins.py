@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -40,6 +40,20 @@ def spread_lookup(left: DataFrame, right: DataFrame, keys: list[str], spread_by:
     return salted.join(wanted, [*keys, "_salt"], how).drop("_salt")
 
 
+def join_least(left: DataFrame, rows: DataFrame, key: str, value: str, spread_by: str, name: str) -> DataFrame:
+    """Add to ``left`` the smallest ``value`` that ``rows`` has for its key, as ``name``.
+
+    Rows of a key are spread over salts taken from ``spread_by``, and what each salt has found
+    is brought together, SALT_BUCKETS rows a key at most. Every pair of key and ``spread_by``
+    in ``left`` has to be in ``rows``. The sides meet in a shuffle whatever their size: a side
+    sent to all would first be gathered on the driver.
+    """
+    salt = F.pmod(F.xxhash64(spread_by), F.lit(SALT_BUCKETS)).alias("_salt")
+    found = rows.select("*", salt).groupBy(key, "_salt").agg(F.min(value).alias(name))
+    known = found.withColumn(name, F.min(name).over(Window.partitionBy(key)))
+    return left.select("*", salt).join(known.hint("merge"), [key, "_salt"]).drop("_salt")
+
+
 def shuffle_tasks(spark: SparkSession) -> int:
     """Tasks of a shuffle before AQE joins any: its initial number where that is set."""
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
