@@ -101,6 +101,7 @@ def test_the_driver_holds_no_side_of_a_join(spark, monkeypatch):
     links = planned(simhash.link_fingerprints(values, "v", cell_rows=4))
     assert planned(components.connected(links, "left", "right")).count() > 200
     assert planned(simhash.group(edges.frame(spark))).count() == len(edges.TEXTS)
+    assert planned(simhash.keep_one(edges.frame(spark))).count() == 6
     assert len(plans) > 15 and any("SortMergeJoin" in plan for plan in plans)
     assert not any("Broadcast" in plan for plan in plans)
     assert max(plan.count("Exchange ") for plan in plans) <= 8

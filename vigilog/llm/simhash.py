@@ -350,7 +350,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
     kept = rows.groupBy("component_root").agg(first).select("first.*")
     kept = materialise(kept.select(F.col("doc_id").alias("__kept_id"), F.col("__print").alias("__kept_print"), "equal"), scratch_path(docs.sparkSession, "kept"))
     same = (marked["__print"] == kept["__kept_print"]) & marked[doc_id].eqNullSafe(kept["__kept_id"])
-    left = marked.join(kept, same, "left_semi").drop("__print")
+    left = marked.join(kept.hint("merge"), same, "left_semi").drop("__print")
     return left if kept.where("equal > 1").isEmpty() else left.dropDuplicates()
 
 
